@@ -91,7 +91,7 @@ def _compact(spark, root, ds, grain, as_of, *, partitions=None) -> DataFrame:
     sources = [p for t in targets for p in t.inputs + t.existing]
     rows = read_periods(spark, ds, root, sources)
     if partitions is None:
-        stored = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+        stored = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         partitions = max(least, ceil(stored / TASK_BYTES))
 

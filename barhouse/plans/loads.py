@@ -9,7 +9,7 @@ from barhouse.operators.reports import load_summary
 from barhouse.plans.extract import read_range
 from barhouse.plans.writers import write_days
 from barhouse.sources.pages import day_bars, decode_pages, minute_ticks
-from barhouse.sources.ticker_csv import parse_ticker_lines, read_ticker_lines, since
+from barhouse.sources.ticker_csv import parse_ticker_lines, read_ticker_lines
 
 
 def load_ticker_csv(
@@ -19,11 +19,9 @@ def load_ticker_csv(
 
     Every row goes to the day and year of its own exchange time.
     """
-    parsed = parse_ticker_lines(read_ticker_lines(spark, source), mode)
-    wanted = F.when((F.col("verdict") == "ok") & ~since(earliest), "early") if earliest else F.lit(None)
-    judged = parsed.withColumn("verdict", F.coalesce(wanted, F.col("verdict")))
-    write_days(judged.where("verdict = 'ok'"), US_5M, root)
-    return judged.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
+    parsed = parse_ticker_lines(read_ticker_lines(spark, source), earliest, mode)
+    write_days(parsed.where("verdict = 'ok'"), US_5M, root)
+    return parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def load_day_pages(pages: DataFrame, root: str) -> DataFrame:

@@ -41,9 +41,8 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
             "spark.sql.sources.parallelPartitionDiscovery.threshold": "10000",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
-            # Local files need no checksum sidecars, and no helper process per chmod.
+            # Local files need no checksum sidecars.
             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
-            "spark.driver.extraJavaOptions": "-Djdk.lang.Process.launchMechanism=VFORK",
             **conf,
         },
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barhouse.functions.clean import packed_timestamp, ticker_symbol, valid_text, whole_volume
-from barhouse.functions.exchange import exchange_time
+from barhouse.functions.exchange import EXCHANGE_ZONE, SOURCE_ZONE, exchange_hours, exchange_time
 
 # The record layout of a dump line.
 FIELDS = ["TICKER", "PER", "DATE", "TIME", "OPEN", "HIGH", "LOW", "CLOSE", "VOL", "OPENINT"]
@@ -17,47 +17,58 @@ def read_ticker_lines(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(valid_text(F.col("value")).alias("line"))
 
 
-def parse_ticker_lines(lines: DataFrame, mode: str = "rule") -> DataFrame:
+def parse_ticker_lines(lines: DataFrame, earliest: str | None = None, mode: str = "rule") -> DataFrame:
     """One row per line: the record on the exchange's clock, and a verdict.
 
-    ``verdict`` is ``ok``, ``short`` (fewer than ten fields), ``header``, or
-    ``bad`` (a full line whose date, time or numbers can't be read).
+    ``verdict`` is ``ok``, ``short`` (fewer than ten fields), ``header``,
+    ``bad`` (a full line whose date, time or numbers can't be read), or
+    ``early``. It is told from the line's own fields, before any clock is
+    shifted, so that filtering on it stays a small expression.
     """
     split = lines.select(F.split("line", ",").alias("_f"))
     field = lambda name: F.get(F.col("_f"), FIELDS.index(name))
-    source_time = packed_timestamp(field("DATE"), field("TIME"))
-    volume_text = F.trim(field("VOL"))
-    parsed = split.select(
+    volume = F.trim(field("VOL"))
+    typed = split.select(
         F.size("_f").alias("_n"),
-        field("DATE").alias("source_day"),
+        field("DATE").alias("_day"),
         ticker_symbol(field("TICKER")).alias("symbol"),
-        exchange_time(source_time, mode).alias("dt"),
+        packed_timestamp(field("DATE"), field("TIME")).alias("_source"),
         field("CLOSE").try_cast("double").alias("price"),
-        whole_volume(volume_text.try_cast("double")).alias("volume"),
-        (volume_text.try_cast("double").isNull() & (volume_text != "")).alias("_bad_volume"),
+        F.when(volume == "", 0.0).otherwise(volume.try_cast("double")).alias("volume"),
     )
-    bad = F.col("dt").isNull() | F.col("price").isNull() | F.col("_bad_volume")
+    bad = F.col("_source").isNull() | F.col("price").isNull() | F.col("volume").isNull()
     verdict = (
         F.when(F.col("_n") < len(FIELDS), "short")
-        .when(~F.col("source_day").rlike("[0-9]"), "header")
+        .when(~F.col("_day").rlike("[0-9]"), "header")
         .when(bad, "bad")
-        .otherwise("ok")
     )
-    return parsed.select("symbol", "dt", "price", "volume", "source_day", verdict.alias("verdict"))
+    if earliest:
+        verdict = verdict.when(F.col("_source") < first_source_time(earliest, mode), "early")
+    return typed.select(
+        "symbol",
+        exchange_time(F.col("_source"), mode).alias("dt"),
+        "price",
+        whole_volume(F.col("volume")).alias("volume"),
+        verdict.otherwise("ok").alias("verdict"),
+    )
 
 
-def since(earliest: str) -> Column:
-    """Both the source day and the shifted day must reach the earliest date."""
-    packed = earliest.replace("-", "")
-    shifted = F.col("dt") >= F.lit(earliest).cast("date").cast("timestamp_ntz")
-    return (F.col("source_day") >= packed) & shifted
+def first_source_time(earliest: str, mode: str = "rule") -> Column:
+    """The source time at which the exchange's earliest day begins.
+
+    Both the source day and the shifted day must reach the earliest date. The
+    source clock is ahead, by an amount that holds for the whole day, so one
+    constant decides both.
+    """
+    midnight = F.lit(earliest).cast("date").cast("timestamp_ntz")
+    if mode == "zone":
+        return F.convert_timezone(F.lit(EXCHANGE_ZONE), F.lit(SOURCE_ZONE), midnight)
+    return midnight + F.make_dt_interval(F.lit(0), exchange_hours(midnight))
 
 
 def read_ticker_csv(
     spark: SparkSession, root: str, earliest: str | None = None, mode: str = "rule"
 ) -> DataFrame:
     """Typed US-5m rows of a bulk dump."""
-    good = parse_ticker_lines(read_ticker_lines(spark, root), mode).where("verdict = 'ok'")
-    if earliest:
-        good = good.where(since(earliest))
-    return good.select("symbol", "dt", "price", "volume")
+    parsed = parse_ticker_lines(read_ticker_lines(spark, root), earliest, mode)
+    return parsed.where("verdict = 'ok'").drop("verdict")
