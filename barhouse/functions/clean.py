@@ -9,26 +9,26 @@ from pyspark.sql import Column, functions as F
 US_SUFFIX = r"\.US$"
 SHORT_CODE = (4, 6)
 
-# Blanks that ``\\s`` doesn't cover (no-break and full-width
+# Blanks beyond ASCII white space (no-break and full-width
 # space), and the character that stands in for bytes that aren't UTF-8.
 BLANKS = chr(0xA0) + chr(0x3000)
 NOT_UTF8 = chr(0xFFFD)
 
-_EDGE_SPACE = rf"^[\s{BLANKS}]+|[\s{BLANKS}]+$"
+_EDGES = " \t\n\r\f\v" + BLANKS
 
 
 def strip(text: Column) -> Column:
-    """Trim blanks, non-breaking and full-width ones included."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    """Trim white space, non-breaking and full-width blanks included."""
+    return F.btrim(text, F.lit(_EDGES))
 
 
 def without_commas(text: Column) -> Column:
-    return F.replace(strip(text), F.lit(","), F.lit(""))
+    return F.replace(text, F.lit(","), F.lit(""))
 
 
 def comma_int(text: Column) -> Column:
     """``1,234`` to 1234; NULL where it isn't a whole number."""
-    return without_commas(text).try_cast("bigint")
+    return without_commas(strip(text)).try_cast("bigint")
 
 
 def dotted_date(text: Column) -> Column:
@@ -58,7 +58,7 @@ def packed_timestamp(day: Column, time: Column) -> Column:
         F.substring(day, 1, 4), F.lit("-"), part(day, 5), F.lit("-"), part(day, 7),
         F.lit(" "), part(time, 1), F.lit(":"), part(time, 3), F.lit(":"), part(time, 5),
     )
-    shaped = day.rlike(r"^\d{8}$") & time.rlike(r"^\d{6}$")
+    shaped = (F.length(day) == 8) & (F.length(time) == 6)
     return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 

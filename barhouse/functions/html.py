@@ -11,9 +11,10 @@ from pyspark.sql import Column, functions as F
 from barhouse.functions.clean import strip
 
 # The class of the quote table, and of the cell with the link to
-# the last page.
+# the last page; the fewest cells a data row has.
 QUOTE_TABLE = "type2"
 LAST_PAGE_CELL = "pgRR"
+ROW_CELLS = 7
 
 
 def _with_class(tag: str, name: str) -> str:
@@ -28,6 +29,7 @@ _TABLE = rf"(?is){_with_class('table', QUOTE_TABLE)}(.*?)(?:</table\s*>|\z)"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|\z)"
 _CELL = r"(?is)<td\b[^>]*>(.*?)(?:</td\s*>|\z)"
 _SPAN = r"(?is)<span\b[^>]*>(.*?)(?:</span\s*>|\z)"
+_NBSP = r"(?i)&(?:nbsp|#160|#xa0);"
 _TAG = r"(?s)<[^>]*>"
 _LAST_PAGE = (
     rf"(?is){_with_class('td', LAST_PAGE_CELL)}(?:(?!</td).)*?<a\b[^>]*?\shref\s*=\s*"
@@ -36,22 +38,27 @@ _LAST_PAGE = (
 
 
 def quote_rows(html: Column) -> Column:
-    """The rows of the first quote table, each an array of raw cells."""
+    """The rows of the first quote table: array<struct<span, cells>>.
+
+    ``cells`` are texts as a reader sees them, ``span`` is that of the first
+    cell's first span. Rows with too few cells are NULL. Each step is an array
+    function over the one before, so nothing is parsed twice.
+    """
     table = F.regexp_extract(F.regexp_replace(html, _COMMENT, ""), _TABLE, 1)
-    rows = F.regexp_extract_all(table, F.lit(_ROW), 1)
-    return F.transform(rows, lambda row: F.regexp_extract_all(row, F.lit(_CELL), 1))
+    plain = F.replace(F.regexp_replace(table, _NBSP, " "), F.lit("&amp;"), F.lit("&"))
+    rows = F.regexp_extract_all(plain, F.lit(_ROW), 1)
+    split = F.transform(rows, lambda row: F.regexp_extract_all(row, F.lit(_CELL), 1))
+    return F.transform(split, _quote_row)
 
 
-def cell_text(cell: Column) -> Column:
-    """What a reader sees in a cell."""
-    plain = F.regexp_replace(cell, _TAG, "")
-    blank = F.regexp_replace(plain, r"(?i)&(?:nbsp|#160|#xa0);", " ")
-    return strip(F.replace(blank, F.lit("&amp;"), F.lit("&")))
+def _quote_row(cells: Column) -> Column:
+    span = _text(F.regexp_extract(F.get(cells, 0), _SPAN, 1))
+    row = F.struct(span.alias("span"), F.transform(cells, _text).alias("cells"))
+    return F.when(F.size(cells) >= ROW_CELLS, row)
 
 
-def span_text(cell: Column) -> Column:
-    """Text of the first span in a cell; NULL where there is no span."""
-    return F.when(cell.rlike(r"(?i)<span\b"), cell_text(F.regexp_extract(cell, _SPAN, 1)))
+def _text(cell: Column) -> Column:
+    return strip(F.regexp_replace(cell, _TAG, ""))
 
 
 def last_page(html: Column) -> Column:

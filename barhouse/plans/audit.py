@@ -29,12 +29,11 @@ def sources_of(
     """Text rows and stored rows of the periods both sides have, and the
     periods each side has."""
     length = NAME_LENGTH[grain]
-    listed = text_files(spark, text_root).select("path", F.substring("day", 1, length).alias("period")).collect()
-    manifest = period_manifest(spark, root).where(F.length("period") == length)
-    stored = manifest.select("path", "period").collect()
-    texts, held = {r.period for r in listed}, {r.period for r in stored}
+    files = text_files(spark, text_root)
+    stored = period_manifest(spark, root).where(F.length("period") == length).select("path", "period").collect()
+    texts, held = {day[:length] for day in files}, {r.period for r in stored}
     both = texts & held
-    txt_paths = [r.path for r in listed if r.period in both]
+    txt_paths = [path for day, paths in sorted(files.items()) if day[:length] in both for path in paths]
     txt = read_text(spark, ds, txt_paths) if txt_paths else spark.createDataFrame([], ds.schema)
     pq = read_periods(spark, ds, root, [r.path for r in stored if r.period in both])
     return txt, pq.select(*ds.columns), texts, held

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barhouse.datasets import Dataset, dataset
+from barhouse.functions.routing import TimeBounds, time_bounds
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.reconcile import conversion_check
 from barhouse.plans.writers import write_days
 from barhouse.sources.periods import period_manifest, read_periods, resolve_tiers
 from barhouse.sources.text_days import read_text, text_files
 
+_PENDING = "day string, reason string"
+
 
 def pending_days(
     spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False
@@ -22,42 +27,53 @@ def pending_days(
     others are read and compared, all in one job.
     """
     ds = dataset(which)
-    listed = text_files(spark, text_root)
-    span = listed.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-    days = listed.select("day").distinct()
-    if span.first is None:
-        return days.select("day", F.lit("new").alias("reason"))
-    tiers = resolve_tiers(period_manifest(spark, root), span["first"], span["last"])
-    stored = tiers.select("path", "period")
-    covered = days.join(stored, F.expr("startswith(day, period)"), "left_semi")
-    new = days.join(covered, "day", "left_anti").select("day", F.lit("new").alias("reason"))
-    compared = [r.path for r in listed.join(covered, "day", "left_semi").select("path").collect()]
-    if not compared:
-        return new
-    paths = [r.path for r in stored.select("path").collect()]
-    held = read_periods(spark, ds, root, paths)
-    known = held.join(
-        F.broadcast(covered.select(F.to_timestamp_ntz("day", F.lit("yyyy-MM-dd")).alias("_day"))),
-        F.col(ds.time).cast("date").cast("timestamp_ntz") == F.col("_day"),
-        "left_semi",
-    )
-    checked = conversion_check(read_text(spark, ds, compared), known, ds, int_tolerance)
-    stale = checked.where("not converted").select("day", F.lit("stale").alias("reason"))
-    return new.unionByName(stale)
+    new, compared = _split_days(spark, text_files(spark, text_root), root)
+    fresh = spark.createDataFrame([(day, "new") for day in new], _PENDING)
+    if not compared.paths:
+        return fresh
+    held = read_periods(spark, ds, root, compared.stored, compared.bounds)
+    known = held.where(F.col(ds.time).cast("date").cast("string").isin(compared.days))
+    checked = conversion_check(read_text(spark, ds, compared.paths), known, ds, int_tolerance)
+    return fresh.unionByName(checked.where("not converted").select("day", F.lit("stale").alias("reason")))
 
 
 def convert_text(spark: SparkSession, text_root: str, which: str | Dataset, root: str, **options) -> DataFrame:
-    """Convert every pending day in one job; returns (day, reason, rows).
+    """Convert every pending day in one job; returns (day, reason).
 
     Copies of a row are dropped, days already converted are left alone, and
     running it again does nothing.
     """
     ds = dataset(which)
-    reasons = {r.day: r.reason for r in pending_days(spark, text_root, ds, root, **options).collect()}
-    schema = "day string, reason string"
-    done = spark.createDataFrame(sorted(reasons.items()), schema)
-    if reasons:
-        listed = text_files(spark, text_root).join(done, "day", "left_semi")
-        paths = [r.path for r in listed.select("path").collect()]
+    pending = [tuple(r) for r in pending_days(spark, text_root, ds, root, **options).collect()]
+    if pending:
+        files = text_files(spark, text_root)
+        paths = [path for day, _ in pending for path in files[day]]
         write_days(drop_copies(read_text(spark, ds, paths)), ds, root)
-    return done
+    return spark.createDataFrame(sorted(pending), _PENDING)
+
+
+@dataclass(frozen=True)
+class _Compared:
+    """Text days that have stored rows, and the periods those are in."""
+
+    days: list[str]
+    paths: list[str]
+    stored: list[str]
+
+    @property
+    def bounds(self) -> TimeBounds:
+        return time_bounds(self.days[0], self.days[-1], intraday=True)
+
+
+def _split_days(spark: SparkSession, files: dict[str, list[str]], root: str) -> tuple[list[str], _Compared]:
+    days = sorted(files)
+    if not days:
+        return [], _Compared([], [], [])
+    years = range(int(days[0][:4]), int(days[-1][:4]) + 1)
+    tiers = resolve_tiers(period_manifest(spark, root, years), days[0], days[-1])
+    stored = {r.period: r.path for r in tiers.select("period", "path").collect()}
+    covering = {day: [p for p in (day, day[:7], day[:4]) if p in stored] for day in days}
+    known = [day for day in days if covering[day]]
+    periods = sorted({p for day in known for p in covering[day]})
+    paths = [path for day in known for path in files[day]]
+    return [day for day in days if not covering[day]], _Compared(known, paths, [stored[p] for p in periods])

@@ -6,12 +6,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from barhouse.functions.clean import clock_time, comma_int, dotted_date, try_day_time, without_commas
-from barhouse.functions.html import cell_text, last_page, quote_rows, span_text
+from barhouse.functions.clean import clock_time, dotted_date, try_day_time, without_commas
+from barhouse.functions.html import last_page, quote_rows
 from barhouse.operators.dedup import first_per_key
 
-# The fewest cells a data row has, and the cell each value is in.
-ROW_CELLS = 7
+# The cell each value is in.
 DAY_CELLS = {"close": 1, "open": 3, "high": 4, "low": 5, "volume": 6}
 MINUTE_CELLS = {"price": 1, "volume": 6}
 
@@ -45,20 +44,18 @@ def decode_pages(pages: DataFrame) -> DataFrame:
 
 
 def _rows(pages: DataFrame) -> DataFrame:
-    cells = F.posexplode(quote_rows(F.col("html"))).alias("row", "_c")
-    rows = pages.select("symbol", "date", "page", cells)
-    return rows.where(F.size("_c") >= ROW_CELLS)
+    rows = F.posexplode(quote_rows(F.col("html"))).alias("row", "_r")
+    return pages.select("symbol", "date", "page", rows).where(F.col("_r").isNotNull())
 
 
-def _at(i: int):
-    return F.get(F.col("_c"), i)
+def _values(cells: dict[str, int]) -> list[Column]:
+    return [without_commas(F.get(F.col("_r.cells"), i)).alias(name) for name, i in cells.items()]
 
 
 def parse_day_pages(pages: DataFrame) -> DataFrame:
     """Every well-formed row of daily quote pages, values as bare text."""
-    values = [without_commas(cell_text(_at(i))).alias(name) for name, i in DAY_CELLS.items()]
     rows = _rows(pages).select(
-        "symbol", "date", "page", "row", dotted_date(span_text(_at(0))).alias("row_date"), *values
+        "symbol", "date", "page", "row", dotted_date(F.col("_r.span")).alias("row_date"), *_values(DAY_CELLS)
     )
     return rows.where(F.col("row_date").isNotNull())
 
@@ -71,16 +68,15 @@ def day_bars(pages: DataFrame) -> DataFrame:
     first = first_per_key(wanted, ["symbol", "date"], ["page", "row"])
     numbers = ["open", "high", "low", "close", "volume"]
     typed = first.select(
-        "symbol", F.col("date").cast("timestamp_ntz").alias("date"), *[comma_int(F.col(c)).alias(c) for c in numbers]
+        "symbol", F.col("date").cast("timestamp_ntz").alias("date"), *[F.col(c).try_cast("bigint").alias(c) for c in numbers]
     )
     return typed.dropna(subset=numbers)
 
 
 def parse_minute_pages(pages: DataFrame) -> DataFrame:
     """Every well-formed row of minute quote pages, values as bare text."""
-    values = [without_commas(cell_text(_at(i))).alias(name) for name, i in MINUTE_CELLS.items()]
     rows = _rows(pages).select(
-        "symbol", "date", "page", "row", clock_time(span_text(_at(0))).alias("time"), *values
+        "symbol", "date", "page", "row", clock_time(F.col("_r.span")).alias("time"), *_values(MINUTE_CELLS)
     )
     return rows.where(F.col("time").isNotNull())
 
@@ -91,8 +87,8 @@ def minute_ticks(pages: DataFrame) -> DataFrame:
     typed = first.select(
         "symbol",
         try_day_time(F.col("date").cast("date"), F.col("time")).alias("dt"),
-        comma_int(F.col("price")).alias("price"),
-        comma_int(F.col("volume")).alias("volume"),
+        F.col("price").try_cast("bigint").alias("price"),
+        F.col("volume").try_cast("bigint").alias("volume"),
     )
     return typed.dropna()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset, dataset
@@ -12,12 +14,13 @@ DAY_FILE = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9].txt"
 CORRUPT = "_corrupt_record"
 
 
-def text_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, day) of every day file below a folder; contents aren't read."""
-    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=DAY_FILE)
-    return files.load(root).select(
-        "path", F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})\.txt$", 1).alias("day")
-    )
+def text_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The day files below a folder, by day. Nothing is read for it."""
+    found = spark.read.options(recursiveFileLookup=True, pathGlobFilter=DAY_FILE).text(root).inputFiles()
+    days: dict[str, list[str]] = {}
+    for path in map(unquote, found):
+        days.setdefault(path.rsplit("/", 1)[-1].removesuffix(".txt"), []).append(path)
+    return days
 
 
 def read_text(

@@ -1,0 +1,165 @@
+"""Extraction over days, months, years and older single files."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from barhouse import extract_day, extract_minute, extract_us, query, read_range, write_days
+from barhouse.sources.periods import period_manifest, resolve_tiers
+from tests.helpers import BARS, TICKS, US, frame, rows_of
+
+
+def test_day_round_trip(spark, tmp_path):
+    write_days(frame(spark, "KR-1d", BARS), "KR-1d", str(tmp_path))
+    got = extract_day(spark, str(tmp_path), "005930", "2026-01-15", "2026-01-15").collect()
+    assert [tuple(r) for r in got] == [BARS[0]]
+
+
+def test_minute_bounds_are_inclusive_and_ordered(spark, tmp_path):
+    write_days(frame(spark, "KR-1m", TICKS), "KR-1m", str(tmp_path))
+    got = extract_minute(spark, str(tmp_path), "005930", "2026-01-15 09:00:00", "2026-01-15 09:02:00")
+    assert [tuple(r) for r in got.collect()] == TICKS[:3]
+    assert extract_minute(spark, str(tmp_path), "005930", "2026-01-15 09:01:00", "2026-01-15 09:01:30").count() == 1
+
+
+def test_bare_end_date_reaches_the_last_second(spark, tmp_path):
+    late = [("1", datetime(2026, 1, 15, 23, 59, 59), 1, 1), ("1", datetime(2026, 1, 15, 23, 59, 59, 500000), 2, 1)]
+    write_days(frame(spark, "KR-1m", late), "KR-1m", str(tmp_path))
+    assert [r.price for r in extract_minute(spark, str(tmp_path), "1", "2026-01-15").collect()] == [1]
+
+
+def test_us_round_trip_upper_cases_the_request(spark, tmp_path):
+    write_days(frame(spark, "US-5m", US), "US-5m", str(tmp_path))
+    got = extract_us(spark, str(tmp_path), "aapl", "2025-12-15 09:30:00", "2025-12-15 09:40:00").collect()
+    assert [r.price for r in got] == [180.50, 180.75, 180.60]
+
+
+def test_nothing_stored_gives_empty_with_schema(spark, tmp_path):
+    got = extract_day(spark, str(tmp_path), "005930", "2026-01-15")
+    assert got.columns == ["symbol", "date", "open", "high", "low", "close", "volume"]
+    assert got.count() == 0
+
+
+def test_query_routes_by_symbol(spark, tmp_path):
+    write_days(frame(spark, "KR-1m", TICKS), "KR-1m", f"{tmp_path}/KR-1m")
+    write_days(frame(spark, "US-5m", US), "US-5m", f"{tmp_path}/US-5m")
+    assert query(spark, str(tmp_path), "min", "000660", "2026-01-15").count() == 2
+    assert query(spark, str(tmp_path), "min", "TSLA", "2025-12-15").count() == 2
+    with pytest.raises(ValueError):
+        query(spark, str(tmp_path), "day", "AAPL", "2025-12-15")
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    write_days(frame(spark, "KR-1m", TICKS), "KR-1m", str(tmp_path))
+    plan = extract_minute(spark, str(tmp_path), "005930", "2026-01-15")._jdf.queryExecution().toString()
+    pushed = plan[plan.rindex("PushedFilters"):]
+    assert "EqualTo(symbol,005930)" in pushed
+    assert "GreaterThanOrEqual(dt" in pushed
+
+
+def test_many_symbols_as_table(spark, tmp_path):
+    write_days(frame(spark, "KR-1d", BARS), "KR-1d", str(tmp_path))
+    wanted = spark.createDataFrame([("005930",), ("035720",), ("035720",)], "symbol string")
+    assert extract_day(spark, str(tmp_path), wanted, "2026-01-15").count() == 2
+
+
+def _legacy(path, times, unit, **types):
+    frame = pd.DataFrame(
+        {
+            "symbol": ["A"] * len(times),
+            "dt": pd.to_datetime(times).astype(f"datetime64[{unit}]"),
+            "price": np.array([0.1] * len(times), dtype=types.get("price", "float64")),
+            "volume": np.array([7] * len(times), dtype=types.get("volume", "int64")),
+        }
+    )
+    if types.get("category"):
+        frame["symbol"] = frame["symbol"].astype("category")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    frame.to_parquet(path, compression="zstd", index=False)
+
+
+def test_single_files_of_mixed_width_and_time_unit(spark, tmp_path):
+    _legacy(tmp_path / "2022.parquet", ["2022-03-01 09:30", "2022-03-02 09:30"], "ns", price="float32", volume="int8", category=True)
+    _legacy(tmp_path / "2023" / "2023.parquet", ["2023-03-01 09:30"], "us", price="float32", volume="int32")
+    _legacy(tmp_path / "2024" / "2024-02.parquet", ["2024-02-01 09:30:00.123456"], "us")
+    _legacy(tmp_path / "2024" / "2024-02-09.parquet", ["2024-02-09 09:30"], "ns")
+    _legacy(tmp_path / "2024" / "2024-03-05.parquet", ["2024-03-05 09:30"], "ns")
+    _legacy(tmp_path / "2024" / "notes.parquet", ["2024-03-06 09:30"], "ns")
+    own = spark.createDataFrame([("A", datetime(2025, 1, 2, 9, 30), 0.1, 7)], "symbol string, dt timestamp_ntz, price double, volume bigint")
+    write_days(own, "US-5m", str(tmp_path))
+
+    got = extract_us(spark, str(tmp_path), "A", "2022-01-01", "2025-12-31").collect()
+    assert [r.dt for r in got] == [
+        datetime(2022, 3, 1, 9, 30), datetime(2022, 3, 2, 9, 30), datetime(2023, 3, 1, 9, 30),
+        datetime(2024, 2, 1, 9, 30, 0, 123456), datetime(2024, 3, 5, 9, 30), datetime(2025, 1, 2, 9, 30),
+    ]
+    assert [r.volume for r in got] == [7] * 6
+    assert got[0].price == pytest.approx(0.1) and got[3].price == 0.1
+    narrow = extract_us(spark, str(tmp_path), "A", "2022-03-02", "2022-03-02")
+    assert narrow.count() == 1
+
+
+def test_corrupt_files_fail_unless_told_otherwise(spark, tmp_path):
+    _legacy(tmp_path / "2024" / "2024-03-05.parquet", ["2024-03-05 09:30"], "us")
+    (tmp_path / "2024" / "2024-03-06.parquet").write_bytes(b"PAR1 this is no parquet PAR1")
+    ask = lambda **o: extract_us(spark, str(tmp_path), "A", "2024-03-01", "2024-03-31", **o).count()
+    with pytest.raises(Exception):
+        ask()
+    assert ask(ignore_corrupt=True) == 1
+
+
+def test_replacing_one_day_leaves_the_others(spark, tmp_path):
+    two = [("1", datetime(2026, 1, 15, 9), 1, 1), ("1", datetime(2026, 1, 16, 9), 2, 1)]
+    write_days(frame(spark, "KR-1m", two), "KR-1m", str(tmp_path))
+    write_days(frame(spark, "KR-1m", [("1", datetime(2026, 1, 16, 9), 5, 1)]), "KR-1m", str(tmp_path))
+    assert sorted(r.price for r in read_range(spark, "KR-1m", str(tmp_path), "2026-01-01", "2026-01-31").collect()) == [1, 5]
+
+
+def _brute(periods: set[str], first: date, last: date) -> set[str]:
+    """Tier by tier, as a reader without a manifest would look."""
+    chosen = set()
+    day = first
+    while day <= last:
+        text = day.isoformat()
+        for name in (text[:4], text[:7], text):
+            if name in periods:
+                chosen.add(name)
+                break
+        day += timedelta(days=1)
+    return chosen
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tiers_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    start = date(2020, 1, 1)
+    days = [(start + timedelta(days=rng.randrange(1200))).isoformat() for _ in range(120)]
+    months = [f"{rng.randrange(2020, 2024)}-{rng.randrange(1, 13):02d}" for _ in range(8)]
+    periods = set(days) | set(months) | {str(rng.randrange(2020, 2024))}
+    listed = [
+        (f"/x/{p}", p, p[:4], p[:7] if len(p) > 4 else None, {4: 0, 7: 1, 10: 2}[len(p)], 0) for p in sorted(periods)
+    ]
+    manifest = spark.createDataFrame(listed, "path string, period string, year string, month string, grain int, layout int")
+    first = start + timedelta(days=rng.randrange(300))
+    last = first + timedelta(days=rng.randrange(1, 900))
+    got = {r.period for r in resolve_tiers(manifest, first.isoformat(), last.isoformat()).collect()}
+    want = _brute(periods, first, last)
+    # A year or month is chosen by name even where none of its days is asked for.
+    assert want <= got
+    assert {p for p in got if len(p) == 10} == {p for p in want if len(p) == 10}
+    assert got == want
+
+
+def test_manifest_reads_both_layouts(spark, tmp_path):
+    write_days(frame(spark, "KR-1d", BARS), "KR-1d", str(tmp_path))
+    _legacy(tmp_path / "2024.parquet", ["2024-03-05"], "us")
+    _legacy(tmp_path / "2024" / "2024.parquet", ["2024-03-05"], "us")
+    manifest = period_manifest(spark, str(tmp_path))
+    assert rows_of(manifest.select("period", "layout")) == [("2024", 1), ("2024", 2), ("2026-01-15", 0)]
+    chosen = resolve_tiers(manifest, "2024-01-01", "2024-12-31").collect()
+    assert [r.path.endswith("2024.parquet") and "2024/2024" not in r.path for r in chosen] == [True]

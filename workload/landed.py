@@ -10,7 +10,7 @@ from barhouse.operators.symbols import restrict_to_symbols
 from barhouse.session import scratch_dir
 from barhouse.sources.listing import all_symbols, parse_listing, read_symbols
 from barhouse.sources.pages import day_bars, decode_pages, page_gaps, parse_day_pages
-from workload import views as v
+from workload import lakes, views as v
 from workload.extracts import ALL_TICKS
 
 # Fixed value: the word for "date" in the pages' own encoding.
@@ -60,12 +60,27 @@ def day_page_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landed_day_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "landed-day-pages", day_page_table)
+
+
+def landed_minute_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "landed-minute-pages", minute_page_table)
+
+
+def _landed(spark: SparkSession, sf: str, name: str, pages_of) -> DataFrame:
+    """Pages as a landing zone holds them: many files in no order."""
+    tasks = spark.sparkContext.defaultParallelism
+    build = lambda root: pages_of(spark, sf).repartition(tasks).write.parquet(f"{root}/pages")
+    return spark.read.parquet(f"{lakes.shared(spark, sf, name, build)}/pages")
+
+
 def day_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return day_bars(decode_pages(day_page_table(spark, sf)))
+    return day_bars(decode_pages(landed_day_pages(spark, sf)))
 
 
 def day_page_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_day_pages(decode_pages(day_page_table(spark, sf)))
+    return parse_day_pages(decode_pages(landed_day_pages(spark, sf)))
 
 
 def minute_page_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +102,7 @@ def minute_page_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def minute_pages_first(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "minute-pages")
-    load_minute_pages(minute_page_table(spark, sf), root)
+    load_minute_pages(landed_minute_pages(spark, sf), root)
     return read_range(spark, "KR-1m", root, *ALL_TICKS)
 
 

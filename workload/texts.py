@@ -73,7 +73,7 @@ def _dump(spark: SparkSession, sf: str) -> str:
         rest = F.when(F.col("l_linenumber") == 7, "").otherwise(",0")
         lines = line.select(F.concat(F.concat_ws(",", *fields), rest).alias("value"))
         head = spark.createDataFrame([(",".join(FIELDS),)], "value string")
-        head.union(lines).write.text(root)
+        head.union(lines.repartition(spark.sparkContext.defaultParallelism)).write.text(root)
 
     return lakes.shared(spark, sf, "dump", build)
 
