@@ -34,6 +34,11 @@ class Dataset:
         parts = [column.split() for column in self.ddl.split(", ")]
         return StructType([StructField(name, _TYPES[kind]) for name, kind in parts])
 
+    @property
+    def text_fields(self) -> list[tuple[str, str]]:
+        """(name, type) of the tab-separated fields of a text line."""
+        return [tuple(part.split()) for part in self.text_ddl.split(", ")]
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()

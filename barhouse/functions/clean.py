@@ -76,9 +76,9 @@ def short_code(isin: Column) -> Column:
     return F.substring(isin, *SHORT_CODE)
 
 
-def valid_text(text: Column) -> Column:
-    """Leave out bytes that aren't UTF-8."""
-    return F.translate(F.make_valid_utf8(text), NOT_UTF8, "")
+def without_bad_bytes(text: Column) -> Column:
+    """Leave out what a reader put in for bytes that aren't UTF-8."""
+    return F.replace(text, F.lit(NOT_UTF8), F.lit(""))
 
 
 def file_day(file_name: Column) -> Column:

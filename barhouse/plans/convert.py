@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from barhouse.functions.routing import TimeBounds, time_bounds
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.reconcile import conversion_check
 from barhouse.plans.writers import write_days
-from barhouse.sources.periods import period_manifest, read_periods, resolve_tiers
+from barhouse.sources.periods import list_periods, manifest_of, read_periods, resolve_tiers
 from barhouse.sources.text_days import read_text, text_files
 
 _PENDING = "day string, reason string"
@@ -26,32 +27,43 @@ def pending_days(
     Days without stored rows are told from the file names alone; only the
     others are read and compared, all in one job.
     """
-    ds = dataset(which)
-    new, compared = _split_days(spark, text_files(spark, text_root), root)
+    new, stale = _pending(spark, text_files(spark, text_root), dataset(which), root, int_tolerance)
     fresh = spark.createDataFrame([(day, "new") for day in new], _PENDING)
-    if not compared.paths:
-        return fresh
-    held = read_periods(spark, ds, root, compared.stored, compared.bounds)
-    known = held.where(F.col(ds.time).cast("date").cast("string").isin(compared.days))
-    checked = conversion_check(read_text(spark, ds, compared.paths), known, ds, int_tolerance)
-    return fresh.unionByName(checked.where("not converted").select("day", F.lit("stale").alias("reason")))
+    return fresh if stale is None else fresh.unionByName(stale)
 
 
-def convert_text(spark: SparkSession, text_root: str, which: str | Dataset, root: str, **options) -> DataFrame:
+def convert_text(
+    spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False
+) -> DataFrame:
     """Convert every pending day in one job; returns (day, reason).
 
     Copies of a row are dropped, days already converted are left alone, and
     running it again does nothing.
     """
-    ds = dataset(which)
-    pending = [tuple(r) for r in pending_days(spark, text_root, ds, root, **options).collect()]
+    ds, files = dataset(which), text_files(spark, text_root)
+    new, stale = _pending(spark, files, ds, root, int_tolerance)
+    pending = [(day, "new") for day in new]
+    if stale is not None:
+        pending += [tuple(r) for r in stale.collect()]
     if pending:
-        files = text_files(spark, text_root)
         paths = [path for day, _ in pending for path in files[day]]
         write_days(drop_copies(read_text(spark, ds, paths)), ds, root)
     return spark.createDataFrame(sorted(pending), _PENDING)
 
 
+def _pending(
+    spark: SparkSession, files: dict[str, list[str]], ds: Dataset, root: str, int_tolerance: bool
+) -> tuple[list[str], DataFrame | None]:
+    """New days, and a table of the stale ones among the others, if any."""
+    new, compared = _split_days(spark, files, root)
+    if not compared.paths:
+        return new, None
+    held = read_periods(spark, ds, root, compared.stored, compared.bounds)
+    known = held.where(F.col(ds.time).cast("date").isin([date.fromisoformat(d) for d in compared.days]))
+    checked = conversion_check(read_text(spark, ds, compared.paths), known, ds, int_tolerance)
+    return new, checked.where("not converted").select("day", F.lit("stale").alias("reason"))
+
+
 @dataclass(frozen=True)
 class _Compared:
     """Text days that have stored rows, and the periods those are in."""
@@ -70,7 +82,10 @@ def _split_days(spark: SparkSession, files: dict[str, list[str]], root: str) ->
     if not days:
         return [], _Compared([], [], [])
     years = range(int(days[0][:4]), int(days[-1][:4]) + 1)
-    tiers = resolve_tiers(period_manifest(spark, root, years), days[0], days[-1])
+    found = list_periods(spark, root, years)
+    if not found:
+        return days, _Compared([], [], [])
+    tiers = resolve_tiers(manifest_of(spark, found), days[0], days[-1])
     stored = {r.period: r.path for r in tiers.select("period", "path").collect()}
     covering = {day: [p for p in (day, day[:7], day[:4]) if p in stored] for day in days}
     known = [day for day in days if covering[day]]

@@ -8,7 +8,7 @@ from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset, dataset
 from barhouse.functions.routing import route, time_bounds
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.symbols import restrict_to_symbols
-from barhouse.sources.periods import period_manifest, read_periods, resolve_tiers
+from barhouse.sources.periods import list_periods, manifest_of, read_periods, resolve_tiers
 
 Symbols = str | list[str] | DataFrame
 
@@ -30,9 +30,9 @@ def read_range(
     """
     ds = dataset(which)
     bounds = time_bounds(start, end, ds.intraday)
-    manifest = period_manifest(spark, root, range(bounds.start.year, bounds.end.year + 1))
-    tiers = resolve_tiers(manifest, bounds.first_day, bounds.last_day, policy)
-    paths = [row.path for row in tiers.select("path").collect()]
+    found = list_periods(spark, root, range(bounds.start.year, bounds.end.year + 1))
+    tiers = resolve_tiers(manifest_of(spark, found), bounds.first_day, bounds.last_day, policy)
+    paths = [row.path for row in tiers.select("path").collect()] if found else []
     rows = read_periods(spark, ds, root, paths, bounds, ignore_corrupt).select(*ds.columns)
     return drop_copies(rows) if policy == "union" else rows
 

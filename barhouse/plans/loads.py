@@ -9,7 +9,7 @@ from barhouse.operators.reports import load_summary
 from barhouse.plans.extract import read_range
 from barhouse.plans.writers import write_days
 from barhouse.sources.pages import day_bars, decode_pages, minute_ticks
-from barhouse.sources.ticker_csv import parse_ticker_lines, read_ticker_lines
+from barhouse.sources.ticker_csv import parse_ticker_fields, read_ticker_fields
 
 
 def load_ticker_csv(
@@ -19,8 +19,8 @@ def load_ticker_csv(
 
     Every row goes to the day and year of its own exchange time.
     """
-    parsed = parse_ticker_lines(read_ticker_lines(spark, source), earliest, mode)
-    write_days(parsed.where("verdict = 'ok'"), US_5M, root)
+    parsed = parse_ticker_fields(read_ticker_fields(spark, source), earliest, mode)
+    write_days(parsed.where("verdict = 'ok'"), US_5M, root, layout="rebalance")
     return parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
 
 

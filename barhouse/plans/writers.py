@@ -9,7 +9,13 @@ from barhouse.files import Files
 from barhouse.operators.fingerprint import digest
 from barhouse.operators.reconcile import period_of
 
-COMPRESSION = "zstd"
+# Stored files: zstd, with the delta encodings of version-2 pages, which suit
+# sorted times and whole numbers. Only the partitions written are replaced.
+WRITE_OPTIONS = {
+    "compression": "zstd",
+    "parquet.writer.version": "PARQUET_2_0",
+    "partitionOverwriteMode": "dynamic",
+}
 PERIOD_COLUMNS = ["year", "period"]
 
 
@@ -29,25 +35,38 @@ def write_rows(
     root: str,
     *,
     mode: str = "overwrite",
+    layout: str = "range",
     partitions: int | None = None,
     observation: Observation | None = None,
 ) -> None:
     """Write rows that carry ``year`` and ``period``, sorted by key.
 
-    Rows are range-partitioned over (period, key, other columns): a task gets a
-    contiguous run, a small period lands in one file, and a large period, or
-    one where a single symbol has most rows, is cut into several files of
-    disjoint key ranges. The observation is taken after that shuffle, in the
-    stage that writes, so that a lost executor can't make it count twice.
+    ``range``: rows are range-partitioned over (period, key, other columns). A
+    task gets a contiguous run, a small period lands in one file, and a large
+    period, or one where a single symbol has most rows, is cut into files of
+    disjoint key ranges. Finding the ranges reads the input once more, so this
+    suits inputs that come out of a shuffle.
+
+    ``rebalance``: rows are sent to their period's task in one pass; AQE cuts
+    periods that are too large and joins those that are small. This suits
+    inputs that are costly to read, such as text.
+
+    An observation is taken after the shuffle, in the stage that writes, so
+    that a lost executor can't make it count twice.
     """
     ds = dataset(which)
     order = ["year", "period", *ds.key]
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order, *ds.values)
+    if layout == "range":
+        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = df.repartitionByRange(parts, *order, *ds.values)
+    elif layout == "rebalance":
+        placed = df.hint("rebalance", *PERIOD_COLUMNS)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     if observation is not None:
-        ranged = ranged.observe(observation, *digest(ds, "period"))
-    writer = ranged.sortWithinPartitions(*order).write.partitionBy(*PERIOD_COLUMNS)
-    writer.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION).parquet(root)
+        placed = placed.observe(observation, *digest(ds, "period"))
+    writer = placed.sortWithinPartitions(*order).write.partitionBy(*PERIOD_COLUMNS)
+    writer.mode(mode).options(**WRITE_OPTIONS).parquet(root)
 
 
 def write_days(
@@ -57,22 +76,22 @@ def write_days(
     *,
     grain: str = "day",
     mode: str = "overwrite",
+    layout: str = "range",
     partitions: int | None = None,
 ) -> None:
     """Store rows as daily periods; only the days that occur are replaced.
 
     ``mode="append"`` adds to stored days instead. ``grain`` may also be
-    ``month`` or ``year``.
+    ``month`` or ``year``; for ``layout`` see :func:`write_rows`.
     """
-    write_rows(with_period(df, which, grain), which, root, mode=mode, partitions=partitions)
+    write_rows(with_period(df, which, grain), which, root, mode=mode, layout=layout, partitions=partitions)
 
 
 def text_lines(df: DataFrame, which: str | Dataset, *extra: Column) -> DataFrame:
     """Rows as tab-separated lines in the dataset's text layout."""
     ds = dataset(which)
-    names = [part.split()[0] for part in ds.text_ddl.split(", ")]
     clock = F.substring(F.col(ds.time).cast("string"), 12, 5)
-    fields = [clock if n == "time" else F.col(n).cast("string") for n in names]
+    fields = [clock if n == "time" else F.col(n).cast("string") for n, _ in ds.text_fields]
     filled = [F.coalesce(f, F.lit("")) for f in fields]
     return df.select(F.concat_ws("\t", *filled).alias("value"), *extra)
 

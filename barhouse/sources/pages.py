@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -93,6 +95,13 @@ def minute_ticks(pages: DataFrame) -> DataFrame:
     return typed.dropna()
 
 
+def page_rejects(rows: DataFrame) -> DataFrame:
+    """Parsed page rows, of either kind, with a value that is no whole number."""
+    values = [c for c in rows.columns if c in {*DAY_CELLS, *MINUTE_CELLS}]
+    bad = [F.col(c).try_cast("bigint").isNull() for c in values]
+    return rows.where(reduce(Column.__or__, bad))
+
+
 def page_gaps(pages: DataFrame) -> DataFrame:
     """(symbol, date, page) of pages that should have landed but didn't.
 

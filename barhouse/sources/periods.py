@@ -31,25 +31,29 @@ _MANIFEST = pa.schema([("path", pa.string()), ("period", pa.string()), ("layout"
 _FOLDER, _TOP_FILE, _YEAR_FILE = 0, 1, 2
 
 
-def period_manifest(spark: SparkSession, root: str, years: Iterable[int] | None = None) -> DataFrame:
-    """One row per stored period: path, period, year, month, grain, layout.
+def list_periods(spark: SparkSession, root: str, years: Iterable[int] | None = None) -> list[tuple[str, str, int]]:
+    """(path, name, layout) of what is stored under names that look like periods.
 
-    Folder names are listed, not the data files in them, so the size of the
-    manifest is bounded by the calendar. ``years`` narrows the listing.
+    Folder names are listed, not the data files in them, so the list is
+    bounded by the calendar. ``years`` narrows the listing.
     """
     files, base = Files(spark, root), root.rstrip("/")
     year = "{" + ",".join(f"{y:04d}" for y in years) + "}" if years else "[0-9]" * 4
-    found = [
-        (e.path, e.name.removeprefix("period="), _FOLDER)
-        for e in files.glob(f"{base}/year={year}/period=*")
-    ]
     stem = lambda e: e.name.removesuffix(".parquet")
+    folders = files.glob(f"{base}/year={year}/period=*")
+    found = [(e.path, e.name.removeprefix("period="), _FOLDER) for e in folders]
     found += [(e.path, stem(e), _TOP_FILE) for e in files.glob(f"{base}/{year}.parquet")]
-    found += [
-        (e.path, stem(e), _YEAR_FILE)
-        for e in files.glob(f"{base}/{year}/[0-9]*.parquet")
-        if stem(e)[:4] == e.parent
-    ]
+    nested = [e for e in files.glob(f"{base}/{year}/[0-9]*.parquet") if stem(e)[:4] == e.parent]
+    return found + [(e.path, stem(e), _YEAR_FILE) for e in nested]
+
+
+def period_manifest(spark: SparkSession, root: str, years: Iterable[int] | None = None) -> DataFrame:
+    """One row per stored period: path, period, year, month, grain, layout."""
+    return manifest_of(spark, list_periods(spark, root, years))
+
+
+def manifest_of(spark: SparkSession, found: list[tuple[str, str, int]]) -> DataFrame:
+    """The manifest of listed names; those that aren't periods are left out."""
     table = pa.table([list(c) for c in zip(*found)] or [[], [], []], schema=_MANIFEST)
     named = spark.createDataFrame(table).where(F.col("period").rlike(PERIOD_NAME))
     length = F.length("period")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset, dataset
 from barhouse.functions.clean import day_time, file_day, try_day_time, whole_volume
@@ -13,6 +13,10 @@ from barhouse.functions.clean import day_time, file_day, try_day_time, whole_vol
 DAY_FILE = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9].txt"
 CORRUPT = "_corrupt_record"
 
+# Lines are always split whole: with pruned columns one of the wrong length
+# would pass unnoticed.
+_OPTIONS = {"sep": "\t", "recursiveFileLookup": True, "pathGlobFilter": DAY_FILE, "columnPruning": False}
+
 
 def text_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """The day files below a folder, by day. Nothing is read for it."""
@@ -28,25 +32,24 @@ def read_text(
 ) -> DataFrame:
     """Typed rows of a dataset's day files, copies of a row included.
 
-    A malformed line fails the read. With ``mode="DROPMALFORMED"`` it is left
-    out; see :func:`read_text_rejects` for the lines concerned.
+    Reading a malformed line fails. With ``mode="DROPMALFORMED"`` such lines
+    are left out; :func:`read_text_rejects` has them.
     """
     ds = dataset(which)
-    return _typed(ds, _raw(spark, ds.text_ddl, root, mode), day_time)
+    if mode == "FAILFAST":
+        reader = spark.read.schema(ds.text_ddl).options(**_OPTIONS, mode=mode)
+        return _typed(ds, _with_day(reader.csv(root)), day_time, _demand)
+    if mode != "DROPMALFORMED":
+        raise ValueError(f"unknown mode {mode!r}")
+    return _typed(ds, _judged(spark, ds, root).where("not _bad"), try_day_time, Column.try_cast)
 
 
 def read_text_rejects(spark: SparkSession, which: str | Dataset, root: str | list[str]) -> DataFrame:
     """(day, line) of every line that doesn't fit the dataset's layout."""
     ds = dataset(which)
-    raw = _raw(spark, f"{ds.text_ddl}, {CORRUPT} string", root, "PERMISSIVE")
-    bad = F.col(CORRUPT).isNotNull()
-    if ds.intraday:
-        bad |= try_day_time(F.col("_day"), F.col("time")).isNull()
-    width = len(ds.text_ddl.split(","))
-    whole = F.concat_ws("\t", *[F.col(c) for c in raw.columns[:width]])
-    return raw.where(bad).select(
-        F.col("_day").alias("day"), F.coalesce(F.col(CORRUPT), whole).alias("line")
-    )
+    whole = F.concat_ws("\t", *[F.coalesce(F.col(n), F.lit("")) for n, _ in ds.text_fields])
+    line = F.coalesce(F.col(CORRUPT), whole).alias("line")
+    return _judged(spark, ds, root).where("_bad").select(F.col("_day").alias("day"), line)
 
 
 def read_day_text(spark: SparkSession, root: str | list[str], **options) -> DataFrame:
@@ -61,30 +64,42 @@ def read_us_text(spark: SparkSession, root: str | list[str], **options) -> DataF
     return read_text(spark, US_5M, root, **options)
 
 
-def stream_text_rows(spark: SparkSession, which: str | Dataset, root: str) -> DataFrame:
+def stream_text_rows(spark: SparkSession, which: str | Dataset, root: str, files_per_batch: int) -> DataFrame:
     """The same rows as a stream of newly landed files."""
     ds = dataset(which)
-    reader = spark.readStream.schema(ds.text_ddl).options(
-        sep="\t", mode="FAILFAST", recursiveFileLookup=True, pathGlobFilter=DAY_FILE
-    )
-    return _typed(ds, _with_day(reader.csv(root)), day_time)
+    reader = spark.readStream.schema(ds.text_ddl).options(**_OPTIONS, mode="FAILFAST", maxFilesPerTrigger=files_per_batch)
+    return _typed(ds, _with_day(reader.csv(root)), day_time, _demand)
 
 
-def _raw(spark: SparkSession, ddl: str, root: str | list[str], mode: str) -> DataFrame:
-    reader = spark.read.schema(ddl).options(
-        sep="\t", mode=mode, recursiveFileLookup=True, pathGlobFilter=DAY_FILE,
-        columnNameOfCorruptRecord=CORRUPT,
-    )
-    return _with_day(reader.csv(root))
+def _judged(spark: SparkSession, ds: Dataset, root: str | list[str]) -> DataFrame:
+    """Lines as text fields, and whether any of them doesn't fit."""
+    ddl = ", ".join(f"{name} string" for name in [*[n for n, _ in ds.text_fields], CORRUPT])
+    reader = spark.read.schema(ddl).options(**_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    bad = F.col(CORRUPT).isNotNull()
+    for name, kind in ds.text_fields:
+        if kind == "bigint":
+            bad |= F.col(name).try_cast(kind).isNull()
+        elif kind == "double":
+            bad |= F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+    if ds.intraday:
+        bad |= try_day_time(F.col("_day"), F.col("time")).isNull()
+    return _with_day(reader.csv(root)).withColumn("_bad", bad)
 
 
 def _with_day(raw: DataFrame) -> DataFrame:
     return raw.select("*", file_day(F.col("_metadata.file_name")).alias("_day"))
 
 
-def _typed(ds: Dataset, raw: DataFrame, stamp) -> DataFrame:
+def _demand(value: Column, kind: str) -> Column:
+    """A whole number must be there; a blank one makes the line malformed."""
+    blank = F.raise_error(F.lit("blank number in a day file")).cast(kind)
+    return F.when(value.isNull(), blank).otherwise(value) if kind == "bigint" else value
+
+
+def _typed(ds: Dataset, raw: DataFrame, stamp, number) -> DataFrame:
     day = F.col("_day")
-    typed = raw.withColumn(ds.time, stamp(day, F.col("time")) if ds.intraday else day.cast("timestamp_ntz"))
+    time = stamp(day, F.col("time")) if ds.intraday else day.cast("timestamp_ntz")
+    columns = {name: number(F.col(name), kind) if kind != "string" else F.col(name) for name, kind in ds.text_fields}
     if ds is US_5M:
-        typed = typed.withColumn("volume", whole_volume(F.col("volume")))
-    return ds.canonical(typed)
+        columns["volume"] = whole_volume(columns["volume"])
+    return ds.canonical(raw.select(time.alias(ds.time), *[c.alias(n) for n, c in columns.items()]))

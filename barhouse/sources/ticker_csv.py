@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barhouse.functions.clean import packed_timestamp, ticker_symbol, valid_text, whole_volume
+from barhouse.functions.clean import packed_timestamp, ticker_symbol, whole_volume, without_bad_bytes
 from barhouse.functions.exchange import EXCHANGE_ZONE, SOURCE_ZONE, exchange_hours, exchange_time
 
 # The record layout of a dump line.
 FIELDS = ["TICKER", "PER", "DATE", "TIME", "OPEN", "HIGH", "LOW", "CLOSE", "VOL", "OPENINT"]
 
+WHOLE = "_line"
 
-def read_ticker_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Raw lines of every ``*.txt`` below a folder, hidden files left out."""
-    lines = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.txt").text(root)
-    return lines.select(valid_text(F.col("value")).alias("line"))
 
+def read_ticker_fields(spark: SparkSession, root: str) -> DataFrame:
+    """Ten text fields of every line of every ``*.txt`` below a folder.
 
-def parse_ticker_lines(lines: DataFrame, earliest: str | None = None, mode: str = "rule") -> DataFrame:
+    Hidden files are left out. Commas always separate: quotes mean nothing. A
+    line with another number of fields is also kept whole.
+    """
+    schema = ", ".join(f"{name} string" for name in [*FIELDS, WHOLE])
+    reader = spark.read.schema(schema).options(
+        sep=",", quote="", mode="PERMISSIVE", columnNameOfCorruptRecord=WHOLE, columnPruning=False,
+        recursiveFileLookup=True, pathGlobFilter="*.txt",
+    )
+    return reader.csv(root)
+
+
+def parse_ticker_fields(fields: DataFrame, earliest: str | None = None, mode: str = "rule") -> DataFrame:
     """One row per line: the record on the exchange's clock, and a verdict.
 
     ``verdict`` is ``ok``, ``short`` (fewer than ten fields), ``header``,
@@ -25,23 +35,18 @@ def parse_ticker_lines(lines: DataFrame, earliest: str | None = None, mode: str
     ``early``. It is told from the line's own fields, before any clock is
     shifted, so that filtering on it stays a small expression.
     """
-    split = lines.select(F.split("line", ",").alias("_f"))
-    field = lambda name: F.get(F.col("_f"), FIELDS.index(name))
-    volume = F.trim(field("VOL"))
-    typed = split.select(
-        F.size("_f").alias("_n"),
-        field("DATE").alias("_day"),
-        ticker_symbol(field("TICKER")).alias("symbol"),
-        packed_timestamp(field("DATE"), field("TIME")).alias("_source"),
-        field("CLOSE").try_cast("double").alias("price"),
-        F.when(volume == "", 0.0).otherwise(volume.try_cast("double")).alias("volume"),
+    volume = F.trim(F.col("VOL"))
+    typed = fields.select(
+        F.col(WHOLE),
+        F.col("DATE"),
+        ticker_symbol(without_bad_bytes(F.col("TICKER"))).alias("symbol"),
+        packed_timestamp(F.col("DATE"), F.col("TIME")).alias("_source"),
+        F.col("CLOSE").try_cast("double").alias("price"),
+        F.when(F.coalesce(volume, F.lit("")) == "", 0.0).otherwise(volume.try_cast("double")).alias("volume"),
     )
+    short = F.col(WHOLE).isNotNull() & (F.size(F.split(WHOLE, ",")) < len(FIELDS))
     bad = F.col("_source").isNull() | F.col("price").isNull() | F.col("volume").isNull()
-    verdict = (
-        F.when(F.col("_n") < len(FIELDS), "short")
-        .when(~F.col("_day").rlike("[0-9]"), "header")
-        .when(bad, "bad")
-    )
+    verdict = F.when(short, "short").when(~F.col("DATE").rlike("[0-9]"), "header").when(bad, "bad")
     if earliest:
         verdict = verdict.when(F.col("_source") < first_source_time(earliest, mode), "early")
     return typed.select(
@@ -70,5 +75,5 @@ def read_ticker_csv(
     spark: SparkSession, root: str, earliest: str | None = None, mode: str = "rule"
 ) -> DataFrame:
     """Typed US-5m rows of a bulk dump."""
-    parsed = parse_ticker_lines(read_ticker_lines(spark, root), earliest, mode)
+    parsed = parse_ticker_fields(read_ticker_fields(spark, root), earliest, mode)
     return parsed.where("verdict = 'ok'").drop("verdict")

@@ -11,6 +11,9 @@ from barhouse.plans.extract import read_range
 from barhouse.plans.writers import write_days
 from barhouse.sources.text_days import stream_text_rows
 
+# Day files taken into one batch.
+FILES_PER_BATCH = 1000
+
 
 def new_rows(batch: DataFrame, which: str | Dataset, root: str) -> DataFrame:
     """Distinct rows of a batch that aren't stored yet, in any tier.
@@ -19,9 +22,10 @@ def new_rows(batch: DataFrame, which: str | Dataset, root: str) -> DataFrame:
     that is delivered twice harmless.
     """
     ds = dataset(which)
-    rows = drop_copies(ds.canonical(batch))
+    rows = ds.canonical(batch)
     day = F.col(ds.time).cast("date").cast("string")
     span = rows.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    rows = drop_copies(rows)
     if span["first"] is None:
         return rows
     stored = read_range(batch.sparkSession, ds, root, span["first"], span["last"], policy="union")
@@ -30,17 +34,23 @@ def new_rows(batch: DataFrame, which: str | Dataset, root: str) -> DataFrame:
 
 
 def stream_text(
-    spark: SparkSession, which: str | Dataset, source: str, root: str, checkpoint: str
+    spark: SparkSession,
+    which: str | Dataset,
+    source: str,
+    root: str,
+    checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Append the rows of day files not seen before, then stop.
 
     The checkpoint remembers the files; start it again whenever more have
-    landed.
+    landed. A backlog is worked off in batches of bounded size.
     """
     ds = dataset(which)
 
     def append(batch: DataFrame, _: int) -> None:
         write_days(new_rows(batch, ds, root), ds, root, mode="append")
 
-    stream = stream_text_rows(spark, ds, source).writeStream.foreachBatch(append)
-    return stream.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
+    rows = stream_text_rows(spark, ds, source, files_per_batch)
+    sink = rows.writeStream.foreachBatch(append).trigger(availableNow=True)
+    return sink.option("checkpointLocation", checkpoint).start()

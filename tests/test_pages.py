@@ -11,7 +11,7 @@ from barhouse import load_day_pages, load_minute_pages, read_range
 from barhouse.functions.routing import market_of, market_of_text
 from barhouse.operators.symbols import restrict_to_symbols
 from barhouse.sources.listing import all_symbols, parse_listing, read_listing
-from barhouse.sources.pages import day_bars, decode_pages, minute_ticks, page_gaps, parse_day_pages, parse_minute_pages
+from barhouse.sources.pages import day_bars, decode_pages, minute_ticks, page_gaps, page_rejects, parse_day_pages, parse_minute_pages
 from tests.helpers import put, rows_of
 
 DAY = date(2023, 12, 20)
@@ -89,8 +89,9 @@ def test_minute_keeps_first_in_page_order(spark):
 
 
 def test_bad_number_drops_the_row_only(spark):
-    got = minute_ticks(pages(spark, page(minute_row("09:00", ""), minute_row("09:01", "5"))))
-    assert [r.price for r in got.collect()] == [5]
+    both = pages(spark, page(minute_row("09:00", ""), minute_row("09:01", "5")))
+    assert [r.price for r in minute_ticks(both).collect()] == [5]
+    assert [r.time for r in page_rejects(parse_minute_pages(both)).collect()] == ["09:00"]
 
 
 def test_page_gaps(spark):

@@ -38,13 +38,21 @@ def test_us_volume_is_filled_and_rounded_half_even(spark, tmp_path):
     assert got == {s: n for s, _, n in lines}
 
 
-def test_malformed_line_fails_or_is_listed(spark, tmp_path):
-    put(tmp_path / "2024-01-02.txt", "A\t1\t2\t09:00\nB\tx\t2\t09:01\nC\t3\t4\t9h\nD\t1\n")
+def test_malformed_lines_are_listed_or_dropped(spark, tmp_path):
+    bad = ["B\tx\t2\t09:01", "C\t3\t4\t9h", "D\t1", "E\t1\t\t09:01", "F\t1\t2\t09:01\tz"]
+    put(tmp_path / "2024-01-02.txt", "A\t1\t2\t09:00\n" + "\n".join(bad) + "\n")
+    rejects = read_text_rejects(spark, "KR-1m", str(tmp_path))
+    assert rejects.count() == len(bad)
+    assert rows_of(rejects) == [("2024-01-02", line) for line in bad]
+    kept = read_text(spark, "KR-1m", str(tmp_path), mode="DROPMALFORMED")
+    assert kept.count() == 1 and rows_of(kept) == [("A", datetime(2024, 1, 2, 9), 1, 2)]
+
+
+@pytest.mark.parametrize("line", ["B\tx\t2\t09:01", "C\t3\t4\t9h", "D\t1", "E\t1\t\t09:01"])
+def test_malformed_line_fails_the_read(spark, tmp_path, line):
+    put(tmp_path / "2024-01-02.txt", f"A\t1\t2\t09:00\n{line}\n")
     with pytest.raises(Exception):
         read_text(spark, "KR-1m", str(tmp_path)).collect()
-    rejects = rows_of(read_text_rejects(spark, "KR-1m", str(tmp_path)))
-    assert [r[1] for r in rejects] == ["B\tx\t2\t09:01", "C\t3\t4\t9h", "D\t1"]
-    assert {r[0] for r in rejects} == {"2024-01-02"}
 
 
 @pytest.mark.parametrize(("which", "rows"), [("KR-1d", BARS), ("KR-1m", TICKS), ("US-5m", US)])
@@ -121,7 +129,7 @@ def test_dump(spark, tmp_path):
         f"AAPL.US,5,20211012,153000,{tail}",
         f"AAPL.US,5,20210315,143000,{tail}",
         f"AAPL.US,5,20211102,143000,{tail}",
-        f"BRK.us,5,20211201,160000,1,2,3,7,10.5,0,extra",
+        "BRK.us,5,20211201,160000,1,2,3,7,10.5,,\"extra",
         "AAPL.US,5,20211012,153000,1,2,3,4.5,100",
         "AAPL.US,5,20211012,153000,1,2,3,x,100,0",
         "AAPL.US,5,20211312,153000,1,2,3,4.5,100,0",

@@ -11,7 +11,7 @@ from barhouse.operators.reconcile import conversion_check
 from barhouse.session import scratch_dir
 from barhouse.sources.listing import read_symbols
 from barhouse.sources.text_days import read_text
-from barhouse.sources.ticker_csv import FIELDS, parse_ticker_lines, read_ticker_lines
+from barhouse.sources.ticker_csv import FIELDS, parse_ticker_fields, read_ticker_fields
 from barhouse.streaming.landing import stream_text
 from barhouse.streaming.ticks import first_arrivals
 from workload import lakes, views as v
@@ -85,7 +85,7 @@ def ticker_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ticker_verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = parse_ticker_lines(read_ticker_lines(spark, _dump(spark, sf)))
+    parsed = parse_ticker_fields(read_ticker_fields(spark, _dump(spark, sf)))
     return parsed.where("verdict <> 'header'").groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
 
 
