@@ -31,10 +31,8 @@ _CELL = r"(?is)<td\b[^>]*>(.*?)(?:</td\s*>|\z)"
 _SPAN = r"(?is)<span\b[^>]*>(.*?)(?:</span\s*>|\z)"
 _NBSP = r"(?i)&(?:nbsp|#160|#xa0);"
 _TAG = r"(?s)<[^>]*>"
-_LAST_PAGE = (
-    rf"(?is){_with_class('td', LAST_PAGE_CELL)}(?:(?!</td).)*?<a\b[^>]*?\shref\s*=\s*"
-    r"(?:\"[^\"]*?page=([0-9]+)|'[^']*?page=([0-9]+))"
-)
+_LAST_CELL = rf"(?is){_with_class('td', LAST_PAGE_CELL)}(.*?)(?:</td\s*>|\z)"
+_LINK = r"(?is)<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 
 
 def quote_rows(html: Column) -> Column:
@@ -63,5 +61,6 @@ def _text(cell: Column) -> Column:
 
 def last_page(html: Column) -> Column:
     """The page number behind the last-page link; 1 where there is none."""
-    found = F.concat(F.regexp_extract(html, _LAST_PAGE, 1), F.regexp_extract(html, _LAST_PAGE, 2))
-    return F.coalesce(found.try_cast("int"), F.lit(1))
+    cell = F.regexp_extract(html, _LAST_CELL, 1)
+    link = F.concat(F.regexp_extract(cell, _LINK, 1), F.regexp_extract(cell, _LINK, 2))
+    return F.coalesce(F.regexp_extract(link, "page=([0-9]+)", 1).try_cast("int"), F.lit(1))

@@ -20,7 +20,7 @@ from barhouse.files import Files
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.fingerprint import fingerprint
 from barhouse.operators.reports import month_groups
-from barhouse.plans.writers import write_rows
+from barhouse.plans.writers import planned_bytes, write_rows
 from barhouse.sources.periods import period_manifest, read_periods
 
 # Fixed value: days to wait after a month's end before its days are merged.
@@ -91,9 +91,8 @@ def _compact(spark, root, ds, grain, as_of, *, partitions=None) -> DataFrame:
     sources = [p for t in targets for p in t.inputs + t.existing]
     rows = read_periods(spark, ds, root, sources)
     if partitions is None:
-        stored = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(least, ceil(stored / TASK_BYTES))
+        partitions = max(least, ceil(planned_bytes(rows) / TASK_BYTES))
 
     name = F.substring("period", 1, NAME_LENGTH[grain])
     merged = drop_copies(rows.withColumn("period", name))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset
 from barhouse.operators.reports import load_summary
 from barhouse.plans.extract import read_range
-from barhouse.plans.writers import write_days
+from barhouse.plans.writers import one_pass_layout, write_days
 from barhouse.sources.pages import day_bars, decode_pages, minute_ticks
 from barhouse.sources.ticker_csv import parse_ticker_fields, read_ticker_fields
 
@@ -20,7 +20,8 @@ def load_ticker_csv(
     Every row goes to the day and year of its own exchange time.
     """
     parsed = parse_ticker_fields(read_ticker_fields(spark, source), earliest, mode)
-    write_days(parsed.where("verdict = 'ok'"), US_5M, root, layout="rebalance")
+    good = parsed.where("verdict = 'ok'")
+    write_days(good, US_5M, root, layout=one_pass_layout(good))
     return parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -18,6 +18,20 @@ WRITE_OPTIONS = {
 }
 PERIOD_COLUMNS = ["year", "period"]
 
+# Inputs below this size are read twice rather than left to few tasks.
+SMALL_INPUT = 2**30
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a table's size; for stored files, theirs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def one_pass_layout(df: DataFrame) -> str:
+    """The layout for an input that is costly to read."""
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return "rebalance" if adaptive and planned_bytes(df) >= SMALL_INPUT else "range"
+
 
 def with_period(df: DataFrame, which: str | Dataset, grain: str) -> DataFrame:
     """Stored columns plus the ``year`` and ``period`` a row's time puts it in."""
@@ -49,7 +63,8 @@ def write_rows(
 
     ``rebalance``: rows are sent to their period's task in one pass; AQE cuts
     periods that are too large and joins those that are small. This suits
-    inputs that are costly to read, such as text.
+    large inputs that are costly to read, such as text; see
+    :func:`one_pass_layout`.
 
     An observation is taken after the shuffle, in the stage that writes, so
     that a lost executor can't make it count twice.

@@ -174,14 +174,17 @@ def test_fingerprint_ignores_order_and_width(spark):
     assert doubled[0][0] == 6 and doubled[0][1] == 2 * one[0][1]
 
 
-def test_hot_symbol_is_cut_into_several_files(spark, tmp_path):
+@pytest.mark.parametrize("layout", ["range", "rebalance"])
+def test_hot_symbol_and_day_are_cut_into_several_files(spark, tmp_path, layout):
     root = str(tmp_path)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
     hot = spark.range(4000).selectExpr(
         "if(id % 3 < 2, 'HOT', concat('S', id)) as symbol",
         "timestamp_ntz'2020-01-05' + make_dt_interval(0, 0, cast(id % 600 as int)) as dt",
         "id as price", "id % 7 as volume",
     )
-    write_days(hot, "KR-1m", root)
+    write_days(hot, "KR-1m", root, layout=layout)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = list((tmp_path / "year=2020" / "period=2020-01-05").glob("*.parquet"))
     counts = [spark.read.parquet(str(f)).count() for f in files]
     assert sum(counts) == 4000 and max(counts) < 1500
