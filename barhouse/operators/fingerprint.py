@@ -24,8 +24,10 @@ def fingerprint(df: DataFrame, which: str | Dataset, by: str | None = None) -> D
     """(rows, digest) of a table, or of each of its groups.
 
     Columns are cast to the stored types first: the hash of an INT differs
-    from that of the same BIGINT, and FLOAT from DOUBLE.
+    from that of the same BIGINT, and FLOAT from DOUBLE. A group's name is
+    part of its digest, so the digests of all groups add up to one that also
+    tells where each row belongs.
     """
     ds = dataset(which)
     extra = [by] if by else []
-    return ds.canonical(df, *extra).groupBy(*extra).agg(*digest(ds))
+    return ds.canonical(df, *extra).groupBy(*extra).agg(*digest(ds, *extra))

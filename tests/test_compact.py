@@ -59,6 +59,12 @@ def test_days_become_a_month_then_a_year(spark, tmp_path):
     assert _periods(spark, root) == ["2020", "2020-03-02"]
 
 
+def test_one_pass_is_enough_to_validate(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(compact, "_agreeing", None)
+    _days(spark, str(tmp_path), THREE + [("A", datetime(2020, 2, 3), 1, 1, 1, 1, 1)])
+    assert compact_months(spark, str(tmp_path), "KR-1d", "2020-06-01").count() == 2
+
+
 def test_nothing_due(spark, tmp_path):
     assert compact_months(spark, str(tmp_path), "KR-1d", "2020-03-01").count() == 0
 
