@@ -178,28 +178,37 @@ def conversion_check(
     ds = dataset(which)
     close = ds.values if int_tolerance else ds.floats
     exact = [c for c in ds.columns if c not in close]
-    text = ds.canonical(txt).dropDuplicates().withColumn("_pq", F.lit(False))
-    both = text.unionByName(ds.canonical(pq).withColumn("_pq", F.lit(True)))
-    aggs = []
-    for side in SIDES:
-        here = F.col("_pq") if side == "pq" else ~F.col("_pq")
-        aggs.append(F.count(F.when(here, 1)).alias(f"rows_{side}"))
-        for c in close:
-            aggs.append(F.min(F.when(here, F.col(c))).alias(f"{c}_{side}"))
-        if close:
-            hashed = F.xxhash64(*close).cast("decimal(20,0)")
-            aggs.append(F.sum(F.when(here, hashed)).alias(f"digest_{side}"))
-    one = (F.col("rows_txt") == 1) & (F.col("rows_pq") == 1)
+    both = ds.canonical(txt).withColumn("_pq", F.lit(False)).unionByName(
+        ds.canonical(pq).withColumn("_pq", F.lit(True))
+    )
+    groups = both.groupBy(*ds.columns).agg(
+        F.max(F.when(F.col("_pq"), 0).otherwise(1)).cast("bigint").alias("rows_txt"),
+        _count(F.col("_pq")).alias("rows_pq"),
+    )
     same = F.col("rows_txt") == F.col("rows_pq")
     if close:
-        near = F.lit(True)
-        for c in close:
-            near = near & is_close(F.col(f"{c}_txt").cast("double"), F.col(f"{c}_pq").cast("double"))
-        same = same & F.when(one, near).otherwise(F.col("digest_txt").eqNullSafe(F.col("digest_pq")))
-    groups = both.groupBy(*exact).agg(*aggs)
+        groups, agrees = _close_groups(groups, exact, close)
+        same = same & agrees
     per_day = groups.groupBy(F.col(ds.time).cast("date").cast("string").alias("day")).agg(
         F.sum("rows_txt").alias("text_rows"),
         F.sum("rows_pq").alias("parquet_rows"),
         _count(~same).alias("differing"),
     )
     return per_day.withColumn("converted", F.col("differing") == 0)
+
+
+def _close_groups(groups: DataFrame, exact: list[str], close: list[str]) -> tuple[DataFrame, Column]:
+    """Groups of rows alike in their exact columns, and whether the close
+    columns of both sides agree."""
+    aggs, near = [], F.lit(True)
+    hashed = F.xxhash64(*close).cast("decimal(20,0)")
+    for side in SIDES:
+        rows = F.col(f"rows_{side}")
+        aggs.append(F.sum(rows).alias(f"rows_{side}"))
+        aggs.append(F.sum(F.when(rows > 0, hashed * rows.cast("decimal(18,0)"))).alias(f"digest_{side}"))
+        aggs += [F.min(F.when(rows > 0, F.col(c))).alias(f"{c}_{side}") for c in close]
+    for c in close:
+        near = near & is_close(F.col(f"{c}_txt").cast("double"), F.col(f"{c}_pq").cast("double"))
+    one = (F.col("rows_txt") == 1) & (F.col("rows_pq") == 1)
+    alike = F.when(one, near).otherwise(F.col("digest_txt").eqNullSafe(F.col("digest_pq")))
+    return groups.groupBy(*exact).agg(*aggs), alike

@@ -58,8 +58,10 @@ def write_rows(
     ``range``: rows are range-partitioned over (period, key, other columns). A
     task gets a contiguous run, a small period lands in one file, and a large
     period, or one where a single symbol has most rows, is cut into files of
-    disjoint key ranges. Finding the ranges reads the input once more, so this
-    suits inputs that come out of a shuffle.
+    disjoint key ranges. Even copies of one row are spread, by the input
+    partition they come from, which a retried task can't change. Finding the
+    ranges reads the input once more, so this suits inputs that come out of a
+    shuffle.
 
     ``rebalance``: rows are sent to their period's task in one pass; AQE cuts
     periods that are too large and joins those that are small. This suits
@@ -73,7 +75,8 @@ def write_rows(
     order = ["year", "period", *ds.key]
     if layout == "range":
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = df.repartitionByRange(parts, *order, *ds.values)
+        source = df.withColumn("_source", F.spark_partition_id())
+        placed = source.repartitionByRange(parts, *order, *ds.values, "_source").drop("_source")
     elif layout == "rebalance":
         placed = df.hint("rebalance", *PERIOD_COLUMNS)
     else:

@@ -119,6 +119,15 @@ def test_single_month_file_is_replaced_when_late_days_come(spark, tmp_path):
     assert _all(spark, root) == sorted(THREE)
 
 
+def test_copies_of_one_row_are_spread(spark, tmp_path):
+    same = spark.range(4000, numPartitions=16).selectExpr(
+        "'A' as symbol", "timestamp_ntz'2020-01-05 09:00:00' as dt", "cast(1 as bigint) as price", "cast(2 as bigint) as volume"
+    )
+    write_days(same, "KR-1m", str(tmp_path))
+    counts = [spark.read.parquet(str(f)).count() for f in tmp_path.rglob("*.parquet")]
+    assert sum(counts) == 4000 and max(counts) < 1500
+
+
 def test_bad_read_back_keeps_the_inputs(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     february = [("A", datetime(2020, 2, 3), 1, 1, 1, 1, 1)]
