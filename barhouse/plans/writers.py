@@ -75,8 +75,7 @@ def write_rows(
     order = ["year", "period", *ds.key]
     if layout == "range":
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        source = df.withColumn("_source", F.spark_partition_id())
-        placed = source.repartitionByRange(parts, *order, *ds.values, "_source").drop("_source")
+        placed = _by_range(df, parts, *order, *ds.values)
     elif layout == "rebalance":
         placed = df.hint("rebalance", *PERIOD_COLUMNS)
     else:
@@ -87,6 +86,13 @@ def write_rows(
     writer.mode(mode).options(**WRITE_OPTIONS).parquet(root)
 
 
+def _by_range(df: DataFrame, parts: int, *order: str) -> DataFrame:
+    """Range partitioning that can also cut a run of equal rows in two: they
+    are told apart by the input partition they come from."""
+    source = df.withColumn("_source", F.spark_partition_id())
+    return source.repartitionByRange(parts, *order, "_source").drop("_source")
+
+
 def write_days(
     df: DataFrame,
     which: str | Dataset,
@@ -116,7 +122,10 @@ def text_lines(df: DataFrame, which: str | Dataset, *extra: Column) -> DataFrame
 
 def write_text(df: DataFrame, which: str | Dataset, path: str) -> None:
     """Tab-separated lines without a header, in line order."""
-    text_lines(df, which).orderBy("value").write.mode("overwrite").text(path)
+    lines = text_lines(df, which)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _by_range(lines, parts, "value").sortWithinPartitions("value")
+    ranged.write.mode("overwrite").text(path)
 
 
 def write_symbols(symbols: DataFrame, path: str) -> None:
@@ -135,7 +144,7 @@ def write_text_days(df: DataFrame, which: str | Dataset, root: str) -> None:
     lines = text_lines(df, ds, day)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = f"{root}/_parts"
-    ranged = lines.repartitionByRange(parts, "day", "value").sortWithinPartitions("day", "value")
+    ranged = _by_range(lines, parts, "day", "value").sortWithinPartitions("day", "value")
     ranged.write.partitionBy("day").mode("overwrite").text(staged)
     files = Files(df.sparkSession, root)
     copies: dict[str, int] = {}

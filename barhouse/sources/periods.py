@@ -73,24 +73,20 @@ def resolve_tiers(
     """The manifest rows that answer a request for a range of days.
 
     ``coarsest``: a stored year hides its months and days, a stored month its
-    days. ``union``: everything in range counts.
+    days. ``union``: everything in range counts, whatever its layout.
     """
     size = F.length("period")
     inside = F.col("period").between(
         F.left(F.lit(first_day), size), F.left(F.lit(last_day), size)
     )
-    # One period stored in two layouts: the folder wins, then the top file.
-    best = Window.partitionBy("period")
-    chosen = (
-        manifest.where(inside)
-        .withColumn("_best", F.min("layout").over(best))
-        .where("layout = _best")
-        .drop("_best")
-    )
+    chosen = manifest.where(inside)
     if policy == "union":
         return chosen
     if policy != "coarsest":
         raise ValueError(f"unknown policy {policy!r}")
+    # One period stored in two layouts: the folder wins, then the top file.
+    best = F.min("layout").over(Window.partitionBy("period"))
+    chosen = chosen.withColumn("_best", best).where("layout = _best").drop("_best")
     of_year = F.min("grain").over(Window.partitionBy("year"))
     of_month = F.min("grain").over(Window.partitionBy("year", "month"))
     ranked = chosen.withColumn("_year", of_year).withColumn("_month", of_month)

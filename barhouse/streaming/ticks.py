@@ -12,7 +12,8 @@ def first_arrivals(ticks: DataFrame, which: str | Dataset, delay: str = "1 day")
 
     State is kept for ``delay`` behind the latest time seen; later rows are
     dropped. Across batches arrival decides, not the order inside a file.
-    Watermarks need an instant, so the naive time is carried as a UTC one.
+    Watermarks need an instant, so the naive time is read in the session's
+    zone, which should be UTC.
     """
     ds = dataset(which)
     naive = F.col(ds.time)

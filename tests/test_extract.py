@@ -163,3 +163,4 @@ def test_manifest_reads_both_layouts(spark, tmp_path):
     assert rows_of(manifest.select("period", "layout")) == [("2024", 1), ("2024", 2), ("2026-01-15", 0)]
     chosen = resolve_tiers(manifest, "2024-01-01", "2024-12-31").collect()
     assert [r.path.endswith("2024.parquet") and "2024/2024" not in r.path for r in chosen] == [True]
+    assert resolve_tiers(manifest, "2024-01-01", "2024-12-31", "union").count() == 2
