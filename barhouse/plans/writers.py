@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from barhouse.datasets import Dataset, dataset
@@ -21,12 +23,30 @@ PERIOD_COLUMNS = ["year", "period"]
 # Inputs below this size are read twice rather than left to few tasks.
 SMALL_INPUT = 2**30
 
+# Estimated bytes a write task should get, and what no estimate is good for.
+LEAST_TASK_BYTES, MOST_TASK_BYTES, BEYOND_BELIEF = 4 * 2**20, 192 * 2**20, 2**53
+
 
 def planned_bytes(df: DataFrame) -> int:
     """Spark's own estimate of a table's size; for stored files, theirs."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def write_tasks(df: DataFrame) -> int:
+    """How many tasks should write a table, from its estimated size.
+
+    Small tables get fewer than ``spark.sql.shuffle.partitions``, large ones as
+    many as it takes; an estimate beyond belief, as joins can give, counts as
+    none.
+    """
+    session, size = df.sparkSession, planned_bytes(df)
+    usual = int(session.conf.get("spark.sql.shuffle.partitions"))
+    if size >= BEYOND_BELIEF:
+        return usual
+    few = max(session.sparkContext.defaultParallelism, ceil(size / LEAST_TASK_BYTES))
+    return max(min(usual, few), ceil(size / MOST_TASK_BYTES))
+
+
 def one_pass_layout(df: DataFrame) -> str:
     """The layout for an input that is costly to read."""
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
@@ -74,8 +94,7 @@ def write_rows(
     ds = dataset(which)
     order = ["year", "period", *ds.key]
     if layout == "range":
-        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = _by_range(df, parts, *order, *ds.values)
+        placed = _by_range(df, partitions or write_tasks(df), *order, *ds.values)
     elif layout == "rebalance":
         placed = df.hint("rebalance", *PERIOD_COLUMNS)
     else:
@@ -123,8 +142,7 @@ def text_lines(df: DataFrame, which: str | Dataset, *extra: Column) -> DataFrame
 def write_text(df: DataFrame, which: str | Dataset, path: str) -> None:
     """Tab-separated lines without a header, in line order."""
     lines = text_lines(df, which)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _by_range(lines, parts, "value").sortWithinPartitions("value")
+    ranged = _by_range(lines, write_tasks(lines), "value").sortWithinPartitions("value")
     ranged.write.mode("overwrite").text(path)
 
 
@@ -142,9 +160,8 @@ def write_text_days(df: DataFrame, which: str | Dataset, root: str) -> None:
     ds = dataset(which)
     day = period_of(ds, "day").alias("day")
     lines = text_lines(df, ds, day)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = f"{root}/_parts"
-    ranged = _by_range(lines, parts, "day", "value").sortWithinPartitions("day", "value")
+    ranged = _by_range(lines, write_tasks(lines), "day", "value").sortWithinPartitions("day", "value")
     ranged.write.partitionBy("day").mode("overwrite").text(staged)
     files = Files(df.sparkSession, root)
     copies: dict[str, int] = {}
