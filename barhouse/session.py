@@ -51,10 +51,13 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``; a local
-    temporary folder is used only where that is unset.
+    The cluster names the shared folder in ``spark.checkpoint.dir``. Where that is
+    unset, a session that runs on this machine alone uses the system's temporary
+    folder; on a cluster executors would not see each other's files, so it fails.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/barhouse/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"run-{name}-")
+    if not shared:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/barhouse/{name}-{uuid.uuid4().hex}"

@@ -11,7 +11,9 @@ import __spark_entry__ as contract
 from tools.check_queries import TABLES, rows_of, types_differ
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+PARTS = (contract.extracts, contract.texts, contract.landed, contract.checks)
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no driver tables here")
 
@@ -28,6 +30,11 @@ def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
