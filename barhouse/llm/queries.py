@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import mixing, packing, simhash
-from barhouse.llm.common import table
+from barhouse.llm import language, mixing, packing, simhash
+from barhouse.llm.common import remainder, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 3) == 1)
+    model = language.fit(docs.where("not held_out"))
+    found = docs.select("doc_id", "held_out", language.predict(model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,6 +34,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
     "op9_packing": op9_packing,
 }
 ORACLES: dict[str, str] = {}
