@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, mixing, packing, simhash
+from barhouse.llm import language, mixing, packing, simhash, toxicity
 from barhouse.llm.common import remainder, table
 
 
@@ -14,6 +14,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(net).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_toxicity": op3_toxicity,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op9_packing": op9_packing,
