@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, mixing, neighbours, packing, simhash, toxicity
+from barhouse.llm import language, mixing, neighbours, packing, quality, simhash, toxicity
 from barhouse.llm.common import remainder, table
 
 
@@ -37,6 +37,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.measured(docs, quality.planned(docs))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_neighbours": op4_neighbours,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_quality": quality.MEASURED_SQL}
