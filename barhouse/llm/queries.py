@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, mixing, neighbours, packing, quality, simhash, toxicity
+from barhouse.llm import language, lines, mixing, neighbours, packing, quality, simhash, toxicity
 from barhouse.llm.common import remainder, table
 
 
@@ -14,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -50,6 +54,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_lines": op2_lines,
     "op3_toxicity": op3_toxicity,
     "op4_neighbours": op4_neighbours,
     "op6_mixing": op6_mixing,
@@ -57,4 +62,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
 }
-ORACLES: dict[str, str] = {"op8_quality": quality.MEASURED_SQL}
+ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op8_quality": quality.MEASURED_SQL}
