@@ -28,7 +28,7 @@ WORD_SIZE, GRAM_SIZE, HIDDEN = 4, 8, 8
 EPOCHS = 18
 # Epochs between choices of the window that a document teaches through.
 CHOOSE = 3
-BATCH = 4096
+BATCH = 2048
 CHUNK_CHARS = 1 << 20
 THRESHOLD = 0.3
 
@@ -122,8 +122,8 @@ class Network:
         vector = np.concatenate([vector, np.zeros((1, vector.shape[1]), np.float32)])
         return vector, vector @ self.w["in"] + self.w["bias"]
 
-    def forward(self, index: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, dict]:
-        """Logit of each window; given: gate inputs of the distinct words."""
+    def forward(self, index: np.ndarray, given: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
+        """Logit of each window, and if asked for what backpropagation needs; given: gate inputs of the distinct words."""
         n, steps, h = len(index), index.shape[1], HIDDEN
         both = np.stack([index, index[:, ::-1]])
         mask = (both >= 0).astype(np.float32)[..., None]
@@ -138,8 +138,10 @@ class Network:
             c = np.tanh(x[..., 2 * h :] + r * u[..., 2 * h :])
             m = mask[:, :, t]
             state = m * ((1 - z) * c + z * state) + (1 - m) * state
-            for name, value in (("state", state), ("r", r), ("z", z), ("c", c), ("u", u[..., 2 * h :])):
-                kept[name].append(value)
+            kept["state"].append(state)
+            if keep:
+                for name, value in (("r", r), ("z", z), ("c", c), ("u", u[..., 2 * h :])):
+                    kept[name].append(value)
         states = np.stack(kept["state"][1:], axis=2)
         # Both directions' states of a word stand at the word's place.
         states = np.stack([states[0], states[1][:, ::-1]])
@@ -160,7 +162,7 @@ class Network:
     def gradients(self, text: Text, label: np.ndarray, cost: np.ndarray, known: np.ndarray) -> dict[str, np.ndarray]:
         """Of the weighted cross-entropy of all windows of ``text``, by backpropagation through time."""
         vector, given = self.inputs(text, known)
-        logit, kept = self.forward(text.index, given)
+        logit, kept = self.forward(text.index, given, keep=True)
         g = {k: np.zeros_like(v) for k, v in self.w.items()}
         d = ((sigmoid(logit) - label) * cost / cost.sum()).astype(np.float32)
         g["out0"][0] = d.sum()
@@ -198,14 +200,31 @@ class Network:
         return g
 
 
-def _evidence(bucket: np.ndarray, doc: np.ndarray, label: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of label 1 for documents that hold a bucket, in standard errors beyond two; and where there are documents to tell."""
-    pairs = np.unique(bucket * len(label) + doc)
-    bucket, toxic = pairs // len(label), label[pairs % len(label)]
-    ones, zeros = np.bincount(bucket, toxic, buckets) + 0.5, np.bincount(bucket, 1 - toxic, buckets) + 0.5
-    odds = np.log(ones / (label.sum() + 1)) - np.log(zeros / ((1 - label).sum() + 1))
-    z = odds / np.sqrt(1 / ones + 1 / zeros)
-    return np.sign(z) * np.clip(np.abs(z) - 2, 0, 3), ones + zeros >= 4
+def _evidence(text: Text, own: np.ndarray, label: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For word and n-gram buckets: log-odds of label 1 for documents that hold one, in standard errors
+    beyond two; and where there are documents to tell. Goes through some documents at a time."""
+    sums = {"word": np.zeros((2, WORD_BUCKETS)), "gram": np.zeros((2, GRAM_BUCKETS))}
+    rows = np.flatnonzero(own)
+    for k in range(0, len(label), 100):
+        some = text.part(rows[(text.doc[rows] >= k) & (text.doc[rows] < k + 100)])
+        pairs = np.unique(some.index * 100 + (some.doc - k)[:, None])
+        pairs = pairs[pairs >= 0]
+        word, doc = pairs // 100, pairs % 100
+        spread = some.grams[word]
+        starts = (np.cumsum(some.grams) - some.grams)[word]
+        places = np.repeat(starts - (np.cumsum(spread) - spread), spread) + np.arange(spread.sum())
+        for name, bucket, of in (("word", some.word[word], doc), ("gram", some.gram[places], np.repeat(doc, spread))):
+            held = np.unique(bucket * 100 + of)
+            toxic = label[k + held % 100].astype(np.int64)
+            np.add.at(sums[name], (toxic, held // 100), 1)
+    docs = np.unique(text.doc[own])
+    ones = label[docs].sum()
+    out = {}
+    for name, (zero, one) in sums.items():
+        odds = np.log((one + 0.5) / (ones + 1)) - np.log((zero + 0.5) / (len(docs) - ones + 1))
+        z = odds / np.sqrt(1 / (one + 0.5) + 1 / (zero + 0.5))
+        out[name] = np.sign(z) * np.clip(np.abs(z) - 2, 0, 3), zero + one >= 3
+    return out
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 5) -> Network:
@@ -223,17 +242,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     text = read(texts)
     apart = rng.random(len(label)) < 0.2
     own = ~apart[text.doc]
-    pairs = np.unique(text.index[own] * len(label) + text.doc[own][:, None])
-    pairs = pairs[pairs >= 0]
-    rows, where = pairs // len(label), pairs % len(label)
-    spread = text.grams[rows]
-    starts = (np.cumsum(text.grams) - text.grams)[rows]
-    places = np.repeat(starts - (np.cumsum(spread) - spread), spread) + np.arange(spread.sum())
-    for name, bucket, doc, buckets in (
-        ("word", text.word[rows], where, WORD_BUCKETS),
-        ("gram", text.gram[places], np.repeat(where, spread), GRAM_BUCKETS),
-    ):
-        evidence, held = _evidence(bucket, doc, label, buckets)
+    for name, (evidence, held) in _evidence(text, own, label).items():
         net.w[name][:, 0] = evidence * held / 2
         net.w[name][:, 1:] = rng.normal(0, 0.05, net.w[name][:, 1:].shape) * held[:, None]
     for row in (0, WORD_SIZE):
