@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, lines, mixing, neighbours, packing, quality, simhash, toxicity
+from barhouse.llm import language, licences, lines, mixing, neighbours, packing, private, quality, simhash, toxicity
 from barhouse.llm.common import remainder, table
 
 
@@ -30,6 +30,10 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -52,14 +56,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lines": op2_lines,
     "op3_toxicity": op3_toxicity,
     "op4_neighbours": op4_neighbours,
+    "op5_licences": op5_licences,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
+    "op10_private": op10_private,
 }
-ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op8_quality": quality.MEASURED_SQL}
+ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op5_licences": licences.scan_sql(), "op8_quality": quality.MEASURED_SQL}
