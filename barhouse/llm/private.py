@@ -18,7 +18,7 @@ PATTERNS = {
     "mail": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "token": r"(?<=(?:token|key|secret|password)[ ]{0,2}[=:][ ]{0,2}\"{0,1})[0-9a-f]{32,64}(?![0-9A-Za-z])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){2,6}(?: ?\d{1,3})?(?![0-9A-Za-z])",
-    "phone": r"(?<![\d+])\+(?:1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|[2-9]\d{0,2}(?:[ .-]\d{2,4}){2,4})(?!\d)",
+    "phone": r"(?<![\d+])\+(?:1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|[2-9]\d{0,2}(?:[ .-]\d{2,8}){2,4})(?!\d)",
     "address": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "date": r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?!\d)",
@@ -147,7 +147,7 @@ def _social(m: Column, key: str, undo: bool) -> Column:
 
 
 def _date(m: Column, key: str, undo: bool) -> Column:
-    """ISO dates, day.month.year and month/day/year, of the years 1700 to 2099."""
+    """ISO dates, day.month.year and month/day/year, of the years 1700 to 2099. Undone, a date without leading zeros may have them."""
     iso, dots = m.contains("-"), m.contains(".")
     a, b, c = (F.split_part(F.translate(m, "./", "--"), F.lit("-"), F.lit(k)) for k in (1, 2, 3))
     year = F.when(iso, a).otherwise(c)
