@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+
+from barhouse.llm import lines
+from tests.llm.cases import ALL_IDS, WORDS, awkward, clashing, empty, ids
+
+
+def distance_at_most_one(a, b):
+    """By the ordinary dynamic programme over words."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y)))
+    return row[-1] <= 1
+
+
+def removed(rows):
+    """(doc_id, line number) of duplicates, comparing each line with all earlier ones."""
+    placed = []
+    for doc, text in rows:
+        for no, line in enumerate((text or "").split("\n") if text is not None else []):
+            words = WORDS.findall(line)
+            if len(words) >= lines.MIN_WORDS:
+                placed.append(((doc is None, doc or 0, no), words))
+    out = set()
+    for at, words in placed:
+        for other, theirs in placed:
+            both_long = min(len(words), len(theirs)) >= lines.MIN_EDIT_WORDS
+            if other < at and (words == theirs or both_long and distance_at_most_one(words, theirs)):
+                out.add((at[1], at[2]))
+                break
+    return out
+
+
+def made_up(seed, docs=40):
+    rng = random.Random(seed)
+    base = [[rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(rng.randint(3, 14))] for _ in range(12)]
+
+    def line():
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at, kind = rng.randrange(len(words)), rng.choice("rid")
+            if kind == "r":
+                words[at] = rng.choice("abcxyz")
+            elif kind == "i":
+                words.insert(at, rng.choice("abcxyz"))
+            elif len(words) > 1:
+                del words[at]
+        return rng.choice([" ", "  ", "\t"]).join(words)
+
+    return [(i, "\n".join(line() for _ in range(rng.randint(1, 4)))) for i in range(docs)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_all_pairs(spark, seed):
+    rows = made_up(seed)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {(r["doc_id"], no) for r in lines.duplicate_lines(docs).collect() for no in r["removed"]}
+    assert got == removed(rows) and got
+
+
+def test_sql_agrees(spark):
+    rows = made_up(9, 60)
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    theirs = con.execute(lines.REPORT_SQL).fetch_df().sort_values("doc_id").reset_index(drop=True)
+    ours = lines.line_report(spark.createDataFrame(documents)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(ours[theirs.columns], theirs, check_dtype=False)
+
+
+def test_many_lines_around_one(spark):
+    """A crowd of lines one word from each other is joined to its earliest, not to each other."""
+    base = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join([*base[:5], f"x{i}", *base[6:]])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert ids(lines.drop_duplicate_lines(docs)) == [0]
+
+
+def test_awkward_documents(spark):
+    report = lines.line_report(awkward(spark))
+    assert ids(report) == ALL_IDS
+    got = {r["doc_id"]: r for r in report.collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 1 and got[3]["removed_lines"] == "0"
+    assert got[11]["removed_lines"] == "0,1,2" and got[5]["n_lines"] == 0 and got[6]["n_lines"] == 1
+    kept = lines.drop_duplicate_lines(clashing(spark))
+    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert texts[11] == "short line\nshort line" and texts[6] == "" and texts[5] is None and 3 not in texts
+    assert kept.columns == clashing(spark).columns
+    assert lines.line_report(empty(spark)).count() == 0 and lines.drop_duplicate_lines(empty(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = lines.line_report(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
