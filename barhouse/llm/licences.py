@@ -69,7 +69,7 @@ _SPACE = r"[\x20\x09-\x0D]"
 _NOISE = r'[#*$%&|<>!"]'
 _END = rf"[.?;:]+({_SPACE}+|\z)|\n+"
 _PART = r"[^\p{L}\p{N}]+"
-_SPEAKS = r"licen[sc]|copyright|permission|redistribut|warrant|rights|liab|released"
+_SPEAKS = r"licen[sc]|copyright|permission|redistribut|warrant|rights|liab|released|distributed under"
 
 
 def normalised(sentence: str) -> str:
