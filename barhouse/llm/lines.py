@@ -73,33 +73,36 @@ def _terms(place: Column) -> list[Column]:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Every line with one word left out: the place left out and the hash of what stays, and the line's own hash."""
-    words = lines.select(*CLASS, "first", "n", F.posexplode("w").alias("i", "word"))
+    """Every line with one word left out: the place left out and the hash of what stays; at place 0 also the line's own hash.
+
+    Half of the class's hash is enough here: what a pair's lines are is verified later.
+    """
+    words = lines.select("h1", "first", "n", F.posexplode("w").alias("i", "word"))
     here, moved = _terms(F.col("i")), _terms(F.col("i") - 1)
-    words = words.select(*CLASS, "first", "n", "i", *(c.alias(f"here{k}") for k, c in enumerate(here)), *(c.alias(f"moved{k}") for k, c in enumerate(moved)))
-    by_place = Window.partitionBy(*CLASS).orderBy("i")
+    words = words.select("h1", "first", "n", "i", *(c.alias(f"here{k}") for k, c in enumerate(here)), *(c.alias(f"moved{k}") for k, c in enumerate(moved)))
+    by_place = Window.partitionBy("h1", "first").orderBy("i")
     before, after = by_place.rowsBetween(Window.unboundedPreceding, -1), by_place.rowsBetween(1, Window.unboundedFollowing)
-    whole = Window.partitionBy(*CLASS).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = by_place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     none = F.lit(0).cast("bigint")
     rest = [(F.coalesce(F.sum(f"here{k}").over(before), none) + F.coalesce(F.sum(f"moved{k}").over(after), none)).alias(f"v{k}") for k in (0, 1)]
-    own = [F.sum(f"here{k}").over(whole).alias(f"s{k}") for k in (0, 1)]
-    return words.select(*CLASS, "first", "n", "i", *rest, *own)
+    own = [F.when(F.col("i") == 0, F.sum(f"here{k}").over(whole)).alias(f"s{k}") for k in (0, 1)]
+    return words.select("h1", "first", "n", "i", *rest, *own)
 
 
 def _pairs(variants: DataFrame) -> DataFrame:
-    """(later h1 and h2, earlier h1 and h2, place): classes that a shared variant joins."""
-    me = F.struct("first", *CLASS)
+    """(h1 of the later, h1 of the earlier, place): classes that a shared variant joins."""
+    me = F.struct("first", "h1")
     same = ["n", "i", "v0", "v1"]
     earliest = variants.groupBy(*same).agg(F.min(me).alias("e"), F.count("*").alias("classes")).where("classes > 1")
     replaced = variants.join(earliest, same).where(F.col("e.first") < F.col("first")).select(
-        F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("e.h1").alias("e1"), F.col("e.h2").alias("e2"), "i"
+        F.col("h1").alias("late"), F.col("e.h1").alias("early"), "i"
     )
-    longer = variants.select(F.struct("first", *CLASS).alias("b"), (F.col("n") - 1).alias("n"), "i", F.col("v0").alias("s0"), F.col("v1").alias("s1"))
-    shorter = variants.where("i = 0").select(F.struct("first", *CLASS).alias("a"), "n", "s0", "s1")
+    longer = variants.select(me.alias("b"), (F.col("n") - 1).alias("n"), "i", F.col("v0").alias("s0"), F.col("v1").alias("s1"))
+    shorter = variants.where("i = 0").select(me.alias("a"), "n", "s0", "s1")
     met = longer.join(shorter, ["n", "s0", "s1"])
     late, early = F.greatest("a", "b"), F.least("a", "b")
     inserted = met.where(F.col("a.first") != F.col("b.first")).select(
-        late["h1"].alias("l1"), late["h2"].alias("l2"), early["h1"].alias("e1"), early["h2"].alias("e2"), "i"
+        late["h1"].alias("late"), early["h1"].alias("early"), "i"
     )
     return replaced.unionByName(inserted)
 
@@ -112,10 +115,10 @@ def near_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(h1, h2) of classes within one edit of a class that begins earlier."""
     lines = settled(_with_words(docs, classes.join(_candidates(classes), CLASS, "left_semi")), "line-words")
     pairs = _pairs(settled(_variants(lines), "variants"))
-    early = lines.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("w").alias("we"))
-    late = lines.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("w").alias("wl"))
+    early = lines.select(F.col("h1").alias("early"), F.col("w").alias("we"))
+    late = lines.select(F.col("h1").alias("late"), *CLASS, F.col("w").alias("wl"))
     # Words to compare go with each pair, so a line meets the others one pair at a time.
-    both = pairs.join(late, ["l1", "l2"]).join(early, ["e1", "e2"])
+    both = pairs.join(late, "late").join(early, "early")
     i, a, b = F.col("i"), F.size("wl"), F.size("we")
     equal = (
         F.when(a == b, _without("wl", i) == _without("we", i))
@@ -123,7 +126,7 @@ def near_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         .when(b == a + 1, F.col("wl") == _without("we", i))
         .otherwise(False)
     )
-    return both.where(equal).select(F.col("l1").alias("h1"), F.col("l2").alias("h2")).distinct()
+    return both.where(equal).select(*CLASS).distinct()
 
 
 def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
