@@ -4,22 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A list no longer than this is small enough to send to every executor.
-BROADCAST_ROWS = 200_000
 
-
-def restrict_to_symbols(
-    df: DataFrame, symbols: DataFrame | list[str], broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def restrict_to_symbols(df: DataFrame, symbols: DataFrame | list[str]) -> DataFrame:
     """Keep the rows whose symbol is listed.
 
     A Python list becomes an IN filter that reaches the scan. A table of
-    symbols is counted up to the bound and broadcast only below it; a longer
-    one takes the ordinary semi join, which AQE splits where it is skewed.
+    symbols takes the ordinary semi join: Spark broadcasts it if its bytes allow,
+    and AQE splits hot symbols if they don't.
     """
     if isinstance(symbols, list):
         return df.where(F.col("symbol").isin(symbols))
-    wanted = symbols.select("symbol").distinct()
-    if wanted.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        wanted = F.broadcast(wanted)
-    return df.join(wanted, "symbol", "left_semi")
+    return df.join(symbols.select("symbol"), "symbol", "left_semi")

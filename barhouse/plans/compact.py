@@ -64,7 +64,7 @@ def compact_years(spark: SparkSession, root: str, which: str | Dataset, as_of: d
 
 
 @dataclass(frozen=True)
-class _Target:
+class Target:
     """A period to be made, from which stored periods."""
 
     period: str
@@ -78,18 +78,35 @@ class _Target:
 
 
 def _compact(spark, root, ds, grain, as_of, *, partitions=None) -> DataFrame:
-    root = root.rstrip("/")
+    files = Files(spark, root)
+    root = files.qualified(root)
     recover(spark, root)
     targets = _targets(spark, root, grain, as_of)
     if not targets:
         return spark.createDataFrame([], _REPORT)
-    files = Files(spark, root)
     sources = [p for t in targets for p in t.inputs + t.existing]
     rows = read_periods(spark, ds, root, sources)
 
     name = F.substring("period", 1, NAME_LENGTH[grain])
     merged = drop_copies(rows.withColumn("period", name))
 
+    saved = store_periods(spark, ds, root, merged, targets, partitions)
+    lines = [
+        (t.period, len(t.inputs), bool(t.existing), saved[t.period][0], True, t.missing, t.leftover)
+        for t in targets
+    ]
+    return spark.createDataFrame(lines, _REPORT)
+
+
+def store_periods(
+    spark: SparkSession, ds: Dataset, root: str, merged: DataFrame, targets: list[Target], partitions: int | None = None
+) -> dict[str, tuple[int, int]]:
+    """Stage rows that carry ``year`` and ``period``, read them back, and publish each period that agrees.
+
+    ``root`` must be qualified; targets are published in the order given. Returns what
+    :func:`read_back` found; fails if a period wasn't as handed to the writer.
+    """
+    files = Files(spark, root)
     staging = f"{root}/{_STAGING}-{uuid.uuid4().hex}"
     handed = Observation()
     write_rows(merged, ds, staging, partitions=partitions, observation=handed)
@@ -105,11 +122,7 @@ def _compact(spark, root, ds, grain, as_of, *, partitions=None) -> DataFrame:
     bad = sorted(t.period for t in targets if t.period not in good)
     if bad:
         raise CompactionError(f"not as written, inputs kept: {', '.join(bad)}")
-    lines = [
-        (t.period, len(t.inputs), bool(t.existing), saved[t.period][0], True, t.missing, t.leftover)
-        for t in targets
-    ]
-    return spark.createDataFrame(lines, _REPORT)
+    return saved
 
 
 def read_back(spark: SparkSession, ds: Dataset, folder: str) -> dict[str, tuple[int, int]]:
@@ -133,7 +146,7 @@ def _agreeing(merged: DataFrame, ds: Dataset, saved: dict[str, tuple[int, int]])
     return {p for p, mark in wanted.items() if saved.get(p) == mark}
 
 
-def _targets(spark: SparkSession, root: str, grain: str, as_of) -> list[_Target]:
+def _targets(spark: SparkSession, root: str, grain: str, as_of) -> list[Target]:
     manifest = period_manifest(spark, root)
     due = due_months(manifest, as_of) if grain == "month" else due_years(manifest, as_of)
     groups = {r.period: r.paths for r in due.collect()}
@@ -149,11 +162,11 @@ def _targets(spark: SparkSession, root: str, grain: str, as_of) -> list[_Target]
             months = [f"{period}-{m:02d}" for m in range(1, 13)]
             missing = [m for m in months if m not in have] if not existing else []
             leftover = sorted(p for p in have if len(p) == NAME_LENGTH["day"])
-        out.append(_Target(period, list(paths), existing, missing, leftover))
+        out.append(Target(period, list(paths), existing, missing, leftover))
     return out
 
 
-def publish(files: Files, root: str, staging: str, target: _Target) -> None:
+def publish(files: Files, root: str, staging: str, target: Target) -> None:
     """Put a staged period in place, then delete what it was made from.
 
     A period that already exists is moved aside first, not deleted: if the run
@@ -161,11 +174,11 @@ def publish(files: Files, root: str, staging: str, target: _Target) -> None:
     """
     place = target.folder(root)
     aside = f"{root}/{_REPLACED}/{target.period}"
+    old = {files.qualified(p) for p in [*target.existing, *target.inputs]} - {files.qualified(place)}
     if files.exists(place):
         files.rename(place, aside)
     files.rename(target.folder(staging), place)
-    old = [p for p in target.existing if not p.endswith(place)]
-    files.each(files.delete, [aside, *old, *target.inputs])
+    files.delete_all([aside, *sorted(old)], keep=place)
 
 
 def recover(spark: SparkSession, root: str) -> list[str]:
@@ -174,7 +187,8 @@ def recover(spark: SparkSession, root: str) -> list[str]:
     A period moved aside goes back if nothing took its place, else it is
     superseded and deleted. Staged data is never the only copy.
     """
-    files, root = Files(spark, root), root.rstrip("/")
+    files = Files(spark, root)
+    root = files.qualified(root)
     touched = []
     for entry in files.glob(f"{root}/{_REPLACED}/*"):
         place = f"{root}/year={entry.name[:4]}/period={entry.name}"

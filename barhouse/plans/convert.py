@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.datasets import Dataset, dataset
+from barhouse.datasets import NAME_LENGTH, Dataset, dataset
+from barhouse.files import Files
 from barhouse.functions.routing import TimeBounds, time_bounds
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.reconcile import conversion_check
-from barhouse.plans.writers import write_days
+from barhouse.plans.compact import Target, recover, store_periods
+from barhouse.plans.writers import with_period, write_days
 from barhouse.sources.periods import list_periods, manifest_of, read_periods, resolve_tiers
-from barhouse.sources.text_days import read_text, text_files
+from barhouse.sources.text_days import read_text, text_days
 
 _PENDING = "day string, reason string"
 
@@ -27,7 +30,7 @@ def pending_days(
     Days without stored rows are told from the file names alone; only the
     others are read and compared, all in one job.
     """
-    new, stale = _pending(spark, text_files(spark, text_root), dataset(which), root, int_tolerance)
+    new, stale = _pending(spark, text_root, dataset(which), root, int_tolerance)
     fresh = spark.createDataFrame([(day, "new") for day in new], _PENDING)
     return fresh if stale is None else fresh.unionByName(stale)
 
@@ -38,29 +41,69 @@ def convert_text(
     """Convert every pending day in one job; returns (day, reason).
 
     Copies of a row are dropped, days already converted are left alone, and
-    running it again does nothing.
+    running it again does nothing. A stale day inside a stored month or year is
+    replaced there: the period is staged anew, read back and put in place.
     """
-    ds, files = dataset(which), text_files(spark, text_root)
-    new, stale = _pending(spark, files, ds, root, int_tolerance)
+    ds = dataset(which)
+    new, stale = _pending(spark, text_root, ds, root, int_tolerance)
     pending = [(day, "new") for day in new]
     if stale is not None:
         pending += [tuple(r) for r in stale.collect()]
-    if pending:
-        paths = [path for day, _ in pending for path in files[day]]
-        write_days(drop_copies(read_text(spark, ds, paths)), ds, root)
+    stored = _stored(spark, root, [day for day, reason in pending if reason == "stale"])
+    inside = [day for day, _ in pending if day[:7] in stored or day[:4] in stored]
+    apart = [day for day, _ in pending if day not in inside]
+    rows = lambda days: drop_copies(read_text(spark, ds, text_root, days=days))
+    if apart:
+        write_days(rows(apart), ds, root)
+    if inside:
+        _replace(spark, ds, root, rows(inside), inside, stored)
     return spark.createDataFrame(sorted(pending), _PENDING)
 
 
+def _stored(spark: SparkSession, root: str, days: list[str]) -> dict[str, list[str]]:
+    """Paths of everything stored under the name of one of the days, its month or its year."""
+    names = {part for d in days for part in (d, d[:7], d[:4])}
+    found: dict[str, list[str]] = {}
+    if days:
+        for path, name, _ in list_periods(spark, root, sorted({int(d[:4]) for d in days})):
+            if name in names:
+                found.setdefault(name, []).append(path)
+    return found
+
+
+def _replace(
+    spark: SparkSession, ds: Dataset, root: str, rows: DataFrame, days: list[str], stored: dict[str, list[str]]
+) -> None:
+    """Put the days' rows in the place of what stored months and years hold of those days.
+
+    Months go first: if the run dies in between, the year still tells the day is
+    stale. Days stored beside them are deleted, or a later compaction would bring their rows back.
+    """
+    base = Files(spark, root).qualified(root)
+    recover(spark, base)
+    fresh = F.col(ds.time).cast("date").isin([date.fromisoformat(d) for d in days])
+    parts, targets = [], []
+    for grain in ("month", "year"):
+        names = sorted({d[: NAME_LENGTH[grain]] for d in days} & set(stored))
+        if names:
+            held = read_periods(spark, ds, base, [p for n in names for p in stored[n]])
+            parts += [held.where(~fresh), with_period(rows, ds, grain).where(F.col("period").isin(names))]
+            for name in names:
+                own = [p for d in days if d.startswith(name) for p in stored.get(d, [])]
+                targets.append(Target(name, own, stored[name], [], []))
+    store_periods(spark, ds, base, drop_copies(reduce(DataFrame.unionByName, parts)), targets)
+
+
 def _pending(
-    spark: SparkSession, files: dict[str, list[str]], ds: Dataset, root: str, int_tolerance: bool
+    spark: SparkSession, text_root: str, ds: Dataset, root: str, int_tolerance: bool
 ) -> tuple[list[str], DataFrame | None]:
     """New days, and a table of the stale ones among the others, if any."""
-    new, compared = _split_days(spark, files, root)
-    if not compared.paths:
+    new, compared = _split_days(spark, text_days(spark, text_root), root)
+    if not compared.days:
         return new, None
     held = read_periods(spark, ds, root, compared.stored, compared.bounds)
     known = held.where(F.col(ds.time).cast("date").isin([date.fromisoformat(d) for d in compared.days]))
-    checked = conversion_check(read_text(spark, ds, compared.paths), known, ds, int_tolerance)
+    checked = conversion_check(read_text(spark, ds, text_root, days=compared.days), known, ds, int_tolerance)
     return new, checked.where("not converted").select("day", F.lit("stale").alias("reason"))
 
 
@@ -69,7 +112,6 @@ class _Compared:
     """Text days that have stored rows, and the periods those are in."""
 
     days: list[str]
-    paths: list[str]
     stored: list[str]
 
     @property
@@ -77,18 +119,16 @@ class _Compared:
         return time_bounds(self.days[0], self.days[-1], intraday=True)
 
 
-def _split_days(spark: SparkSession, files: dict[str, list[str]], root: str) -> tuple[list[str], _Compared]:
-    days = sorted(files)
+def _split_days(spark: SparkSession, days: list[str], root: str) -> tuple[list[str], _Compared]:
     if not days:
-        return [], _Compared([], [], [])
+        return [], _Compared([], [])
     years = range(int(days[0][:4]), int(days[-1][:4]) + 1)
     found = list_periods(spark, root, years)
     if not found:
-        return days, _Compared([], [], [])
+        return days, _Compared([], [])
     tiers = resolve_tiers(manifest_of(spark, found), days[0], days[-1])
     stored = {r.period: r.path for r in tiers.select("period", "path").collect()}
     covering = {day: [p for p in (day, day[:7], day[:4]) if p in stored] for day in days}
     known = [day for day in days if covering[day]]
     periods = sorted({p for day in known for p in covering[day]})
-    paths = [path for day in known for path in files[day]]
-    return [day for day in days if not covering[day]], _Compared(known, paths, [stored[p] for p in periods])
+    return [day for day in days if not covering[day]], _Compared(known, [stored[p] for p in periods])

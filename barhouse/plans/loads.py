@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset
 from barhouse.operators.reports import load_summary
 from barhouse.plans.extract import read_range
-from barhouse.plans.writers import one_pass_layout, write_days
-from barhouse.sources.pages import day_bars, decode_pages, minute_ticks
-from barhouse.sources.ticker_csv import parse_ticker_fields, read_ticker_fields
+from barhouse.plans.writers import with_period, write_days, write_rows
+from barhouse.sources.pages import day_bars, decode_pages, minute_ticks, page_rejects, parse_day_pages, parse_minute_pages
+from barhouse.sources.ticker_csv import VERDICTS, parse_ticker_fields, read_ticker_fields
 
 
 def load_ticker_csv(
@@ -17,26 +17,42 @@ def load_ticker_csv(
 ) -> DataFrame:
     """Load a bulk dump into US-5m days; returns (verdict, lines) counts.
 
-    Every row goes to the day and year of its own exchange time.
+    Every row goes to the day and year of its own exchange time. The dump is
+    parsed once: verdicts are counted on the way to the writer. A task that is run
+    again after a lost executor would count twice, so the counts are held against the
+    rows that were written, and made afresh from the dump if they don't agree.
     """
     parsed = parse_ticker_fields(read_ticker_fields(spark, source), earliest, mode)
-    good = parsed.where("verdict = 'ok'")
-    write_days(good, US_5M, root, layout=one_pass_layout(good))
-    return parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
+    counted, written = Observation(), Observation()
+    of = F.col("verdict")
+    good = parsed.observe(counted, *[F.count_if(of == v).alias(v) for v in VERDICTS]).where(of == "ok")
+    write_rows(with_period(good, US_5M, "day"), US_5M, root, layout="rebalance", observation=written)
+    if counted.get["ok"] != written.get["rows"]:
+        return parsed.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"))
+    lines = [(v, counted.get[v]) for v in VERDICTS if counted.get[v]]
+    return spark.createDataFrame(lines, "verdict string, lines bigint")
 
 
 def load_day_pages(pages: DataFrame, root: str) -> DataFrame:
-    """Load landed daily quote pages into KR-1d days; returns the load summary."""
-    return _load(pages, KR_1D, day_bars, root)
+    """Load landed daily quote pages into KR-1d days; returns the load summary and, per day, the rows rejected."""
+    return _load(pages, KR_1D, day_bars, parse_day_pages, root)
 
 
 def load_minute_pages(pages: DataFrame, root: str) -> DataFrame:
-    """Load landed minute quote pages into KR-1m days; returns the load summary."""
-    return _load(pages, KR_1M, minute_ticks, root)
+    """Load landed minute quote pages into KR-1m days; returns the load summary and, per day, the rows rejected."""
+    return _load(pages, KR_1M, minute_ticks, parse_minute_pages, root)
 
 
-def _load(pages: DataFrame, ds: Dataset, rows_of, root: str) -> DataFrame:
-    write_days(rows_of(decode_pages(pages)), ds, root)
+def _load(pages: DataFrame, ds: Dataset, rows_of, parse, root: str) -> DataFrame:
+    decoded = decode_pages(pages)
+    write_days(rows_of(decoded), ds, root)
+    rejected = page_rejects(parse(decoded)).groupBy(F.col("date").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("rejected"))
+    loaded = _loaded(pages, ds, root).join(rejected, "date", "full")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("rows", "symbols", "rejected")]
+    return loaded.select(F.coalesce("dataset", F.lit(ds.name)).alias("dataset"), "date", *counts)
+
+
+def _loaded(pages: DataFrame, ds: Dataset, root: str) -> DataFrame:
     days = sorted(r.day for r in pages.select(F.col("date").cast("string").alias("day")).distinct().collect())
     if not days:
         return load_summary({ds.name: pages.sparkSession.createDataFrame([], ds.schema)})

@@ -20,9 +20,6 @@ WRITE_OPTIONS = {
 }
 PERIOD_COLUMNS = ["year", "period"]
 
-# Inputs below this size are read twice rather than left to few tasks.
-SMALL_INPUT = 2**30
-
 # Estimated bytes a write task should get, and what no estimate is good for.
 LEAST_TASK_BYTES, MOST_TASK_BYTES, BEYOND_BELIEF = 4 * 2**20, 192 * 2**20, 2**53
 
@@ -47,16 +44,11 @@ def write_tasks(df: DataFrame) -> int:
     return max(min(usual, few), ceil(size / MOST_TASK_BYTES))
 
 
-def one_pass_layout(df: DataFrame) -> str:
-    """The layout for an input that is costly to read."""
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    return "rebalance" if adaptive and planned_bytes(df) >= SMALL_INPUT else "range"
-
-
 def with_period(df: DataFrame, which: str | Dataset, grain: str) -> DataFrame:
     """Stored columns plus the ``year`` and ``period`` a row's time puts it in."""
     ds = dataset(which)
-    return _with_year(ds.canonical(df, period_of(ds, grain).alias("period")), ds)
+    timeless = F.raise_error(F.lit("a row has no time and so belongs to no period")).cast("string")
+    return _with_year(ds.canonical(df, F.coalesce(period_of(ds, grain), timeless).alias("period")), ds)
 
 
 def _with_year(df: DataFrame, ds: Dataset) -> DataFrame:
@@ -85,8 +77,7 @@ def write_rows(
 
     ``rebalance``: rows are sent to their period's task in one pass; AQE cuts
     periods that are too large and joins those that are small. This suits
-    large inputs that are costly to read, such as text; see
-    :func:`one_pass_layout`.
+    inputs that are costly to read, such as text, and bulk loads use it.
 
     An observation is taken after the shuffle, in the stage that writes, so
     that a lost executor can't make it count twice.
@@ -124,6 +115,8 @@ def write_days(
 ) -> None:
     """Store rows as daily periods; only the days that occur are replaced.
 
+    A row without a time fails the write.
+
     ``mode="append"`` adds to stored days instead. ``grain`` may also be
     ``month`` or ``year``; for ``layout`` see :func:`write_rows`.
     """

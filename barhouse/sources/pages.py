@@ -16,6 +16,9 @@ from barhouse.operators.dedup import first_per_key
 DAY_CELLS = {"close": 1, "open": 3, "high": 4, "low": 5, "volume": 6}
 MINUTE_CELLS = {"price": 1, "volume": 6}
 
+# Page numbers listed by one row.
+_BLOCK = 10_000
+
 
 def decode_page(content: Column) -> Column:
     """EUC-KR, or else UTF-8 without the bytes that don't fit.
@@ -109,10 +112,12 @@ def page_gaps(pages: DataFrame) -> DataFrame:
     be wanted.
     """
     first_page_last = F.max(F.when(F.col("page") == 1, last_page(F.col("html"))))
-    wanted = (
-        pages.groupBy("symbol", "date")
-        .agg(F.coalesce(first_page_last, F.lit(1)).alias("_last"))
-        .select("symbol", "date", F.explode(F.sequence(F.lit(1), F.col("_last"))).alias("page"))
-    )
+    ends = pages.groupBy("symbol", "date").agg(F.greatest(F.coalesce(first_page_last, F.lit(1)), F.lit(1)).alias("_last"))
+    # A page that claims very many is spread over tasks before its numbers are listed.
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_last") - 1) / _BLOCK).cast("int"))).alias("_block")
+    blocks = ends.select("symbol", "date", "_last", block).repartition("symbol", "date", "_block")
+    first = F.col("_block") * _BLOCK + 1
+    numbers = F.explode(F.sequence(first, F.least(first + (_BLOCK - 1), F.col("_last")))).alias("page")
+    wanted = blocks.select("symbol", "date", numbers)
     landed = pages.select("symbol", "date", F.col("page").cast("int").alias("page")).distinct()
     return wanted.join(landed, ["symbol", "date", "page"], "left_anti")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -23,9 +24,8 @@ from barhouse.functions.routing import TimeBounds
 PERIOD_NAME = r"^\d{4}(?:-\d{2}){0,2}$"
 YEAR, MONTH, DAY = 0, 1, 2
 
-# Largest magnitude a raw microsecond value can have (year 2286). Raw values
-# beyond it are nanoseconds, which reach this size in April 1970.
-_MICRO_LIMIT = 10**16
+# Raw units of stored times in a microsecond.
+_PER_MICRO = {"MILLIS": 1000, "MICROS": 1, "NANOS": 1000}
 
 _MANIFEST = pa.schema([("path", pa.string()), ("period", pa.string()), ("layout", pa.int32())])
 _FOLDER, _TOP_FILE, _YEAR_FILE = 0, 1, 2
@@ -119,35 +119,39 @@ def read_periods(
         else:
             rows = spark.createDataFrame([], schema)
         parts.append(rows.where(bounds.holds(F.col(ds.time))) if bounds else rows)
-    if single:
-        parts.append(_single_files(ds, reader, single, bounds))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    units = Files(spark, root).time_units(single, ds.time)
+    for unit in sorted(set(units)):
+        parts.append(_single_files(ds, reader, [p for p, u in zip(single, units, strict=True) if u == unit], unit, bounds))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _single_files(ds: Dataset, reader, paths: list[str], bounds: TimeBounds | None) -> DataFrame:
-    """Rows of single files, whose times may be micro- or nanoseconds.
+def _single_files(ds: Dataset, reader, paths: list[str], unit: str, bounds: TimeBounds | None) -> DataFrame:
+    """Rows of single files whose footers state the same unit of time.
 
-    Spark won't read nanoseconds as a timestamp, so the raw integer is read
-    and each value is told apart by its size.
+    Spark won't read nanoseconds as a timestamp, so the raw integer is read.
     """
     raw_ddl = re.sub(rf"\b{ds.time} timestamp_ntz", f"{ds.time} bigint", ds.ddl)
     raw = reader.schema(raw_ddl).parquet(*paths)
     value = F.col(ds.time)
     if bounds:
         low, high = _micros(bounds.start), _micros(bounds.end)
-        nanos = value.between(low * 1000, high * 1000 + 999)
-        raw = raw.where(value.between(low, high) | nanos)
+        if unit == "NANOS":
+            low, high = low * 1000, high * 1000 + 999
+        elif unit == "MILLIS":
+            low, high = low // 1000, high // 1000
+        raw = raw.where(value.between(low, high))
     path_period = F.regexp_extract("_metadata.file_path", r"/(\d{4}(?:-\d{2}){0,2})\.parquet(?:/|$)", 1)
     rows = raw.select(
-        *[_naive(value).alias(c) if c == ds.time else F.col(c) for c in ds.columns],
+        *[_naive(value, unit).alias(c) if c == ds.time else F.col(c) for c in ds.columns],
         path_period.alias("period"),
     )
     rows = rows.select(*ds.columns, F.substring("period", 1, 4).cast("int").alias("year"), "period")
     return rows.where(bounds.holds(F.col(ds.time))) if bounds else rows
 
 
-def _naive(raw: Column) -> Column:
-    micros = F.when(F.abs(raw) < _MICRO_LIMIT, raw).otherwise(F.call_function("div", raw, F.lit(1000)))
+def _naive(raw: Column, unit: str) -> Column:
+    size = F.lit(_PER_MICRO[unit])
+    micros = raw * size if unit != "NANOS" else F.call_function("div", raw - F.pmod(raw, size), size)
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", micros, epoch)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barhouse.datasets import KR_1D, KR_1M, US_5M, Dataset, dataset
@@ -18,30 +16,39 @@ CORRUPT = "_corrupt_record"
 _OPTIONS = {"sep": "\t", "recursiveFileLookup": True, "pathGlobFilter": DAY_FILE, "columnPruning": False}
 
 
-def text_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
-    """The day files below a folder, by day. Nothing is read for it."""
-    found = spark.read.options(recursiveFileLookup=True, pathGlobFilter=DAY_FILE).text(root).inputFiles()
-    days: dict[str, list[str]] = {}
-    for path in map(unquote, found):
-        days.setdefault(path.rsplit("/", 1)[-1].removesuffix(".txt"), []).append(path)
-    return days
+def text_days(spark: SparkSession, root: str) -> list[str]:
+    """The days that have files below a folder, however many files each has. No file is opened for it."""
+    found = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=DAY_FILE).load(root)
+    days = found.select(F.substring_index("path", "/", -1).alias("name")).distinct()
+    return sorted(r.name.removesuffix(".txt") for r in days.collect())
+
+
+def _files_of(days: list[str] | None) -> str:
+    return DAY_FILE if days is None else "{" + ",".join(days) + "}.txt"
 
 
 def read_text(
-    spark: SparkSession, which: str | Dataset, root: str | list[str], *, mode: str = "FAILFAST"
+    spark: SparkSession,
+    which: str | Dataset,
+    root: str | list[str],
+    *,
+    days: list[str] | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Typed rows of a dataset's day files, copies of a row included.
+    """Typed rows of a dataset's day files, copies of a row included; of some days, if any are given.
 
     Reading a malformed line fails. With ``mode="DROPMALFORMED"`` such lines
     are left out; :func:`read_text_rejects` has them.
     """
     ds = dataset(which)
+    if days == []:
+        return spark.createDataFrame([], ds.schema)
     if mode == "FAILFAST":
-        reader = spark.read.schema(ds.text_ddl).options(**_OPTIONS, mode=mode)
+        reader = spark.read.schema(ds.text_ddl).options(**_OPTIONS, mode=mode).option("pathGlobFilter", _files_of(days))
         return _typed(ds, _with_day(reader.csv(root)), day_time, _demand)
     if mode != "DROPMALFORMED":
         raise ValueError(f"unknown mode {mode!r}")
-    return _typed(ds, _judged(spark, ds, root).where("not _bad"), try_day_time, Column.try_cast)
+    return _typed(ds, _judged(spark, ds, root, days).where("not _bad"), try_day_time, Column.try_cast)
 
 
 def read_text_rejects(spark: SparkSession, which: str | Dataset, root: str | list[str]) -> DataFrame:
@@ -71,10 +78,11 @@ def stream_text_rows(spark: SparkSession, which: str | Dataset, root: str, files
     return _typed(ds, _with_day(reader.csv(root)), day_time, _demand)
 
 
-def _judged(spark: SparkSession, ds: Dataset, root: str | list[str]) -> DataFrame:
+def _judged(spark: SparkSession, ds: Dataset, root: str | list[str], days: list[str] | None = None) -> DataFrame:
     """Lines as text fields, and whether any of them doesn't fit."""
     ddl = ", ".join(f"{name} string" for name in [*[n for n, _ in ds.text_fields], CORRUPT])
     reader = spark.read.schema(ddl).options(**_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    reader = reader.option("pathGlobFilter", _files_of(days))
     bad = F.col(CORRUPT).isNotNull()
     for name, kind in ds.text_fields:
         if kind == "bigint":

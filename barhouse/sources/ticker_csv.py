@@ -27,6 +27,10 @@ def read_ticker_fields(spark: SparkSession, root: str) -> DataFrame:
     return reader.csv(root)
 
 
+# What a line of a dump can be.
+VERDICTS = ("ok", "short", "header", "bad", "early")
+
+
 def parse_ticker_fields(fields: DataFrame, earliest: str | None = None, mode: str = "rule") -> DataFrame:
     """One row per line: the record on the exchange's clock, and a verdict.
 

@@ -7,28 +7,42 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barhouse.datasets import Dataset, dataset
 from barhouse.operators.dedup import drop_copies
-from barhouse.plans.extract import read_range
+from barhouse.functions.routing import time_bounds
 from barhouse.plans.writers import write_days
+from barhouse.sources.periods import list_periods, read_periods
 from barhouse.sources.text_days import stream_text_rows
 
 # Day files taken into one batch.
 FILES_PER_BATCH = 1000
 
 
+def stored_rows(rows: DataFrame, which: str | Dataset, root: str) -> DataFrame | None:
+    """What is stored, in any tier, of the days that occur in ``rows``; None if nothing is.
+
+    Only periods that hold one of those days are read, however far the days lie apart.
+    """
+    ds, spark = dataset(which), rows.sparkSession
+    day = F.col(ds.time).cast("date").cast("string")
+    days = sorted(r.day for r in rows.select(day.alias("day")).distinct().collect() if r.day)
+    names = {part for d in days for part in (d, d[:7], d[:4])}
+    found = list_periods(spark, root, sorted({int(d[:4]) for d in days})) if days else []
+    paths = [path for path, name, _ in found if name in names]
+    if not paths:
+        return None
+    bounds = time_bounds(days[0], days[-1], intraday=True)
+    return read_periods(spark, ds, root, paths, bounds).where(day.isin(days)).select(*ds.columns)
+
+
 def new_rows(batch: DataFrame, which: str | Dataset, root: str) -> DataFrame:
     """Distinct rows of a batch that aren't stored yet, in any tier.
 
-    Only the stored days a batch touches are read. This is what makes a batch
-    that is delivered twice harmless.
+    This is what makes a batch that is delivered twice harmless.
     """
     ds = dataset(which)
-    rows = ds.canonical(batch)
-    day = F.col(ds.time).cast("date").cast("string")
-    span = rows.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    rows = drop_copies(rows)
-    if span["first"] is None:
+    rows = drop_copies(ds.canonical(batch))
+    stored = stored_rows(rows, ds, root)
+    if stored is None:
         return rows
-    stored = read_range(batch.sparkSession, ds, root, span["first"], span["last"], policy="union")
     same = [rows[c].eqNullSafe(stored[c]) for c in ds.columns]
     return rows.join(stored, same, "left_anti")
 

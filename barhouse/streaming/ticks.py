@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pyspark.sql.streaming import StreamingQuery
+
 from barhouse.datasets import Dataset, dataset
+from barhouse.operators.dedup import first_per_key
+from barhouse.plans.writers import write_days
+from barhouse.streaming.landing import stored_rows
 
 
 def first_arrivals(ticks: DataFrame, which: str | Dataset, delay: str = "1 day") -> DataFrame:
     """Per (symbol, time), the row that arrives first.
 
-    State is kept for ``delay`` behind the latest time seen; later rows are
-    dropped. Across batches arrival decides, not the order inside a file.
+    State is kept for ``delay`` behind the latest time seen; Spark drops later rows
+    without telling, so this suits streams whose lateness is known to be bounded.
+    :func:`land_first` loses none. Across batches arrival decides, not the order inside a file.
     Watermarks need an instant, so the naive time is read in the session's
     zone, which should be UTC.
     """
@@ -20,3 +26,23 @@ def first_arrivals(ticks: DataFrame, which: str | Dataset, delay: str = "1 day")
     timed = ticks.withColumn(ds.time, naive.cast("timestamp")).withWatermark(ds.time, delay)
     first = timed.dropDuplicatesWithinWatermark(ds.key)
     return first.withColumn(ds.time, naive.cast("timestamp_ntz"))
+
+
+def land_first(ticks: DataFrame, which: str | Dataset, root: str, checkpoint: str) -> StreamingQuery:
+    """Append the row that arrives first of each (symbol, time) to stored days, then stop.
+
+    What has arrived is what is stored, so there is no watermark: a row counts
+    however late it is, and a batch that is delivered twice does no harm. Inside
+    one batch the smallest row counts as first.
+    """
+    ds = dataset(which)
+
+    def append(batch: DataFrame, _: int) -> None:
+        first = first_per_key(ds.canonical(batch), ds.key, ds.values)
+        known = stored_rows(first, ds, root)
+        if known is not None:
+            first = first.join(known.select(*ds.key), ds.key, "left_anti")
+        write_days(first, ds, root, mode="append")
+
+    sink = ticks.writeStream.foreachBatch(append).trigger(availableNow=True)
+    return sink.option("checkpointLocation", checkpoint).start()

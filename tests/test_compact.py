@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -203,3 +204,32 @@ def test_hot_symbol_and_day_are_cut_into_several_files(spark, tmp_path, layout):
     files = list((tmp_path / "year=2020" / "period=2020-01-05").glob("*.parquet"))
     counts = [spark.read.parquet(str(f)).count() for f in files]
     assert sum(counts) == 4000 and max(counts) < 1500
+
+
+def _spellings(path):
+    relative = os.path.relpath(path)
+    return {"uri": f"file://{path}", "short": f"file:{path}", "relative": relative, "doubled": f"{path.parent}//{path.name}"}
+
+
+@pytest.mark.parametrize("grain", ["month", "year"])
+@pytest.mark.parametrize("spelling", ["uri", "short", "relative", "doubled"])
+def test_late_data_under_any_spelling_of_the_root(spark, tmp_path, spelling, grain):
+    root = _spellings(tmp_path)[spelling]
+    late = [("C", datetime(2020, 1, 9), 1, 2, 1, 8, 9)]
+    _days(spark, root)
+    compact_months(spark, root, "KR-1d", "2021-03-01")
+    if grain == "year":
+        compact_years(spark, root, "KR-1d", "2021-03-01")
+    _days(spark, root, late)
+    report = compact_months(spark, root, "KR-1d", "2021-03-01").collect()
+    if grain == "year":
+        report = compact_years(spark, root, "KR-1d", "2021-03-01").collect()
+    assert [r.rows for r in report] == [4]
+    assert rows_of(read_range(spark, "KR-1d", root, *SPAN, policy="union")) == sorted(THREE + late)
+
+
+def test_refuses_to_delete_what_holds_the_result(spark, tmp_path):
+    files, place = Files(spark, str(tmp_path)), f"{tmp_path}/year=2020/period=2020"
+    for path in (place, f"file://{place}", f"{tmp_path}/year=2020", str(tmp_path)):
+        with pytest.raises(ValueError, match="refusing"):
+            files.delete_all([path], keep=place)

@@ -7,11 +7,15 @@ from datetime import date, datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from barhouse import extract_day, extract_minute, extract_us, query, read_range, write_days
 from barhouse.sources.periods import period_manifest, resolve_tiers
 from tests.helpers import BARS, TICKS, US, frame, rows_of
+from workload.views import padded
 
 
 def test_day_round_trip(spark, tmp_path):
@@ -164,3 +168,22 @@ def test_manifest_reads_both_layouts(spark, tmp_path):
     chosen = resolve_tiers(manifest, "2024-01-01", "2024-12-31").collect()
     assert [r.path.endswith("2024.parquet") and "2024/2024" not in r.path for r in chosen] == [True]
     assert resolve_tiers(manifest, "2024-01-01", "2024-12-31", "union").count() == 2
+
+
+@pytest.mark.parametrize("unit", ["ms", "us", "ns"])
+def test_single_files_in_the_unit_their_footer_states(spark, tmp_path, unit):
+    """Early 1970 included, where a number's size tells nothing."""
+    times = [datetime(1970, 2, 2), datetime(1970, 6, 2, 9, 30), datetime(1969, 12, 31, 23, 59, 59)]
+    table = pa.table({
+        "symbol": ["A", "A", "A"], "dt": pa.array(times, pa.timestamp(unit)), "price": [1, 2, 3], "volume": [1, 1, 1],
+    })
+    for name, rows in (("1970", table.slice(0, 2)), ("1969", table.slice(2))):
+        pq.write_table(rows, tmp_path / f"{name}.parquet")
+    got = rows_of(read_range(spark, "KR-1m", str(tmp_path), "1960-01-01", "1990-01-01"))
+    assert got == [("A", t, p, 1) for t, p in sorted(zip(times, (1, 2, 3)))]
+    assert rows_of(read_range(spark, "KR-1m", str(tmp_path), "1970-02-01", "1970-02-28")) == [("A", times[0], 1, 1)]
+
+
+def test_wide_ids_stay_apart(spark):
+    ids = spark.createDataFrame([("1000001",), ("1000009",), ("7",)], "n string")
+    assert rows_of(ids.select(padded(F.col("n")))) == [("000007",), ("1000001",), ("1000009",)]

@@ -18,12 +18,12 @@ DAY = date(2023, 12, 20)
 PAGES = "symbol string, date date, page int, html string"
 
 
-def day_row(day="2023.12.20", close="70,000", opened="69,000", volume="1,000,000"):
-    cells = [f"<span>{day}</span>", close, "+1,000", opened, "71,000", "68,500", volume]
+def day_row(day="2023.12.20", close="41,250", opened="40,900", volume="812,300"):
+    cells = [f"<span>{day}</span>", close, "+1,000", opened, "42,050", "40,100", volume]
     return "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
 
 
-def minute_row(time="09:00", price="70,000", volume="1,000"):
+def minute_row(time="09:00", price="41,250", volume="1,000"):
     cells = [f'<span class="x">{time}</span>', price, "1", "2", "3", "99,000", volume]
     return "<tr>" + "".join(f"<td class='num'>{c}</td>" for c in cells) + "</tr>"
 
@@ -36,7 +36,7 @@ def pages(spark, *bodies, symbol="005930"):
     return spark.createDataFrame([(symbol, DAY, i + 1, b) for i, b in enumerate(bodies)], PAGES)
 
 
-BAR = ("005930", datetime(2023, 12, 20), 69000, 71000, 68500, 70000, 1000000)
+BAR = ("005930", datetime(2023, 12, 20), 40900, 42050, 40100, 41250, 812300)
 
 
 def test_day_page(spark):
@@ -48,7 +48,7 @@ def test_day_page(spark):
     "body",
     [
         "<html></html>",
-        page("<tr><td><span>2023.12.20</span></td><td>70,000</td></tr>"),
+        page("<tr><td><span>2023.12.20</span></td><td>41,250</td></tr>"),
         page(day_row("2023.12.19")),
         page(day_row(opened="0")),
         page(day_row("20.12.2023")),
@@ -62,9 +62,9 @@ def test_pages_without_a_bar(spark, body):
 
 
 def test_day_page_rows_and_oddities(spark):
-    odd = day_row(close=" <em>70,<b>000</b></em>&nbsp;\n").replace("<tr>", "<tr onmouseover='a>b'>".replace("a>b", "ab"))
+    odd = day_row(close=" <em>41,<b>250</b></em>&nbsp;\n").replace("<tr>", "<tr onmouseover='a>b'>".replace("a>b", "ab"))
     got = parse_day_pages(pages(spark, page(day_row("2023.12.19"), odd))).collect()
-    assert [(r.row_date, r.close) for r in got] == [(date(2023, 12, 19), "70000"), (DAY, "70000")]
+    assert [(r.row_date, r.close) for r in got] == [(date(2023, 12, 19), "41250"), (DAY, "41250")]
     cut_off = page(day_row())[: -len("</TABLE></html>")]
     assert day_bars(pages(spark, cut_off)).count() == 1
 
@@ -77,7 +77,7 @@ def test_first_traded_bar_wins(spark):
 def test_minute_page(spark):
     got = rows_of(minute_ticks(pages(spark, page(minute_row(), minute_row("&nbsp;09:01 ", "70,100", "2,000")))))
     assert got == [
-        ("005930", datetime(2023, 12, 20, 9, 0), 70000, 1000),
+        ("005930", datetime(2023, 12, 20, 9, 0), 41250, 1000),
         ("005930", datetime(2023, 12, 20, 9, 1), 70100, 2000),
     ]
     assert parse_minute_pages(pages(spark, "<html></html>", page("<tr><td>1</td><td>2</td></tr>"))).count() == 0
@@ -103,6 +103,15 @@ def test_page_gaps(spark):
     assert got == [("A", 2), ("A", 4), ("C", 1)]
 
 
+def test_page_gaps_of_odd_links(spark):
+    link = '<td class="pgRR"><a href="?page={}">end</a></td>'
+    landed = spark.createDataFrame([("A", DAY, 1, link.format(0)), ("B", DAY, 1, link.format(250_000)), ("C", DAY, 1, link.format(10**12))], PAGES)
+    gaps = page_gaps(landed)
+    assert gaps.groupBy("symbol").count().collect() == [("B", 249_999)]
+    ends = gaps.agg({"page": "min"}).first()[0], gaps.agg({"page": "max"}).first()[0]
+    assert ends == (2, 250_000)
+
+
 def test_decoding(spark):
     raw = [(1, "날짜 1".encode("euc-kr")), (2, "날짜 2".encode()), (3, "날".encode() + b"\xff" + "짜 3".encode()), (4, None)]
     got = decode_pages(spark.createDataFrame(raw, "id int, content binary")).orderBy("id").collect()
@@ -111,10 +120,10 @@ def test_decoding(spark):
 
 def test_loads_store_and_summarise(spark, tmp_path):
     raw = pages(spark, page(day_row())).withColumn("content", F.col("html").cast("binary")).drop("html")
-    assert [tuple(r) for r in load_day_pages(raw, f"{tmp_path}/d").collect()] == [("KR-1d", DAY, 1, 1)]
+    assert [tuple(r) for r in load_day_pages(raw, f"{tmp_path}/d").collect()] == [("KR-1d", DAY, 1, 1, 0)]
     assert rows_of(read_range(spark, "KR-1d", f"{tmp_path}/d", "2023-12-20")) == [BAR]
     raw = pages(spark, page(minute_row(), minute_row("09:01"))).withColumn("content", F.col("html").cast("binary")).drop("html")
-    assert [tuple(r) for r in load_minute_pages(raw, f"{tmp_path}/m").collect()] == [("KR-1m", DAY, 2, 1)]
+    assert [tuple(r) for r in load_minute_pages(raw, f"{tmp_path}/m").collect()] == [("KR-1m", DAY, 2, 1, 0)]
 
 
 def test_listing(spark, tmp_path):
@@ -135,9 +144,12 @@ def test_routing(spark):
     assert [got[n] for n in names] == ["KR", "US", "US", "KR", "US", "US", "US"]
 
 
-@pytest.mark.parametrize("bound", [1, 100])
-def test_symbol_restriction_below_and_beyond_the_broadcast_bound(spark, bound):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_symbol_restriction_with_and_without_a_broadcast(spark, threshold):
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = spark.range(100).selectExpr("cast(id % 10 as string) as symbol", "id")
     wanted = spark.createDataFrame([("3",), ("4",), ("4",)], "symbol string")
-    assert restrict_to_symbols(df, wanted, bound).count() == 20
+    assert restrict_to_symbols(df, wanted).count() == 20
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
     assert restrict_to_symbols(df, ["3"]).count() == 10

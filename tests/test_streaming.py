@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from barhouse import compact_months, read_range
-from barhouse.streaming.landing import new_rows, stream_text
-from barhouse.streaming.ticks import first_arrivals
+from barhouse import compact_months, read_range, write_days
+from barhouse.streaming.landing import new_rows, stored_rows, stream_text
+from barhouse.streaming.ticks import first_arrivals, land_first
 from tests.helpers import frame, put, rows_of
 
 JANUARY = ("2024-01-01", "2024-01-31")
@@ -55,3 +55,23 @@ def test_first_arrival_wins_across_batches(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out")
     assert rows_of(got) == sorted([*batches[0], batches[1][1]])
     assert dict(got.dtypes)["dt"] == "timestamp_ntz"
+
+
+def test_only_periods_of_the_batch_are_read(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_days(frame(spark, "KR-1m", [("A", datetime(y, 1, 2, 9), y, 1) for y in range(2000, 2020)]), "KR-1m", root)
+    batch = frame(spark, "KR-1m", [("A", datetime(y, 1, 2, 9), y, 1) for y in (2000, 2019)] + [("B", datetime(2019, 1, 2, 9), 1, 1)])
+    assert {p.rsplit("/", 2)[-2] for p in stored_rows(batch, "KR-1m", root).inputFiles()} == {"period=2000-01-02", "period=2019-01-02"}
+    assert rows_of(new_rows(batch, "KR-1m", root)) == [("B", datetime(2019, 1, 2, 9), 1, 1)]
+
+
+def test_late_arrivals_are_not_lost(spark, tmp_path):
+    def land(rows):
+        frame(spark, "KR-1m", rows).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("symbol string, dt timestamp_ntz, price long, volume long").parquet(f"{tmp_path}/in")
+        land_first(stream, "KR-1m", f"{tmp_path}/lake", f"{tmp_path}/seen").awaitTermination()
+        return rows_of(read_range(spark, "KR-1m", f"{tmp_path}/lake", "2000-01-01", "2030-01-01"))
+
+    new, late = ("A", datetime(2024, 1, 2, 9), 5, 1), ("A", datetime(2001, 1, 2, 9), 7, 1)
+    assert land([new]) == [new]
+    assert land([late, ("A", datetime(2024, 1, 2, 9), 6, 1)]) == [late, new]

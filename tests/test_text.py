@@ -6,10 +6,10 @@ from datetime import datetime
 
 import pytest
 
-from barhouse import convert_text, load_ticker_csv, pending_days, read_range, write_days, write_symbols, write_text, write_text_days
+from barhouse import compact_months, compact_years, convert_text, load_ticker_csv, pending_days, read_range, write_days, write_symbols, write_text, write_text_days
 from barhouse.operators.reconcile import conversion_check
 from barhouse.sources.listing import read_symbols, symbol_list
-from barhouse.sources.text_days import read_text, read_text_rejects, text_files
+from barhouse.sources.text_days import read_text, read_text_rejects, text_days
 from barhouse.sources.ticker_csv import FIELDS, read_ticker_csv
 from tests.helpers import BARS, TICKS, US, frame, put, rows_of
 
@@ -23,7 +23,7 @@ def test_minute_text(spark, tmp_path):
     got = rows_of(read_text(spark, "KR-1m", str(tmp_path)))
     tick = ("005930", datetime(2024, 1, 2, 9), 70000, 10)
     assert got == [tick, tick, ("NA", datetime(2024, 1, 2, 15, 30), 5, 0)]
-    assert list(text_files(spark, str(tmp_path))) == ["2024-01-02"]
+    assert text_days(spark, str(tmp_path)) == ["2024-01-02"]
 
 
 def test_day_text(spark, tmp_path):
@@ -161,3 +161,35 @@ def test_years_go_to_their_own_folder(spark, tmp_path):
     put(tmp_path / "in" / "a.txt", "A.US,5,20211231,160000,1,2,3,4,1,0\nA.US,5,20220103,160000,1,2,3,4,1,0\n")
     load_ticker_csv(spark, f"{tmp_path}/in", f"{tmp_path}/lake", "2021-12-01")
     assert read_range(spark, "US-5m", f"{tmp_path}/lake", "2022-01-01", "2022-12-31").count() == 1
+
+
+@pytest.mark.parametrize("grains", [["month"], ["year"], ["month", "year"], ["day", "month"], ["day", "month", "year"]])
+def test_correction_of_a_day_inside_coarser_periods(spark, tmp_path, grains):
+    """Whatever tiers hold the day, the text wins, once, and compaction doesn't bring old rows back."""
+    root, old = str(tmp_path / "lake"), [("A", datetime(2024, 1, 2, 9), 1, 1), ("B", datetime(2024, 1, 3, 9), 2, 2)]
+    for grain in grains:
+        write_days(frame(spark, "KR-1m", old), "KR-1m", root, grain=grain)
+    put(tmp_path / "text" / "2024-01-02.txt", "A\t7\t1\t09:00\nA\t7\t1\t09:00\n")
+    want = [("A", datetime(2024, 1, 2, 9), 7, 1), old[1]]
+    report = [tuple(r) for r in convert_text(spark, str(tmp_path / "text"), "KR-1m", root).collect()]
+    assert report == [("2024-01-02", "stale")]
+    assert rows_of(read_range(spark, "KR-1m", root, "2024-01-01", "2024-01-31")) == want
+    assert convert_text(spark, str(tmp_path / "text"), "KR-1m", root).count() == 0
+    compact_months(spark, root, "KR-1m", "2025-03-01")
+    compact_years(spark, root, "KR-1m", "2025-03-01")
+    assert rows_of(read_range(spark, "KR-1m", root, "2024-01-01", "2024-12-31", policy="union")) == want
+
+
+def test_rows_without_a_time_fail_the_write(spark, tmp_path):
+    with pytest.raises(Exception, match="no time"):
+        write_days(frame(spark, "KR-1m", [("A", None, 1, 1), ("A", DAY, 1, 1)]), "KR-1m", str(tmp_path / "lake"))
+
+
+def test_days_are_listed_once_however_many_files_they_have(spark, tmp_path):
+    for k in range(30):
+        put(tmp_path / str(k) / "2024-01-02.txt", f"A\t{k}\t1\t09:00\n")
+        put(tmp_path / str(k) / f"2024-01-{k % 3 + 3:02d}.txt", f"A\t{k}\t1\t09:00\n")
+    days = text_days(spark, str(tmp_path))
+    assert days == ["2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"]
+    assert read_text(spark, "KR-1m", str(tmp_path), days=days[1:3]).count() == 20
+    assert read_text(spark, "KR-1m", str(tmp_path), days=[]).count() == 0

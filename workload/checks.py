@@ -213,7 +213,9 @@ ORACLES = {
     "reconcile_months": f"""with {_SIDES}, {_status(1999, 2000, '%Y-%m')} {_JUDGED}
         union all select distinct strftime(date, '%Y-%m'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
         from bars where year(date) not between 1999 and 2000""",
-    "reconcile_years": f"with {_SIDES}, {_status(1900, 1998, '%Y')} {_JUDGED}",
+    "reconcile_years": f"""with {_SIDES}, {_status(1900, 1998, '%Y')} {_JUDGED}
+        union all select distinct strftime(date, '%Y'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
+        from bars where year(date) > 1998""",
     "fingerprint": f"with {v.US} select strftime(dt, '%Y-%m') as period, count(*) as rows, true as same from us group by 1",
     "load_summary": f"""with {v.BARS}, {v.TICKS}, {v.US}
         select 'KR-1d' as dataset, cast(date as date) as date, count(*) as rows, count(distinct symbol) as symbols from bars group by 1, 2

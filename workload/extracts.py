@@ -22,7 +22,7 @@ ALL_BARS, ALL_TICKS = ("1990-01-01", "2019-12-31"), ("2023-01-01", "2025-12-31")
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey").cast("string")
-    return v.table(spark, sf, "customer").select(F.lpad(key, 6, "0").alias("symbol"))
+    return v.table(spark, sf, "customer").select(v.padded(key).alias("symbol"))
 
 
 def minute_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +90,17 @@ def compacted_month(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compacted_late(spark: SparkSession, sf: str) -> DataFrame:
+    return _compacted_late(spark, sf, scratch_dir(spark, "compact-late"))
+
+
+def compacted_late_uri(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lake named by a URI and with a doubled slash."""
     root = scratch_dir(spark, "compact-late")
+    head, _, tail = (root if ":" in root else f"file://{root}").rpartition("/")
+    return _compacted_late(spark, sf, f"{head}//{tail}")
+
+
+def _compacted_late(spark: SparkSession, sf: str, root: str) -> DataFrame:
     rows, late = v.ticks(spark, sf), F.dayofmonth("dt") > 20
     write_days(rows.where(~late), "KR-1m", root)
     compact_months(spark, root, "KR-1m", "2024-03-01")
@@ -120,10 +130,11 @@ QUERIES = {
     "mergeable_months": due,
     "compact_month": compacted_month,
     "compact_late": compacted_late,
+    "compact_late_uri": compacted_late_uri,
     "compact_year": compacted_year,
 }
 
-_CUSTOMERS = "(select lpad(cast(c_custkey as varchar), 6, '0') from customer)"
+_CUSTOMERS = "(select lpad(cast(c_custkey as varchar), greatest(6, length(cast(c_custkey as varchar)))::int, '0') from customer)"
 # compact_year leaves months of the unfinished last year as they are, copies included.
 _UNFINISHED = "select * from bars where year(date) >= 2001"
 
@@ -151,6 +162,7 @@ ORACLES = {
         where cast(first + interval 1 month as date) + 5 <= date '2001-06-05' group by 1""",
     "compact_month": f"with {v.TICKS} select distinct * from ticks",
     "compact_late": f"with {v.TICKS} select distinct * from ticks",
+    "compact_late_uri": f"with {v.TICKS} select distinct * from ticks",
     "compact_year": f"""with {v.BARS} select distinct * from bars where year(date) < 2001
         union all {_UNFINISHED} union all {_UNFINISHED}""",
 }

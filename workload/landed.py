@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barhouse import load_minute_pages, read_range
+from barhouse import load_day_pages, load_minute_pages, read_range
 from barhouse.functions.routing import market_of
 from barhouse.operators.symbols import restrict_to_symbols
 from barhouse.session import scratch_dir
@@ -53,7 +53,7 @@ def day_page_table(spark: SparkSession, sf: str) -> DataFrame:
 
     day = F.col("o_orderdate")
     return key.select(
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("symbol"),
+        v.padded(F.col("o_custkey").cast("string")).alias("symbol"),
         day.cast("date").alias("date"),
         number.alias("page"),
         _page(bar(F.date_sub(day.cast("date"), 1), 1), bar(day, 0)).alias("content"),
@@ -79,6 +79,11 @@ def day_pages(spark: SparkSession, sf: str) -> DataFrame:
     return day_bars(decode_pages(landed_day_pages(spark, sf)))
 
 
+def day_page_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of the load job."""
+    return load_day_pages(landed_day_pages(spark, sf), scratch_dir(spark, "day-pages"))
+
+
 def day_page_rows(spark: SparkSession, sf: str) -> DataFrame:
     return parse_day_pages(decode_pages(landed_day_pages(spark, sf)))
 
@@ -93,7 +98,7 @@ def minute_page_table(spark: SparkSession, sf: str) -> DataFrame:
         return _row(_span(clock), _commas(price + shift), nothing, nothing, nothing, F.lit("99,000"), _commas(volume))
 
     return v.table(spark, sf, "events").select(
-        F.lpad(F.col("user_id").cast("string"), 6, "0").alias("symbol"),
+        v.padded(F.col("user_id").cast("string")).alias("symbol"),
         F.col("ts").cast("date").alias("date"),
         F.col("event_id").alias("page"),
         _page(tick(0), tick(1)).alias("content"),
@@ -146,7 +151,7 @@ def listing_symbols(spark: SparkSession, sf: str) -> DataFrame:
 
 def symbol_semijoin(spark: SparkSession, sf: str) -> DataFrame:
     rich = v.table(spark, sf, "customer").where("c_acctbal > 5000")
-    names = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    names = v.padded(F.col("c_custkey").cast("string"))
     path = scratch_dir(spark, "symbol-list")
     rich.select(F.concat(F.lit(" "), names, F.lit(" ")).alias("value")).write.text(path)
     return restrict_to_symbols(v.bars(spark, sf), read_symbols(spark, path))
@@ -161,6 +166,7 @@ def market_route(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "day_pages": day_pages,
+    "day_page_load": day_page_load,
     "day_page_rows": day_page_rows,
     "minute_pages_first": minute_pages_first,
     "page_gaps": gaps,
@@ -172,14 +178,14 @@ QUERIES = {
 
 ORACLES = {
     "day_pages": f"""with b as (
-          select o_orderkey, lpad(cast(o_custkey as varchar), 6, '0') as symbol, o_orderdate as date,
+          select o_orderkey, lpad(cast(o_custkey as varchar), greatest(6, length(cast(o_custkey as varchar)))::int, '0') as symbol, o_orderdate as date,
             case when o_orderkey % 11 = 0 then 0 else cast(floor(o_totalprice) as bigint) - o_orderkey % 100 end as open,
             cast(floor(o_totalprice) as bigint) + 100 + o_orderkey % 50 as high, cast(floor(o_totalprice) as bigint) - 200 as low,
             cast(floor(o_totalprice) as bigint) as close, o_orderkey % 100000 as volume from orders),
         r as (select *, row_number() over (partition by symbol, date order by o_orderkey) as n from b where open <> 0)
         select symbol, date, open, high, low, close, volume from r where n = 1""",
     "day_page_rows": """with b as (
-          select o_orderkey as page, lpad(cast(o_custkey as varchar), 6, '0') as symbol, cast(o_orderdate as date) as date,
+          select o_orderkey as page, lpad(cast(o_custkey as varchar), greatest(6, length(cast(o_custkey as varchar)))::int, '0') as symbol, cast(o_orderdate as date) as date,
             case when o_orderkey % 11 = 0 then 0 else cast(floor(o_totalprice) as bigint) - o_orderkey % 100 end as open,
             cast(floor(o_totalprice) as bigint) + 100 + o_orderkey % 50 as high, cast(floor(o_totalprice) as bigint) - 200 as low,
             cast(floor(o_totalprice) as bigint) as close, o_orderkey % 100000 as volume from orders),
@@ -188,7 +194,7 @@ ORACLES = {
         select symbol, date, page, cast("row" as integer) as "row", row_date, cast(close as varchar) as close, cast(open as varchar) as open,
           cast(high as varchar) as high, cast(low as varchar) as low, cast(volume as varchar) as volume from r""",
     "minute_pages_first": f"""with r as (
-          select lpad(cast(user_id as varchar), 6, '0') as symbol, date_trunc('minute', ts) as dt, cast(floor(value * 100) as bigint) as price,
+          select lpad(cast(user_id as varchar), greatest(6, length(cast(user_id as varchar)))::int, '0') as symbol, date_trunc('minute', ts) as dt, cast(floor(value * 100) as bigint) as price,
             event_id % 1000 as volume, row_number() over (partition by user_id, date_trunc('minute', ts) order by event_id) as n from events)
         select symbol, dt, price, volume from r where n = 1""",
     "page_gaps": f"""with {v.TICKS}, d as (select distinct symbol, cast(dt as date) as date from ticks),
@@ -197,9 +203,12 @@ ORACLES = {
     "decode_pages": f"select o_orderkey, concat('{v.HANGUL_DAY}', o_orderkey) as html from orders",
     "listing_symbols": f"with {v.LISTINGS} select distinct substring(code, 4, 6) as symbol from listings",
     "symbol_semijoin": f"""with {v.BARS} select * from bars
-        where symbol in (select lpad(cast(c_custkey as varchar), 6, '0') from customer where c_acctbal > 5000)""",
+        where symbol in (select lpad(cast(c_custkey as varchar), greatest(6, length(cast(c_custkey as varchar)))::int, '0') from customer where c_acctbal > 5000)""",
     "market_route": """with n as (select cast(c_custkey as varchar) as n from customer),
         s as (select n as symbol from n union all select concat(n, '-1.5') from n
           union all select concat('BRK.', n) from n union all select concat(n, 'K') from n)
         select symbol, case when regexp_matches(symbol, '^[0-9.-]*[0-9][0-9.-]*$') then 'KR' else 'US' end as market from s""",
 }
+
+ORACLES["day_page_load"] = f"""select 'KR-1d' as dataset, cast(date as date) as date, count(*) as rows,
+    count(distinct symbol) as symbols, cast(0 as bigint) as rejected from ({ORACLES["day_pages"]}) group by 1, 2"""

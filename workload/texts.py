@@ -13,7 +13,7 @@ from barhouse.sources.listing import read_symbols
 from barhouse.sources.text_days import read_text
 from barhouse.sources.ticker_csv import FIELDS, parse_ticker_fields, read_ticker_fields
 from barhouse.streaming.landing import stream_text
-from barhouse.streaming.ticks import first_arrivals
+from barhouse.streaming.ticks import first_arrivals, land_first
 from workload import lakes, views as v
 from workload.extracts import ALL_TICKS
 
@@ -51,6 +51,25 @@ def converted(spark: SparkSession, sf: str) -> DataFrame:
     return read_range(spark, "KR-1m", root, *ALL_TICKS)
 
 
+def _converted_inside(spark: SparkSession, sf: str, grain: str) -> DataFrame:
+    """Ticks with other prices stored as coarse periods, corrected from text; a second run has nothing to do."""
+    root = scratch_dir(spark, f"convert-into-{grain}")
+    off = F.when(F.dayofmonth("dt") % 5 == 0, 1).otherwise(0)
+    write_days(v.ticks(spark, sf).distinct().withColumn("price", F.col("price") + off), "KR-1m", root, grain=grain)
+    text = lakes.tick_text(spark, sf)
+    convert_text(spark, text, "KR-1m", root)
+    again = convert_text(spark, text, "KR-1m", root).count()
+    return read_range(spark, "KR-1m", root, *ALL_TICKS).where(F.lit(again == 0))
+
+
+def converted_into_month(spark: SparkSession, sf: str) -> DataFrame:
+    return _converted_inside(spark, sf, "month")
+
+
+def converted_into_year(spark: SparkSession, sf: str) -> DataFrame:
+    return _converted_inside(spark, sf, "year")
+
+
 def checked(spark: SparkSession, sf: str) -> DataFrame:
     held = read_range(spark, "KR-1m", _half_converted(spark, sf), *ALL_TICKS)
     return conversion_check(read_text(spark, "KR-1m", lakes.tick_text(spark, sf)), held, "KR-1m")
@@ -130,7 +149,21 @@ def streamed_first(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def streamed_late(spark: SparkSession, sf: str) -> DataFrame:
+    """First arrivals where the earlier half of each month lands after the later half."""
+    root = scratch_dir(spark, "stream-late")
+    rows = v.ticks(spark, sf)
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landed")
+    for part in (F.dayofmonth("dt") > 15, F.dayofmonth("dt") <= 15):
+        rows.where(part).write.mode("append").parquet(f"{root}/landed")
+        land_first(stream, "KR-1m", f"{root}/lake", f"{root}/seen").awaitTermination()
+    return read_range(spark, "KR-1m", f"{root}/lake", *ALL_TICKS)
+
+
 QUERIES = {
+    "convert_into_month": converted_into_month,
+    "convert_into_year": converted_into_year,
+    "stream_late": streamed_late,
     "text_minute": text_minute,
     "text_day": text_day,
     "text_us": text_us,
@@ -160,6 +193,11 @@ ORACLES = {
     "convert_pending": f"""with {v.TICKS}, d as (select distinct strftime(dt, '%Y-%m-%d') as day, day(dt) as n from ticks)
         select day, case when n % 7 = 0 then 'new' else 'stale' end as reason from d where n % 7 = 0 or n % 5 = 0""",
     "convert_text": f"with {v.TICKS} select distinct * from ticks",
+    "convert_into_month": f"with {v.TICKS} select distinct * from ticks",
+    "convert_into_year": f"with {v.TICKS} select distinct * from ticks",
+    "stream_late": f"""with {v.TICKS}, r as (
+          select *, row_number() over (partition by symbol, dt order by price, volume) as n from ticks)
+        select symbol, dt, price, volume from r where n = 1""",
     "conversion_check": f"""with {v.TICKS}, t as (select distinct * from ticks),
         p as (select symbol, dt, case when day(dt) % 5 = 0 then price + 1 else price end as price, volume from t where day(dt) % 7 <> 0),
         b as (select *, 1 as n_t, 0 as n_p from t union all select *, 0, 1 from p),
