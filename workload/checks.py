@@ -89,7 +89,7 @@ def _altered_tiers(spark: SparkSession, sf: str) -> str:
     return lakes.shared(spark, sf, "altered", build)
 
 
-_REPORT = ["period", "status", "text_keys", "matched", "missing_in_parquet", "duplicate_keys", "mismatches"]
+_REPORT = ["period", "status", "text_keys", "parquet_keys", "matched", "missing_in_parquet", "missing_in_text", "duplicate_keys", "mismatches"]
 
 
 def months(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,15 +163,16 @@ _CELLS = " union all ".join(
 def _status(first: int, last: int, pattern: str) -> str:
     inside = f"year(date) between {first} and {last}"
     return f"""k as (select strftime(date, '{pattern}') as period, count(*) filter (n_t > 0) as text_keys,
+        count(*) filter (n_p > 0) as parquet_keys, count(*) filter (n_p > 0 and n_t is null) as missing_in_text,
         count(*) filter (n_t = 1 and n_p = 1) as matched, count(*) filter (n_t > 0 and n_p is null) as missing_in_parquet,
         count(*) filter (n_t > 0 and n_p > 0 and (n_t > 1 or n_p > 1)) as duplicate_keys from keys where {inside} group by 1),
       m as (select strftime(date, '{pattern}') as period, count(*) filter (txt <> pq) as mismatches from ({_CELLS}) where {inside} group by 1),
-      j as (select period, text_keys, matched, missing_in_parquet, duplicate_keys, coalesce(mismatches, 0) as mismatches
+      j as (select period, text_keys, parquet_keys, matched, missing_in_parquet, missing_in_text, duplicate_keys, coalesce(mismatches, 0) as mismatches
         from k left join m using (period))"""
 
 
 _JUDGED = """select period, case when missing_in_parquet + duplicate_keys + mismatches = 0 then 'ok' else 'failed' end as status,
-      text_keys, matched, missing_in_parquet, duplicate_keys, mismatches from j"""
+      text_keys, parquet_keys, matched, missing_in_parquet, missing_in_text, duplicate_keys, mismatches from j"""
 _BLANK = "cast(null as bigint)"
 
 ORACLES = {
@@ -211,10 +212,10 @@ ORACLES = {
     "duplicate_keys": f"""with {v.BARS} select symbol, date, count(*) as distinct_rows from (select distinct * from bars)
         group by all having count(*) > 1""",
     "reconcile_months": f"""with {_SIDES}, {_status(1999, 2000, '%Y-%m')} {_JUDGED}
-        union all select distinct strftime(date, '%Y-%m'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
+        union all select distinct strftime(date, '%Y-%m'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
         from bars where year(date) not between 1999 and 2000""",
     "reconcile_years": f"""with {_SIDES}, {_status(1900, 1998, '%Y')} {_JUDGED}
-        union all select distinct strftime(date, '%Y'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
+        union all select distinct strftime(date, '%Y'), 'not stored', {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}, {_BLANK}
         from bars where year(date) > 1998""",
     "fingerprint": f"with {v.US} select strftime(dt, '%Y-%m') as period, count(*) as rows, true as same from us group by 1",
     "load_summary": f"""with {v.BARS}, {v.TICKS}, {v.US}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse import compact_months, compact_years, extract_day, extract_minute, extract_us, read_range, write_days
+from barhouse import compact_months, compact_years, extract_day, extract_minute, extract_us, query, read_range, write_days
 from barhouse.datasets import GRAINS
 from barhouse.operators.reports import month_groups
 from barhouse.plans.compact import due_months
@@ -42,6 +42,17 @@ def us_rows(spark: SparkSession, sf: str) -> DataFrame:
     return extract_us(spark, lakes.us_years(spark, sf), parts, *US_RANGE)
 
 
+def mixed_case(spark: SparkSession, sf: str) -> DataFrame:
+    """Symbols asked for in lower case."""
+    return extract_us(spark, lakes.us_years(spark, sf), ["t1", "T2", "t3"], *US_RANGE)
+
+
+def routed(spark: SparkSession, sf: str) -> DataFrame:
+    """The dataset is told from the symbol."""
+    build = lambda root: write_days(v.us_ticks(spark, sf), "US-5m", f"{root}/US-5m", grain="year")
+    return query(spark, lakes.shared(spark, sf, "routed", build), "min", "t7", *US_RANGE)
+
+
 def mixed_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return read_range(spark, "KR-1d", lakes.mixed_bars(spark, sf), *ALL_BARS)
 
@@ -109,6 +120,16 @@ def _compacted_late(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return read_range(spark, "KR-1m", root, *ALL_TICKS)
 
 
+def year_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What the job says of years of which March isn't stored and the first of May lies beside the months."""
+    root, rows, month = scratch_dir(spark, "year-report"), v.bars(spark, sf), F.month("date")
+    write_days(rows.where(month != 3), "KR-1d", root, grain="month")
+    write_days(rows.where((month == 5) & (F.dayofmonth("date") == 1)), "KR-1d", root)
+    report = compact_years(spark, root, "KR-1d", "2001-05-01")
+    lists = [F.array_join(c, ",").alias(c) for c in ("missing", "leftover")]
+    return report.select("period", "inputs", "merged_existing", "rows", "published", *lists)
+
+
 def compacted_year(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "compact-year")
     rows = v.bars(spark, sf)
@@ -122,6 +143,9 @@ QUERIES = {
     "extract_symbol": one_symbol,
     "extract_day": day_rows,
     "extract_us": us_rows,
+    "extract_mixed_case": mixed_case,
+    "query_routed": routed,
+    "compact_year_report": year_report,
     "extract_mixed_tiers": mixed_tiers,
     "extract_shadowed": shadowed,
     "extract_union": every_tier,
@@ -144,6 +168,17 @@ ORACLES = {
     "extract_symbol": f"with {v.TICKS} select * from ticks where symbol = '000008'",
     "extract_day": f"""with {v.BARS} select * from bars where symbol in {_CUSTOMERS}
         and date between timestamp '1996-01-01' and timestamp '1999-12-31'""",
+    "extract_mixed_case": f"""with {v.US} select * from us where symbol in ('T1', 'T2', 'T3')
+        and dt between '1997-03-01 09:40:00' and '2000-06-30 09:55:00'""",
+    "query_routed": f"with {v.US} select * from us where symbol = 'T7' and dt between '1997-03-01 09:40:00' and '2000-06-30 09:55:00'",
+    "compact_year_report": f"""with {v.BARS}, b as (select distinct *, strftime(date, '%Y') as period, strftime(date, '%Y-%m') as m from bars where year(date) < 2001),
+        y as (select period, count(distinct m) filter (month(date) <> 3) as inputs, count(*) filter (month(date) <> 3) as rows,
+          string_agg(distinct strftime(date, '%Y-%m-%d'), ',') filter (month(date) = 5 and day(date) = 1) as leftover from b group by 1),
+        want as (select period, period || '-' || lpad(cast(i as varchar), 2, '0') as m from (select distinct period from b), range(1, 13) as t(i)),
+        miss as (select period, string_agg(m, ',' order by m) as missing from want
+          where substr(m, 6) = '03' or m not in (select m from b) group by 1)
+        select period, cast(inputs as integer) as inputs, false as merged_existing, rows, true as published,
+          coalesce(missing, '') as missing, coalesce(leftover, '') as leftover from y left join miss using (period)""",
     "extract_us": f"""with {v.US} select * from us where symbol in (select concat('T', p_partkey) from part)
         and dt between timestamp '1997-03-01 09:40:00' and timestamp '2000-06-30 09:55:00'""",
     "extract_mixed_tiers": f"with {v.BARS} select * from bars",

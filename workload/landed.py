@@ -8,7 +8,7 @@ from barhouse import load_day_pages, load_minute_pages, read_range
 from barhouse.functions.routing import market_of
 from barhouse.operators.symbols import restrict_to_symbols
 from barhouse.session import scratch_dir
-from barhouse.sources.listing import all_symbols, parse_listing, read_symbols
+from barhouse.sources.listing import all_symbols, parse_listing, read_listing, read_symbols
 from barhouse.sources.pages import day_bars, decode_pages, page_gaps, parse_day_pages
 from workload import lakes, views as v
 from workload.extracts import ALL_TICKS
@@ -149,6 +149,16 @@ def listing_symbols(spark: SparkSession, sf: str) -> DataFrame:
     return all_symbols(*landed)
 
 
+def listing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Listing documents landed as files of their own."""
+    listed = v.listings(spark, sf)
+    item = F.struct("code", F.lit("a name\nof two lines").alias("name"))
+    documents = listed.groupBy(F.substring("code", 4, 4).alias("chunk")).agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("value"))
+    path = scratch_dir(spark, "listing-files")
+    documents.repartition("chunk").write.partitionBy("chunk").text(path)
+    return all_symbols(read_listing(spark, f"{path}/chunk=*"))
+
+
 def symbol_semijoin(spark: SparkSession, sf: str) -> DataFrame:
     rich = v.table(spark, sf, "customer").where("c_acctbal > 5000")
     names = v.padded(F.col("c_custkey").cast("string"))
@@ -172,6 +182,7 @@ QUERIES = {
     "page_gaps": gaps,
     "decode_pages": decoded,
     "listing_symbols": listing_symbols,
+    "listing_files": listing_files,
     "symbol_semijoin": symbol_semijoin,
     "market_route": market_route,
 }
@@ -212,3 +223,4 @@ ORACLES = {
 
 ORACLES["day_page_load"] = f"""select 'KR-1d' as dataset, cast(date as date) as date, count(*) as rows,
     count(distinct symbol) as symbols, cast(0 as bigint) as rejected from ({ORACLES["day_pages"]}) group by 1, 2"""
+ORACLES["listing_files"] = ORACLES["listing_symbols"]
