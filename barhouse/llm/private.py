@@ -8,6 +8,8 @@ the key's holder can undo it. Mail addresses and secret tokens have no such set;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 KEY = "set a key of your own"
@@ -37,6 +39,11 @@ def _long(c: Column) -> Column:
     return c.cast("bigint")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def feistel(a: Column, b: Column, size_a: Column | int, size_b: Column | int, key: str, tweak: str, undo: bool = False) -> Column:
     """Permute the pairs (a, b) of 0..size_a-1 and 0..size_b-1: each round adds a keyed hash of one half to the other."""
     size_a, size_b = (_long(F.lit(s)) if isinstance(s, int) else s for s in (size_a, size_b))
@@ -61,11 +68,16 @@ def _ten_to(n: Column) -> Column:
 
 def _digits(text: Column, key: str, tweak: str, undo: bool) -> Column:
     """Permute digit strings of one length, of 2 to 30 digits, among themselves."""
-    n = F.length(text)
-    half = F.floor(n / 2).cast("int")
-    a, b = F.substring(text, F.lit(1), half), F.substring(text, half + 1, n - half)
-    out = feistel(a, b, _ten_to(half), _ten_to(n - half), key, tweak, undo)
-    return F.concat(F.lpad(out["a"].cast("string"), half, F.lit("0")), F.lpad(out["b"].cast("string"), n - half, F.lit("0")))
+
+    def permuted(t: Column) -> Column:
+        n = F.length(t)
+        half = F.floor(n / 2).cast("int")
+        a, b = F.substring(t, F.lit(1), half), F.substring(t, half + 1, n - half)
+        sizes = F.struct(_ten_to(half).alias("a"), _ten_to(n - half).alias("b"))
+        out = _let(sizes, lambda s: feistel(a, b, s["a"], s["b"], key, tweak, undo))
+        return _let(out, lambda o: F.concat(F.lpad(o["a"].cast("string"), half, F.lit("0")), F.lpad(o["b"].cast("string"), n - half, F.lit("0"))))
+
+    return _let(text, permuted)
 
 
 def _only_digits(text: Column) -> Column:
@@ -74,16 +86,19 @@ def _only_digits(text: Column) -> Column:
 
 def _fill(form: Column, digits: Column) -> Column:
     """Put digits, in order, where ``form`` has digits."""
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
 
-    def step(s: Column, c: Column) -> Column:
-        is_digit = c.between("0", "9")
-        return F.struct(
-            F.concat(s["out"], F.when(is_digit, F.substring(digits, s["next"], F.lit(1))).otherwise(c)).alias("out"),
-            F.when(is_digit, s["next"] + 1).otherwise(s["next"]).alias("next"),
-        )
+    def filled(given: Column) -> Column:
+        def step(s: Column, c: Column) -> Column:
+            is_digit = c.between("0", "9")
+            return F.struct(
+                F.concat(s["out"], F.when(is_digit, F.substring(given, s["next"], F.lit(1))).otherwise(c)).alias("out"),
+                F.when(is_digit, s["next"] + 1).otherwise(s["next"]).alias("next"),
+            )
 
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
-    return F.aggregate(F.split(form, ""), start, step, lambda s: s["out"])
+        return F.aggregate(F.split(form, ""), start, step, lambda s: s["out"])
+
+    return _let(digits, filled)
 
 
 def _luhn(digits: Column, last: int) -> Column:
@@ -105,21 +120,25 @@ def _mod97(text: Column) -> Column:
 
 
 def _card(m: Column, key: str, undo: bool) -> Column:
-    d = _only_digits(m)
-    n = F.length(d)
-    body = F.concat(F.substring(d, 1, 1), _digits(F.substring(d, F.lit(2), n - 2), key, "card", undo))
-    new = F.concat(body, F.pmod(-_luhn(body, 0), F.lit(10)).cast("string"))
-    valid = n.between(13, 19) & (_luhn(d, 1) % 10 == 0) & (F.replace(d, F.substring(d, 1, 1), F.lit("")) != "")
-    return F.when(valid, _fill(m, new)).otherwise(m)
+    def card(d: Column) -> Column:
+        n = F.length(d)
+        body = F.concat(F.substring(d, 1, 1), _digits(F.substring(d, F.lit(2), n - 2), key, "card", undo))
+        new = _let(body, lambda x: F.concat(x, F.pmod(-_luhn(x, 0), F.lit(10)).cast("string")))
+        valid = n.between(13, 19) & (_luhn(d, 1) % 10 == 0) & (F.replace(d, F.substring(d, 1, 1), F.lit("")) != "")
+        return F.when(valid, _fill(m, new)).otherwise(m)
+
+    return _let(_only_digits(m), card)
 
 
 def _iban(m: Column, key: str, undo: bool) -> Column:
-    tight = F.replace(m, F.lit(" "), F.lit(""))
-    country, account = F.substring(tight, 1, 2), F.substring(tight, F.lit(5), F.length(tight) - 4)
-    new = _digits(account, key, "iban", undo)
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = _mod97(F.concat(account, country, F.substring(tight, 3, 2))) == 1
-    return F.when(valid, F.concat(country, _fill(F.substring(m, F.lit(3), F.length(m) - 2), F.concat(check, new)))).otherwise(m)
+    def iban(tight: Column) -> Column:
+        country, account = F.substring(tight, 1, 2), F.substring(tight, F.lit(5), F.length(tight) - 4)
+        checked = lambda new: F.concat(F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new)
+        valid = _mod97(F.concat(account, country, F.substring(tight, 3, 2))) == 1
+        new = _let(_digits(account, key, "iban", undo), checked)
+        return F.when(valid, F.concat(country, _fill(F.substring(m, F.lit(3), F.length(m) - 2), new))).otherwise(m)
+
+    return _let(F.replace(m, F.lit(" "), F.lit("")), iban)
 
 
 def _phone(m: Column, key: str, undo: bool) -> Column:
@@ -131,7 +150,7 @@ def _phone(m: Column, key: str, undo: bool) -> Column:
 def _address(m: Column, key: str, undo: bool) -> Column:
     part = [_long(F.split_part(m, F.lit("."), F.lit(k))) for k in (1, 2, 3, 4)]
     out = feistel(part[0] * 256 + part[1], part[2] * 256 + part[3], 65536, 65536, key, "address", undo)
-    new = F.concat_ws(".", F.floor(out["a"] / 256), out["a"] % 256, F.floor(out["b"] / 256), out["b"] % 256)
+    new = _let(out, lambda o: F.concat_ws(".", F.floor(o["a"] / 256), o["a"] % 256, F.floor(o["b"] / 256), o["b"] % 256))
     return F.when((part[0] < 256) & (part[1] < 256) & (part[2] < 256) & (part[3] < 256), new).otherwise(m)
 
 
@@ -141,9 +160,13 @@ def _social(m: Column, key: str, undo: bool) -> Column:
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - 1 - F.when(area > 666, 1).otherwise(0)
     out = feistel(place * 99 + group - 1, serial - 1, _AREAS, 9999, key, "social", undo)
-    new = F.floor(out["a"] / 99) + 1
-    new = new + F.when(new >= 666, 1).otherwise(0)
-    return F.when(valid, F.format_string("%03d-%02d-%04d", _long(new), _long(out["a"] % 99 + 1), _long(out["b"] + 1))).otherwise(m)
+
+    def text(o: Column) -> Column:
+        new = F.floor(o["a"] / 99) + 1
+        new = new + F.when(new >= 666, 1).otherwise(0)
+        return F.format_string("%03d-%02d-%04d", _long(new), _long(o["a"] % 99 + 1), _long(o["b"] + 1))
+
+    return F.when(valid, _let(out, text)).otherwise(m)
 
 
 def _date(m: Column, key: str, undo: bool) -> Column:
@@ -153,17 +176,22 @@ def _date(m: Column, key: str, undo: bool) -> Column:
     year = F.when(iso, a).otherwise(c)
     month, day = F.when(iso | dots, b).otherwise(a), F.when(iso, c).when(dots, a).otherwise(b)
     date = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
-    number = _long(F.datediff(date, F.lit(_FIRST_DAY).cast("date")))
     size_a, size_b = _DAYS
-    out = feistel(F.floor(number / size_b), number % size_b, size_a, size_b, key, "date", undo)
-    new = F.date_add(F.lit(_FIRST_DAY).cast("date"), (out["a"] * size_b + out["b"]).cast("int"))
     padded = (F.length(a) >= 2) & (F.length(b) >= 2)
-    d, mo = (F.when(padded, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string")) for x in (F.dayofmonth(new), F.month(new)))
-    y = F.lpad(F.year(new).cast("string"), 4, "0")
-    text = F.when(iso, F.concat_ws("-", y, mo, d)).when(dots, F.concat_ws(".", d, mo, y)).otherwise(F.concat_ws("/", mo, d, y))
+
+    def text(new: Column) -> Column:
+        d, mo = (F.when(padded, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string")) for x in (F.dayofmonth(new), F.month(new)))
+        y = F.lpad(F.year(new).cast("string"), 4, "0")
+        return F.when(iso, F.concat_ws("-", y, mo, d)).when(dots, F.concat_ws(".", d, mo, y)).otherwise(F.concat_ws("/", mo, d, y))
+
+    def moved(number: Column) -> Column:
+        out = feistel(F.floor(number / size_b), number % size_b, size_a, size_b, key, "date", undo)
+        new = _let(out, lambda o: F.date_add(F.lit(_FIRST_DAY).cast("date"), (o["a"] * size_b + o["b"]).cast("int")))
+        return F.when(regular & number.between(0, size_a * size_b - 1), _let(new, text)).otherwise(m)
+
     # Dots and slashes in one match, or one part short and one long, aren't a date format.
     regular = iso | (F.regexp_count(m, F.lit(r"\.")) == 2) | (F.regexp_count(m, F.lit("/")) == 2)
-    return F.when(regular & number.between(0, size_a * size_b - 1), text).otherwise(m)
+    return _let(_long(F.datediff(date, F.lit(_FIRST_DAY).cast("date"))), moved)
 
 
 def _keyed(m: Column, key: str, tweak: str) -> Column:
