@@ -62,9 +62,10 @@ def _with_words(docs: DataFrame, firsts: DataFrame) -> DataFrame:
         F.collect_list(F.struct(*CLASS, "first", "n")).alias("wanted")
     )
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"))
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_id") == F.col("tid"))).dropDuplicates(["doc_id", "text_id"])
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_id") == F.col("tid")))
     each = rows.select(_lines(F.col("text")).alias("lines"), F.explode("wanted").alias("c")).select("c.*", F.col("lines")[F.col("c.first.line_no")].alias("line"))
-    return each.withColumn("w", _words(F.col("line"))).drop("line")
+    # Repeated rows give a line more than once.
+    return each.withColumn("w", _words(F.col("line"))).drop("line").dropDuplicates(CLASS)
 
 
 def _terms(place: Column) -> list[Column]:
