@@ -1,7 +1,7 @@
 """Licence recognition by sentences and rules, in DataFrame operations only.
 
-A text is cut into sentences, which are normalised and looked up among known licence
-sentences. The identifiers found, in order, are then matched against rules, the most
+A text is cut at line and sentence ends and normalised; known licence sentences are
+found in it whole, across those cuts. The identifiers found, in order, are then matched against rules, the most
 specific first; what a rule matches is used up. Rows never leave their partition.
 """
 
@@ -94,25 +94,62 @@ def known() -> dict[str, str]:
     return table
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences that speak of licences."""
+# Licence sentences as they stand in files, on any number of lines: normalised words, in which a space may also be a break.
+_HOLDER = r"\S+(?: \S+){0,19}?"
+_WHOLE = {_pieces(text)[0]: name for name, text in SENTENCES.items() if name != "apache-copy"}
+_WHOLE = {name: text for text, name in _WHOLE.items()}
+_WHOLE |= {"apache-copy": "you may obtain a copy of the license at https? www apache org licenses license 2 0"}
+
+_NAMED = {normalised(name): short for name, short in NAMES.items()}
+_FORMAL = f"(?:{'|'.join(map(normalised, PHRASES))})(?: the)?"
+_GRANT = f"{_FORMAL} (?:{'|'.join(sorted(_NAMED, key=len, reverse=True))})(?: the license)?"
+# The number of a list's entry may stand before a sentence.
+_MARK = "(?:(?:[0-9]{1,2}|[a-e]) )?"
+
+
+def _over_breaks(pattern: str) -> str:
+    return f"(?m)^{_MARK}(?:{pattern})$".replace(" ", r"[ \n]")
+
+
+_ANY = _over_breaks("|".join([_GRANT, *_WHOLE.values()]))
+# As _SPEAKS, before breaks are taken out.
+_MAYBE = _SPEAKS.replace(" ", r"[^\p{L}\p{N}]+")
+
+
+def fragments(text: Column) -> Column:
+    """What lies between line ends and sentence ends, normalised; empty ones are left out."""
     clean = F.regexp_replace(F.lower(text), _NOISE, "")
     each = F.transform(F.split(clean, _END, -1), lambda s: F.trim(F.regexp_replace(s, _PART, " ")))
-    return F.filter(each, lambda s: s.rlike(_SPEAKS))
+    return F.filter(each, lambda s: s != "")
+
+
+def _identified(found: Column) -> Column:
+    """The identifier of what ``_ANY`` matched."""
+    named = F.create_map(*(F.lit(x) for pair in _NAMED.items() for x in pair))
+    bare = F.regexp_replace(F.translate(found, "\n", " "), f"^{_MARK}{_FORMAL} | the license$", "")
+    out = F.when(found.rlike(_over_breaks(_GRANT)), F.concat(F.lit("grant:"), F.try_element_at(named, bare)))
+    for name, pattern in _WHOLE.items():
+        out = out.when(found.rlike(rf"\A{_over_breaks(pattern)}\z"), F.lit(name))
+    return F.coalesce(out, F.lit("?"))
 
 
 def recognise(text: Column | str = "text") -> Column:
     """Struct (sentence_ids, licences, unmatched) of a whole text.
 
-    ``sentence_ids`` are the identifiers in order, each in angle brackets, ``<?>`` for a sentence that
-    speaks of licences and isn't known. ``licences`` are those whose rules matched, in the order
+    A known sentence is found whole, however it is broken into lines, comment signs before them or not.
+    ``sentence_ids`` are the identifiers in order, each in angle brackets, ``<?>`` for any other piece of a line
+    that speaks of licences. ``licences`` are those whose rules matched, in the order
     of the rules; ``unmatched`` counts identifiers that no rule used. Null and empty texts have none.
     """
     text = F.col(text) if isinstance(text, str) else text
-    table = F.create_map(*(F.lit(x) for pair in known().items() for x in pair))
-    ids = F.transform(sentences(text), lambda s: F.concat(F.lit("<"), F.coalesce(F.try_element_at(table, s), F.lit("?")), F.lit(">")))
-    speaks = F.lower(text).rlike(_SPEAKS)
-    return _apply(F.when(speaks, F.array_join(ids, "")).otherwise(""))
+
+    def sequence(stream: Column) -> Column:
+        ids = F.transform(F.regexp_extract_all(stream, F.lit(_ANY), F.lit(0)), lambda s: F.concat(F.lit("<"), _identified(s), F.lit(">")))
+        rest = F.transform(F.split(stream, _ANY, -1), lambda s: F.array_join(F.transform(F.filter(F.split(s, "\n", -1), lambda x: x.rlike(_SPEAKS)), lambda x: F.lit("<?>")), ""))  # noqa: E501
+        return F.array_join(F.flatten(F.zip_with(rest, ids, lambda r, i: F.array(r, F.coalesce(i, F.lit(""))))), "")
+
+    streams = F.transform(F.array(F.array_join(fragments(text), "\n")), sequence)
+    return _apply(F.when(F.lower(text).rlike(_MAYBE), F.get(streams, F.lit(0))).otherwise(""))
 
 
 def _apply(sequence: Column) -> Column:
@@ -142,7 +179,7 @@ def _quoted(value: str) -> str:
 
 
 def scan_sql() -> str:
-    """The same in SQL."""
+    """The same in SQL for sentences that stand on one line each; wrapped sentences are beyond it."""
     table = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in known().items())
     steps, last = [], "r0"
     for k, (name, ids) in enumerate(RULES, 1):

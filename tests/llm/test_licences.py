@@ -79,3 +79,61 @@ def test_awkward_documents(spark):
     assert licences.scan(empty(spark)).count() == 0
     plan = licences.scan(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+MIT_FILE = """Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_FILE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+BSD_START = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+FILES = [
+    (MIT_FILE, "MIT", 1),
+    (APACHE_FILE, "Apache-2.0", 0),
+    (BSD_START, "BSD-2-Clause", 0),
+    (APACHE_FILE.replace("# ", "// "), "Apache-2.0", 0),
+    ("Distributed\nunder CC\nBY 4.0", "CC-BY-4.0", 0),
+]
+
+
+def test_licences_as_they_stand_in_files(spark):
+    docs = spark.createDataFrame([(i, f[0]) for i, f in enumerate(FILES)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in licences.scan(docs).collect()}
+    for i, (_, want, unmatched) in enumerate(FILES):
+        assert got[i]["licences"] == want, got[i]
+        assert unmatched in (None, got[i]["unmatched"]), got[i]
