@@ -96,16 +96,48 @@ def known() -> dict[str, str]:
 
 # Licence sentences as they stand in files, on any number of lines: normalised words, in which a space may also be a break.
 _HOLDER = r"\S+(?: \S+){0,19}?"
-_WHOLE = {_pieces(text)[0]: name for name, text in SENTENCES.items() if name != "apache-copy"}
-_WHOLE = {name: text for text, name in _WHOLE.items()}
-_WHOLE |= {"apache-copy": "you may obtain a copy of the license at https? www apache org licenses license 2 0"}
+_WHOLE = {name: normalised(text) for name, text in SENTENCES.items() if not re.match("bsd-names|gpl|apache-copy", name)}
+_WHOLE |= {
+    "apache-copy": "you may obtain a copy of the license at https? www apache org licenses license 2 0",
+    "bsd-names": rf"(?:neither the names? of {_HOLDER} nor the names? of {_HOLDER}|(?:the )?names? of {_HOLDER}) may (?:not )?be used to endorse or promote products derived from this software without (?:specific )?prior written permission",  # noqa: E501
+    "bsd-advert": rf"all advertising materials mentioning features or use of this software must display the following acknowledge?ment(?: this product includes software developed by {_HOLDER}$)?",
+    "bsd-as-is": rf"this software is provided by {_HOLDER} as is and any express(?:ed)? or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",  # noqa: E501
+    "bsd-liability": rf"in no event shall {_HOLDER} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",  # noqa: E501
+}
+_FAMILY: list[tuple[str, list[str]]] = []
+for _long, _short, _versions in (("", "gpl", ("1", "2", "3")), ("(?:lesser|library) ", "lgpl", ("2", "2.1", "3")), ("affero ", "agpl", ("3",))):
+    _licence = f"gnu {_long}general public license"
+    _from = f"this (?:program|library|file|software) is free software you can redistribute it and or modify it under the terms of the {_licence} as published by the free software foundation"
+    for _v in _versions:
+        _words = f"version {_v.replace('.', ' ')} of the license"
+        _WHOLE[f"{_short}{_v}-later"] = f"{_from} (?:either )?{_words} or at your option any later version"
+        _WHOLE[f"{_short}{_v}-only"] = rf"{_from} {_words}$(?!\n(?:or|and) )"
+    _hope = "(?:program|library|file|software) is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+    _WHOLE["gpl-hope"] = f"this {_hope}"
+    _WHOLE[f"{_short}-see"] = f"see the {_licence} for more details"
+    _WHOLE[f"{_short}-copy"] = f"you should have received a copy of the {_licence} along with this (?:program|library|file|software)(?: if not see https? www gnu org licenses)?"
+    _tails = ["gpl-hope", f"{_short}-see", f"{_short}-copy"]
+    for _v in reversed(_versions):
+        for _kind, _suffix in (("later", "or-later"), ("only", "only")):
+            _name = f"{_short.upper()}-{_v if '.' in _v else _v + '.0'}-{_suffix}"
+            _FAMILY += [(_name, [f"{_short}{_v}-{_kind}", *_tails[:n]]) for n in (3, 2, 0)]
 
 _NAMED = {normalised(name): short for name, short in NAMES.items()}
+_NAMED |= {f"{normalised(name)} {later}": f"{short}-or-later" for name, short in NAMES.items() if name.startswith("GNU ") for later in ("or later", "or any later version", "or at your option any later version")}
 _FORMAL = f"(?:{'|'.join(map(normalised, PHRASES))})(?: the)?"
 _GRANT = f"{_FORMAL} (?:{'|'.join(sorted(_NAMED, key=len, reverse=True))})(?: the license)?"
 # The number of a list's entry may stand before a sentence.
 _MARK = "(?:(?:[0-9]{1,2}|[a-e]) )?"
 
+# Rules for whole sentences: what has more sentences first.
+_BSD = ["bsd-grant", "bsd-source", "bsd-binary"]
+WHOLE_RULES: list[tuple[str, list[str]]] = [
+    *((name, [*_BSD, *more, *end]) for end in (["bsd-as-is", "bsd-liability"], []) for name, more in (("BSD-4-Clause", ["bsd-advert", "bsd-names"]), ("BSD-4-Clause", ["bsd-advert"]), ("BSD-3-Clause", ["bsd-names"]), ("BSD-2-Clause", []))),  # noqa: E501
+    *_FAMILY,
+    *((name, ids) for name, ids in RULES if not any(i.startswith(("gpl", "bsd")) for i in ids)),
+    *((short, [f"grant:{short}"]) for short in dict.fromkeys(_NAMED.values()) if short.endswith("-or-later")),
+]
+
 
 def _over_breaks(pattern: str) -> str:
     return f"(?m)^{_MARK}(?:{pattern})$".replace(" ", r"[ \n]")
@@ -153,7 +185,7 @@ def recognise(text: Column | str = "text") -> Column:
 
 
 def _apply(sequence: Column) -> Column:
-    rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("pattern")) for name, ids in RULES))
+    rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("pattern")) for name, ids in WHOLE_RULES))
 
     def use(state: Column, rule: Column) -> Column:
         hit = F.contains(state["left"], rule["pattern"])
@@ -179,7 +211,7 @@ def _quoted(value: str) -> str:
 
 
 def scan_sql() -> str:
-    """The same in SQL for sentences that stand on one line each; wrapped sentences are beyond it."""
+    """The same in SQL for sentences that stand on one line each; wrapped sentences, GNU and BSD headers in full are beyond it."""
     table = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in known().items())
     steps, last = [], "r0"
     for k, (name, ids) in enumerate(RULES, 1):

@@ -122,11 +122,55 @@ modification, are permitted provided that the following conditions are met:
    this list of conditions and the following disclaimer in the documentation
    and/or other materials provided with the distribution.
 """
+BSD_ADVERT = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by Example Inc.
+"""
+BSD_NAMES = """4. Neither the name of Example Inc. nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+GPL_FILE = """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; {version}
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ *
+ * You should have received a copy of the GNU General Public License
+ * along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+LATER = "either version {} of the License, or\n * (at your option) any later version."
+LGPL_FILE = GPL_FILE.replace("GNU General", "GNU Lesser General").replace("program", "library")
 FILES = [
     (MIT_FILE, "MIT", 1),
     (APACHE_FILE, "Apache-2.0", 0),
-    (BSD_START, "BSD-2-Clause", 0),
     (APACHE_FILE.replace("# ", "// "), "Apache-2.0", 0),
+    (BSD_START + BSD_END, "BSD-2-Clause", 0),
+    (BSD_START + BSD_NAMES + BSD_END, "BSD-3-Clause", 0),
+    (BSD_START + BSD_ADVERT + BSD_NAMES + BSD_END, "BSD-4-Clause", 0),
+    (GPL_FILE.format(version=LATER.format(2)), "GPL-2.0-or-later", 0),
+    (GPL_FILE.format(version=LATER.format(3)), "GPL-3.0-or-later", 0),
+    (GPL_FILE.format(version="version 2 of the License."), "GPL-2.0-only", 0),
+    (GPL_FILE.format(version="version 2 of the License,\n * or version 7 of it."), "", None),
+    (GPL_FILE.format(version=LATER.format(4)), "", None),
+    (LGPL_FILE.format(version=LATER.format(2.1)), "LGPL-2.1-or-later", 0),
+    (GPL_FILE.replace("GNU General", "GNU Affero General").format(version=LATER.format(3)), "AGPL-3.0-or-later", 0),
+    ("Distributed\nunder the GNU General Public License, version 2\nor (at your option) any later version.", "GPL-2.0-or-later", 0),
     ("Distributed\nunder CC\nBY 4.0", "CC-BY-4.0", 0),
 ]
 
