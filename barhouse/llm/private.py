@@ -15,16 +15,50 @@ from pyspark.sql import Column, DataFrame, functions as F
 KEY = "set a key of your own"
 ROUNDS = 8
 
+# How long the IBANs of a country are.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_forms() -> str:
+    """Accounts of the length of their country, so words that follow aren't taken in; then those of any length."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{'|'.join(countries.split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{last}(?![0-9A-Za-z])")
+    forms.append(r"[A-Z]{2}\d{2}(?: ?\d{4}){2,6}(?: ?\d{1,3})?(?![0-9A-Za-z])")
+    forms.append(r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(forms)})"
+
+
+# Dialling codes, those of three digits last.
+_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\\d{2}"
+_PLUS = (
+    r"1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}"  # +1 (212) 555-0123
+    r"|[2-9]\d{6,14}"  # +442079460958
+    r"|(?=(?:[ .()-]{0,2}\d){7,15}(?!\d))[2-9]\d{0,2}(?:[ .-]?\(\d{1,5}\)[ .-]?\d{1,8}(?:[ .-]\d{1,8}){0,4}|(?:[ .-]\d{1,8}){2,5}|[ .-]\d{5,12})"  # +33 1 23 45 67 89, +44 (0)20 7946 0958
+    r"|[2-9]\d{0,2}(?:[ .-]\d{2,8}){2,4}"
+)
+_AMERICAN = r"(?<![\d+.-])(?:1[ .-])?(?:\([2-9]\d{2}\)[ .-]?[2-9]\d{2}[ .-]|[2-9]\d{2}-[2-9]\d{2}-|[2-9]\d{2}\.[2-9]\d{2}\.|[2-9]\d{2} [2-9]\d{2}[ -])\d{4}(?!\d|[.-]\d)"
+# With the trunk prefix 0 and nine to twelve digits: 020 7946 0958, (030) 1234567, 01 23 45 67 89.
+_TRUNK = r"(?<![\d+.,/-])(?=(?:[ ()./-]{0,2}\d){9,12}(?![ ./-]?\d))(?:\(0[1-9]\d{0,3}\) ?\d{2,8}|0[1-9]\d{0,3}[ ./-]\d{2,8})(?:[ ./-]\d{2,8}){0,4}(?!\d)"
+
 # What is looked at, leftmost first and in this order; whether it is private is decided by validation.
 PATTERNS = {
     "mail": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "token": r"(?<=(?:token|key|secret|password)[ ]{0,2}[=:][ ]{0,2}\"{0,1})[0-9a-f]{32,64}(?![0-9A-Za-z])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){2,6}(?: ?\d{1,3})?(?![0-9A-Za-z])",
-    "phone": r"(?<![\d+])\+(?:1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|[2-9]\d{0,2}(?:[ .-]\d{2,8}){2,4})(?!\d)",
+    "iban": _iban_forms(),
+    "phone": rf"(?<![\d+])\+(?:{_PLUS})(?!\d)",
     "address": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "date": r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?!\d)",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?!\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}(?: \d{6} |-\d{6}-)\d{5})(?!\d)",
+    "american": _AMERICAN,
+    "trunk": _TRUNK,
 }
 PATTERN = "|".join(PATTERNS.values())
 # Any match holds a digit or an at sign.
@@ -33,6 +67,8 @@ _MAYBE = r"[0-9@]"
 # 400 years are 189 * 773 days.
 _FIRST_DAY, _DAYS = "1700-01-01", (189, 773)
 _AREAS = 898 * 99
+# Letters permuted together; 26 to the 13th is the highest power that fits a bigint.
+_LETTERS = 26
 
 
 def _long(c: Column) -> Column:
@@ -80,17 +116,40 @@ def _digits(text: Column, key: str, tweak: str, undo: bool) -> Column:
     return _let(text, permuted)
 
 
+def _letters(text: Column, key: str, tweak: str, undo: bool) -> Column:
+    """Permute strings of capital letters of one length among themselves; what is beyond ``_LETTERS`` stays."""
+    power = lambda n: F.aggregate(F.sequence(F.lit(0), n), F.lit(1).cast("bigint"), lambda p, i: F.when(i > 0, p * 26).otherwise(p))
+    number = lambda t: F.aggregate(F.filter(F.split(t, ""), lambda c: c != ""), F.lit(0).cast("bigint"), lambda r, c: r * 26 + F.ascii(c) - 65)
+
+    def spelled(value: Column, n: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            letter = F.char(_long(s["rest"] % 26) + 65)
+            more = i > 0
+            return F.struct(F.when(more, F.concat(letter, s["out"])).otherwise(s["out"]).alias("out"), F.when(more, _long((s["rest"] - s["rest"] % 26).cast("decimal(20,0)") / 26)).otherwise(s["rest"]).alias("rest"))
+
+        return F.aggregate(F.sequence(F.lit(0), n), F.struct(F.lit("").alias("out"), _long(value).alias("rest")), step, lambda s: s["out"])
+
+    def permuted(t: Column) -> Column:
+        n = F.least(F.length(t), F.lit(_LETTERS))
+        half = F.floor(n / 2).cast("int")
+        parts = F.struct(power(half).alias("a"), power(n - half).alias("b"), number(F.substring(t, F.lit(1), half)).alias("x"), number(F.substring(t, half + 1, n - half)).alias("y"))
+        out = _let(parts, lambda s: feistel(s["x"], s["y"], s["a"], s["b"], key, tweak, undo))
+        return _let(out, lambda o: F.concat(spelled(o["a"], half), spelled(o["b"], n - half), F.substring(t, n + 1, F.length(t))))
+
+    return _let(text, permuted)
+
+
 def _only_digits(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9]", "")
 
 
-def _fill(form: Column, digits: Column) -> Column:
-    """Put digits, in order, where ``form`` has digits."""
+def _fill(form: Column, digits: Column, first: str = "0", last: str = "9") -> Column:
+    """Put digits, in order, where ``form`` has digits, or other characters where it has those from ``first`` to ``last``."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
 
     def filled(given: Column) -> Column:
         def step(s: Column, c: Column) -> Column:
-            is_digit = c.between("0", "9")
+            is_digit = c.between(first, last)
             return F.struct(
                 F.concat(s["out"], F.when(is_digit, F.substring(given, s["next"], F.lit(1))).otherwise(c)).alias("out"),
                 F.when(is_digit, s["next"] + 1).otherwise(s["next"]).alias("next"),
@@ -131,22 +190,51 @@ def _card(m: Column, key: str, undo: bool) -> Column:
 
 
 def _iban(m: Column, key: str, undo: bool) -> Column:
+    """Digits of the account are permuted among digits, letters among letters."""
+
     def iban(tight: Column) -> Column:
         country, account = F.substring(tight, 1, 2), F.substring(tight, F.lit(5), F.length(tight) - 4)
-        checked = lambda new: F.concat(F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0"), new)
+        figures, capitals = _only_digits(account), F.regexp_replace(account, r"[^A-Z]", "")
+        moved = F.struct(
+            F.when(F.length(figures) > 1, _digits(figures, key, "iban", undo)).otherwise(figures).alias("digits"),
+            F.when(capitals != "", _letters(capitals, key, "iban", undo)).otherwise("").alias("letters"),
+        )
+        put = lambda form, digits, letters: F.when(letters == "", _fill(form, digits)).otherwise(_fill(_fill(form, digits), letters, "A", "Z"))
+        checked = lambda new: F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
         valid = _mod97(F.concat(account, country, F.substring(tight, 3, 2))) == 1
-        new = _let(_digits(account, key, "iban", undo), checked)
-        return F.when(valid, F.concat(country, _fill(F.substring(m, F.lit(3), F.length(m) - 2), new))).otherwise(m)
+        tail = F.substring(m, F.lit(3), F.length(m) - 2)
+        new = _let(moved, lambda x: put(tail, F.concat(_let(put(account, x["digits"], x["letters"]), checked), x["digits"]), x["letters"]))
+        return F.when(valid, F.concat(country, new)).otherwise(m)
 
     return _let(F.replace(m, F.lit(" "), F.lit("")), iban)
 
 
 def _phone(m: Column, key: str, undo: bool) -> Column:
-    code = F.regexp_extract(m, r"^\+(?:1|[2-9]\d{0,2})", 0)
+    code = F.regexp_extract(m, rf"^\+(?:[2-9]\d{{0,2}}(?!\d)|{_CODES})", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m) - F.length(code))
     return F.concat(code, _fill(rest, _digits(_only_digits(rest), key, "phone", undo)))
 
 
+def _american(m: Column, key: str, undo: bool) -> Column:
+    """Areas and exchanges from 200; a leading 1 stays."""
+
+    def moved(d: Column) -> Column:
+        part = lambda k, n: _long(F.substring(d, F.lit(k), F.lit(n)))
+        out = feistel(part(1, 3) - 200, (part(4, 3) - 200) * 10000 + part(7, 4), 800, 8_000_000, key, "american", undo)
+        new = _let(out, lambda o: (o["a"] + 200) * 10_000_000 + o["b"] + 2_000_000)
+        return F.concat(head, _fill(F.substring(m, F.length(head) + 1, F.length(m)), new.cast("string")))
+
+    head = F.regexp_extract(m, r"^(?:1[ .-])?", 0)
+    return _let(F.substring(_only_digits(m), -10, 10), moved)
+
+
+def _trunk(m: Column, key: str, undo: bool) -> Column:
+    """The 0 and the digit after it stay."""
+    head = F.regexp_extract(m, r"^\(?0\d", 0)
+    rest = F.substring(m, F.length(head) + 1, F.length(m))
+    return F.concat(head, _fill(rest, _digits(_only_digits(rest), key, "trunk", undo)))
+
+
 def _address(m: Column, key: str, undo: bool) -> Column:
     part = [_long(F.split_part(m, F.lit("."), F.lit(k))) for k in (1, 2, 3, 4)]
     out = feistel(part[0] * 256 + part[1], part[2] * 256 + part[3], 65536, 65536, key, "address", undo)
@@ -207,9 +295,11 @@ def pseudonym(match: Column, key: str = KEY, undo: bool = False) -> Column:
         F.when(match.contains("@"), match if undo else mail)
         .when(match.rlike(r"^[A-Z]{2}\d"), _iban(match, key, undo))
         .when(match.startswith("+"), _phone(match, key, undo))
-        .when(match.rlike(r"^\d+\.\d+\.\d+\.\d+$"), _address(match, key, undo))
+        .when(match.rlike(rf"^(?:{_AMERICAN})$"), _american(match, key, undo))
+        .when(match.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"), _address(match, key, undo))
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), _social(match, key, undo))
-        .when(match.rlike(r"^\d+[./-]\d+[./-]\d+$") & (F.length(match) <= 10), _date(match, key, undo))
+        .when(match.rlike(r"^\d+[./-]\d+[./-]\d+$") & (F.length(match) <= 10) & match.rlike(rf"^(?:{PATTERNS['date']})$"), _date(match, key, undo))
+        .when(match.rlike(rf"^(?:{_TRUNK})$"), _trunk(match, key, undo))
         .when(match.rlike(r"^[0-9 -]{13,23}$"), _card(match, key, undo))
         .otherwise(match if undo else token)
     )
