@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, licences, lines, mixing, neighbours, packing, private, quality, simhash, toxicity
+from barhouse.llm import language, licences, lines, mixing, neighbours, packing, private, quality, simhash, suffixes, toxicity
 from barhouse.llm.common import remainder, table
 
 
@@ -60,6 +60,10 @@ def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lines": op2_lines,
@@ -71,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_private": op10_private,
+    "op13_suffixes": op13_suffixes,
 }
-ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op5_licences": licences.scan_sql(), "op8_quality": quality.MEASURED_SQL}
+ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op5_licences": licences.scan_sql(), "op8_quality": quality.MEASURED_SQL, "op13_suffixes": suffixes.REPORT_SQL}
