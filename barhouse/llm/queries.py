@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse.llm import language, licences, lines, mixing, neighbours, packing, private, quality, simhash, suffixes, toxicity
+from barhouse.llm import language, licences, lines, mixing, neighbours, packing, phrases, private, quality, simhash, suffixes, toxicity, whitening
 from barhouse.llm.common import remainder, table
 
 
@@ -60,6 +60,14 @@ def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_report(table(spark, sf_dir, "documents"))
 
@@ -75,6 +83,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_private": op10_private,
+    "op11_phrases": op11_phrases,
+    "op12_whitening": op12_whitening,
     "op13_suffixes": op13_suffixes,
 }
-ORACLES: dict[str, str] = {"op2_lines": lines.REPORT_SQL, "op5_licences": licences.scan_sql(), "op8_quality": quality.MEASURED_SQL, "op13_suffixes": suffixes.REPORT_SQL}
+ORACLES: dict[str, str] = {
+    "op2_lines": lines.REPORT_SQL,
+    "op5_licences": licences.scan_sql(),
+    "op8_quality": quality.MEASURED_SQL,
+    "op11_phrases": phrases.COLLOCATIONS_SQL,
+    "op13_suffixes": suffixes.REPORT_SQL,
+}
