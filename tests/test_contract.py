@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -18,6 +21,20 @@ ORACLES = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no driver tables here")
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
+
+@pytest.mark.parametrize("also", ["", "corpus_pipeline.py"])
+def test_imports_without_the_text_operators(tmp_path, also):
+    """With their folder gone, with or without the pipeline, every other query is there."""
+    gone = {"llm", "__pycache__", ".git", also}
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=lambda _, names: gone & set(names))
+    code = "import __spark_entry__ as c; print(*sorted(c.queries()), sep='\\n'); assert set(c.oracle_sql()) <= set(c.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert set(done.stdout.split()) == set(QUERIES)
+
+
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
