@@ -60,6 +60,10 @@ class Files:
         if not self._fs.rename(self._path(source), to):
             raise OSError(f"could not rename {source} to {target}")
 
+    def touch(self, path: str) -> None:
+        """Create an empty file, and the folders above it."""
+        self._fs.create(self._path(path)).close()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

@@ -11,6 +11,7 @@ from barhouse.functions.routing import time_bounds
 from barhouse.plans.writers import write_days
 from barhouse.sources.periods import list_periods, read_periods
 from barhouse.sources.text_days import stream_text_rows
+from barhouse.streaming.ledger import Ledger, stream_of
 
 # Day files taken into one batch.
 FILES_PER_BATCH = 1000
@@ -34,10 +35,7 @@ def stored_rows(rows: DataFrame, which: str | Dataset, root: str) -> DataFrame |
 
 
 def new_rows(batch: DataFrame, which: str | Dataset, root: str) -> DataFrame:
-    """Distinct rows of a batch that aren't stored yet, in any tier.
-
-    This is what makes a batch that is delivered twice harmless.
-    """
+    """Distinct rows of a batch that aren't stored yet, in any tier: a day file may repeat rows of another."""
     ds = dataset(which)
     rows = drop_copies(ds.canonical(batch))
     stored = stored_rows(rows, ds, root)
@@ -58,12 +56,14 @@ def stream_text(
     """Append the rows of day files not seen before, then stop.
 
     The checkpoint remembers the files; start it again whenever more have
-    landed. A backlog is worked off in batches of bounded size.
+    landed. A backlog is worked off in batches of bounded size. Each batch is
+    published once, however often it is delivered (:class:`Ledger`).
     """
     ds = dataset(which)
 
-    def append(batch: DataFrame, _: int) -> None:
-        write_days(new_rows(batch, ds, root), ds, root, mode="append")
+    def append(batch: DataFrame, number: int) -> None:
+        ledger = Ledger(batch.sparkSession, root, stream_of(batch))
+        ledger.publish(number, lambda folder: write_days(new_rows(batch, ds, root), ds, f"{folder}/rows"))
 
     rows = stream_text_rows(spark, ds, source, files_per_batch)
     sink = rows.writeStream.foreachBatch(append).trigger(availableNow=True)

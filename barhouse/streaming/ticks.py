@@ -2,47 +2,96 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from barhouse.datasets import Dataset, dataset
 from barhouse.operators.dedup import first_per_key
 from barhouse.plans.writers import write_days
+from barhouse.streaming.arrivals import ARRIVED, ROW, numbered, numbered_stream, with_arrival
 from barhouse.streaming.landing import stored_rows
+from barhouse.streaming.ledger import Ledger, stream_of
 
+def first_arrivals(ticks: DataFrame, which: str | Dataset, delay: str = "1 day", late: bool = False) -> DataFrame:
+    """Per (symbol, time), the row that arrives first; with ``late``, also those after it, and a column that says so.
 
-def first_arrivals(ticks: DataFrame, which: str | Dataset, delay: str = "1 day") -> DataFrame:
-    """Per (symbol, time), the row that arrives first.
-
-    State is kept for ``delay`` behind the latest time seen; Spark drops later rows
-    without telling, so this suits streams whose lateness is known to be bounded.
-    :func:`land_first` loses none. Across batches arrival decides, not the order inside a file.
-    Watermarks need an instant, so the naive time is read in the session's
-    zone, which should be UTC.
+    In a batch, files count by time and name and rows by their place in the file (see
+    :func:`with_arrival`). State is one flag per key, kept until the watermark, ``delay``
+    behind the latest time seen, has passed the key's time; a timeout clears it. Rows that
+    come later still are dropped by Spark, and :func:`dropped_rows` counts them, so this
+    suits streams whose lateness is known to be bounded; :func:`land_first` loses none.
+    Rows without a time are left out. Watermarks need an instant, so the naive time is read
+    in the session's zone, which should be UTC.
     """
-    ds = dataset(which)
-    naive = F.col(ds.time)
-    timed = ticks.withColumn(ds.time, naive.cast("timestamp")).withWatermark(ds.time, delay)
-    first = timed.dropDuplicatesWithinWatermark(ds.key)
-    return first.withColumn(ds.time, naive.cast("timestamp_ntz"))
+    ds, naive = dataset(which), F.col(dataset(which).time)
+    placed = ticks if ARRIVED in ticks.columns else with_arrival(ticks)
+    rows = numbered_stream(ds.canonical(placed, ARRIVED).where(naive.isNotNull()))
+    instant = naive.cast("timestamp").alias(ds.time)
+    timed = rows.select(*[instant if c == ds.time else c for c in ds.columns], f"{ARRIVED}.*", F.col(ROW).alias("place")).withWatermark(ds.time, delay)
+    out, order = ds.columns, ["modified", "file", "block", "place"]
+
+    def keep(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        new = not state.exists
+        state.update((True,))
+        state.setTimeoutTimestamp(int(pd.Timestamp(key[1]).timestamp() * 1000) + 1)
+        first = None
+        for part in parts:
+            if not new:
+                yield part[out].assign(late=True)
+                continue
+            # The earliest so far waits until all rows of the batch have been seen.
+            part = pd.concat([first, part]).sort_values(order) if first is not None else part.sort_values(order)
+            first = part.iloc[:1]
+            if len(part) > 1:
+                yield part.iloc[1:][out].assign(late=True)
+        if first is not None:
+            yield first[out].assign(late=False)
 
+    kinds = ", ".join(f"{f.name} {'timestamp' if f.name == ds.time else f.dataType.simpleString()}" for f in ds.schema)
+    grouped = timed.groupBy(*ds.key)
+    told = grouped.applyInPandasWithState(keep, f"{kinds}, late boolean", "seen boolean", "append", "EventTimeTimeout")
+    told = told.withColumn(ds.time, naive.cast("timestamp_ntz"))
+    return told if late else told.where("not late").drop("late")
 
-def land_first(ticks: DataFrame, which: str | Dataset, root: str, checkpoint: str) -> StreamingQuery:
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came after their state was gone, as far as Spark remembers the stream's progress."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def land_first(ticks: DataFrame, which: str | Dataset, root: str, checkpoint: str, late: str | None = None) -> StreamingQuery:
     """Append the row that arrives first of each (symbol, time) to stored days, then stop.
 
     What has arrived is what is stored, so there is no watermark: a row counts
-    however late it is, and a batch that is delivered twice does no harm. Inside
-    one batch the smallest row counts as first.
+    however late it is. In a batch, files count by time and name and rows by their
+    place in the file (see :func:`with_arrival`). Rows that came too late to be the
+    first are stored in the folder ``late``, if one is given. A batch is published
+    once, however often it is delivered (:class:`Ledger`).
     """
     ds = dataset(which)
+    placed = ticks if ARRIVED in ticks.columns else with_arrival(ticks)
+
+    def append(batch: DataFrame, number: int) -> None:
+        rows = numbered(ds.canonical(batch, ARRIVED))
+
+        def write(folder: str) -> None:
+            first = first_per_key(rows, ds.key, [ARRIVED, ROW])
+            known = stored_rows(first, ds, root)
+            if known is not None:
+                first = first.join(known.select(*ds.key), ds.key, "left_anti")
+            write_days(first, ds, f"{folder}/rows")
+            if late:
+                lost = rows.join(first.select(ARRIVED, ROW), [ARRIVED, ROW], "left_anti")
+                lost.select(*ds.columns).write.parquet(f"{folder}/late")
 
-    def append(batch: DataFrame, _: int) -> None:
-        first = first_per_key(ds.canonical(batch), ds.key, ds.values)
-        known = stored_rows(first, ds, root)
-        if known is not None:
-            first = first.join(known.select(*ds.key), ds.key, "left_anti")
-        write_days(first, ds, root, mode="append")
+        Ledger(batch.sparkSession, root, stream_of(batch)).publish(number, write, **({"late": late} if late else {}))
 
-    sink = ticks.writeStream.foreachBatch(append).trigger(availableNow=True)
+    sink = placed.writeStream.foreachBatch(append).trigger(availableNow=True)
     return sink.option("checkpointLocation", checkpoint).start()

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from barhouse import compact_months, read_range, write_days
+from barhouse.files import Files
+from barhouse.streaming.arrivals import with_arrival
 from barhouse.streaming.landing import new_rows, stored_rows, stream_text
-from barhouse.streaming.ticks import first_arrivals, land_first
+from barhouse.streaming.ledger import Ledger
+from barhouse.streaming.ticks import dropped_rows, first_arrivals, land_first
 from tests.helpers import frame, put, rows_of
 
 JANUARY = ("2024-01-01", "2024-01-31")
@@ -75,3 +81,92 @@ def test_late_arrivals_are_not_lost(spark, tmp_path):
     new, late = ("A", datetime(2024, 1, 2, 9), 5, 1), ("A", datetime(2001, 1, 2, 9), 7, 1)
     assert land([new]) == [new]
     assert land([late, ("A", datetime(2024, 1, 2, 9), 6, 1)]) == [late, new]
+
+
+def at(hour, minute, price, symbol="A", day=2):
+    return (symbol, datetime(2024, 1, day, hour, minute), price, 1)
+
+
+def land(spark, tmp_path, rows, name, how=land_first, **options):
+    """One file of rows in this order, taken by the stream."""
+    frame(spark, "KR-1m", rows).coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+    stream = spark.readStream.schema(frame(spark, "KR-1m", []).schema).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    ticks = with_arrival(stream, by_name=True)
+    if how is land_first:
+        query = land_first(ticks, "KR-1m", f"{tmp_path}/lake", f"{tmp_path}/seen", late=f"{tmp_path}/late")
+    else:
+        sink = first_arrivals(ticks, "KR-1m", late=True, **options).writeStream.format("parquet").trigger(availableNow=True)
+        query = sink.option("checkpointLocation", f"{tmp_path}/seen").start(f"{tmp_path}/out")
+    query.awaitTermination()
+    return query
+
+
+@pytest.mark.parametrize("how", [land_first, first_arrivals])
+def test_first_row_of_a_file_wins_not_the_smallest(spark, tmp_path, how):
+    land(spark, tmp_path, [at(9, 0, 90), at(9, 0, 10), at(9, 1, 5), at(9, 0, 50)], "b", how)
+    land(spark, tmp_path, [at(9, 1, 1), at(9, 2, 7), at(9, 2, 3), at(9, 0, 90)], "c", how)
+    first = [at(9, 0, 90), at(9, 1, 5), at(9, 2, 7)]
+    late = sorted([at(9, 0, 10), at(9, 0, 50), at(9, 1, 1), at(9, 2, 3), at(9, 0, 90)])
+    if how is land_first:
+        assert rows_of(read_range(spark, "KR-1m", f"{tmp_path}/lake", *JANUARY)) == first
+        assert rows_of(spark.read.parquet(f"{tmp_path}/late")) == late
+    else:
+        out = spark.read.parquet(f"{tmp_path}/out")
+        assert rows_of(out.where("not late").drop("late")) == first
+        assert rows_of(out.where("late").drop("late")) == late
+
+
+def test_files_of_one_batch_count_by_name(spark, tmp_path):
+    for name, price in (("z", 1), ("a", 9), ("m", 5)):
+        frame(spark, "KR-1m", [at(9, 0, price)]).coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+    land(spark, tmp_path, [at(9, 5, 2)], "b")
+    assert rows_of(read_range(spark, "KR-1m", f"{tmp_path}/lake", *JANUARY)) == [at(9, 0, 9), at(9, 5, 2)]
+
+
+def test_state_is_cleared_behind_the_watermark_and_drops_are_counted(spark, tmp_path):
+    land(spark, tmp_path, [at(9, 0, 1, day=2)], "a", first_arrivals, delay="1 hour")
+    land(spark, tmp_path, [at(9, 0, 2, day=9)], "b", first_arrivals, delay="1 hour")
+    query = land(spark, tmp_path, [at(9, 0, 3, day=2), at(9, 0, 4, day=9)], "c", first_arrivals, delay="1 hour")
+    assert dropped_rows(query) == 1
+    assert rows_of(spark.read.parquet(f"{tmp_path}/out").where("not late").drop("late")) == [at(9, 0, 1, day=2), at(9, 0, 2, day=9)]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1
+
+
+def _dies(monkeypatch, method, after):
+    """The ``after``-th call of a folder operation from now on fails."""
+    calls, real = [], getattr(Files, method)
+
+    def step(self, *args, **kwargs):
+        calls.append(args)
+        if len(calls) > after:
+            raise OSError("the driver dies here")
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(Files, method, step)
+
+
+@pytest.mark.parametrize("method, after", [("touch", 0), ("rename", 0), ("rename", 2), ("rename", 4), ("rename", 5), ("delete", 2)])
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_crash_between_write_and_commit_loses_and_copies_nothing(spark, tmp_path, monkeypatch, method, after, compacted):
+    rows = [at(9, m, 100 + m, day=d) for d in range(2, 7) for m in range(3)]
+    land(spark, tmp_path, rows[:3], "a")
+    with monkeypatch.context() as patch:
+        _dies(patch, method, after)
+        with pytest.raises(StreamingQueryException):
+            land(spark, tmp_path, rows[3:] + [at(9, 0, 1, day=2)], "b")
+    if compacted:
+        compact_months(spark, f"{tmp_path}/lake", "KR-1m", "2024-03-01")
+    land(spark, tmp_path, [at(10, 0, 7, day=6), at(9, 0, 2, day=6)], "c")
+    assert rows_of(read_range(spark, "KR-1m", f"{tmp_path}/lake", *JANUARY, policy="union")) == sorted([*rows, at(10, 0, 7, day=6)])
+    assert rows_of(spark.read.parquet(f"{tmp_path}/late")) == sorted([at(9, 0, 1, day=2), at(9, 0, 2, day=6)])
+    days = spark.read.schema("symbol string, dt timestamp_ntz, price long, volume long").option("basePath", f"{tmp_path}/lake").parquet(f"{tmp_path}/lake/year=*")
+    assert days.count() == len(rows) + 1
+
+
+def test_a_noted_batch_reads_and_writes_nothing(spark, tmp_path):
+    land(spark, tmp_path, [at(9, 0, 1)], "a")
+    (home,) = (tmp_path / "lake" / "_batches").iterdir()
+    ledger = Ledger(spark, f"{tmp_path}/lake", home.name)
+    assert ledger.last() == 0
+    assert ledger.publish(0, lambda folder: pytest.fail("written again")) is False
+    assert [p.name for p in home.iterdir() if not p.name.startswith(".")] == ["done-0"]

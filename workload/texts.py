@@ -13,6 +13,7 @@ from barhouse.sources.listing import read_symbols
 from barhouse.sources.text_days import read_text
 from barhouse.sources.ticker_csv import FIELDS, parse_ticker_fields, read_ticker_fields
 from barhouse.streaming.landing import stream_text
+from barhouse.streaming.arrivals import with_arrival
 from barhouse.streaming.ticks import first_arrivals, land_first
 from workload import lakes, views as v
 from workload.extracts import ALL_TICKS
@@ -150,9 +151,9 @@ def streamed_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def streamed_late(spark: SparkSession, sf: str) -> DataFrame:
-    """First arrivals where the earlier half of each month lands after the later half."""
+    """First arrivals where the earlier half of each month lands after the later half, cheapest ticks of a minute first."""
     root = scratch_dir(spark, "stream-late")
-    rows = v.ticks(spark, sf)
+    rows = v.ticks(spark, sf).repartition("symbol", "dt").sortWithinPartitions("price", "volume")
     for part in (F.dayofmonth("dt") > 15, F.dayofmonth("dt") <= 15):
         rows.where(part).write.mode("append").parquet(f"{root}/landed")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landed")
@@ -160,7 +161,39 @@ def streamed_late(spark: SparkSession, sf: str) -> DataFrame:
     return read_range(spark, "KR-1m", f"{root}/lake", *ALL_TICKS)
 
 
+def _landed_in_order(spark: SparkSession, sf: str, root: str):
+    """Ticks as files whose names and rows follow event_id; the lower half of the ids lands first, then the rest."""
+    events = v.table(spark, sf, "events")
+    middle = events.agg(F.floor(F.avg("event_id"))).first()[0]
+    ticks = v.ticks(spark, sf, "event_id")
+    for k, half in enumerate((F.col("event_id") <= middle, F.col("event_id") > middle)):
+        ranged = ticks.where(half).repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+        ranged.drop("event_id").write.parquet(f"{root}/landed/{k}")
+        stream = spark.readStream.schema(v.ticks(spark, sf).schema).option("recursiveFileLookup", True)
+        yield with_arrival(stream.parquet(f"{root}/landed"), by_name=True)
+
+
+def streamed_order(spark: SparkSession, sf: str) -> DataFrame:
+    """First arrivals, which aren't the smallest, of two batches, and the rows that came after them."""
+    root = scratch_dir(spark, "stream-order")
+    for ticks in _landed_in_order(spark, sf, root):
+        land_first(ticks, "KR-1m", f"{root}/lake", f"{root}/seen", late=f"{root}/late").awaitTermination()
+    first = read_range(spark, "KR-1m", f"{root}/lake", *ALL_TICKS).withColumn("late", F.lit(False))
+    return first.unionByName(spark.read.schema(first.schema).parquet(f"{root}/late").withColumn("late", F.lit(True)))
+
+
+def streamed_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by keyed state."""
+    root = scratch_dir(spark, "stream-state")
+    for ticks in _landed_in_order(spark, sf, root):
+        told = first_arrivals(ticks, "KR-1m", "400 days", late=True).writeStream.format("parquet")
+        told.option("checkpointLocation", f"{root}/seen").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES = {
+    "stream_order": streamed_order,
+    "stream_state": streamed_state,
     "convert_into_month": converted_into_month,
     "convert_into_year": converted_into_year,
     "stream_late": streamed_late,
@@ -185,6 +218,10 @@ _HOURS = """case when (d >= a + cast((7 - dayofweek(a)) % 7 + 7 as integer) and
 _EDGES = """make_date(year(d), 3, 1) as a, make_date(year(d), 3, 31) as b,
       make_date(year(d), 10, 31) as e, make_date(year(d), 11, 1) as f"""
 
+_ARRIVALS = f"""with r as (
+      select event_id, {v.TICK_COLUMNS}, row_number() over (partition by user_id, date_trunc('minute', ts) order by event_id) as n from events)
+    select symbol, dt, price, volume, n > 1 as late from r"""
+
 ORACLES = {
     "text_minute": f"with {v.TICKS} select distinct * from ticks",
     "text_day": f"with {v.BARS} select distinct * from bars",
@@ -198,6 +235,8 @@ ORACLES = {
     "stream_late": f"""with {v.TICKS}, r as (
           select *, row_number() over (partition by symbol, dt order by price, volume) as n from ticks)
         select symbol, dt, price, volume from r where n = 1""",
+    "stream_order": _ARRIVALS,
+    "stream_state": _ARRIVALS,
     "conversion_check": f"""with {v.TICKS}, t as (select distinct * from ticks),
         p as (select symbol, dt, case when day(dt) % 5 = 0 then price + 1 else price end as price, volume from t where day(dt) % 7 <> 0),
         b as (select *, 1 as n_t, 0 as n_p from t union all select *, 0, 1 from p),

@@ -32,7 +32,7 @@ def bars(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def ticks(spark: SparkSession, sf: str) -> DataFrame:
+def ticks(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     """KR-1m shape from events."""
     minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
     return table(spark, sf, "events").select(
@@ -40,6 +40,7 @@ def ticks(spark: SparkSession, sf: str) -> DataFrame:
         minute.alias("dt"),
         F.floor(F.col("value") * 100).cast("bigint").alias("price"),
         (F.col("event_id") % 1000).alias("volume"),
+        *extra,
     )
 
 
@@ -74,10 +75,9 @@ BARS = """bars as (
          cast(floor(o_totalprice) as bigint) - 200 as low,
          cast(floor(o_totalprice) as bigint) as close, o_orderkey % 100000 as volume
   from orders)"""
-TICKS = """ticks as (
-  select lpad(cast(user_id as varchar), greatest(6, length(cast(user_id as varchar)))::int, '0') as symbol, date_trunc('minute', ts) as dt,
-         cast(floor(value * 100) as bigint) as price, event_id % 1000 as volume
-  from events)"""
+TICK_COLUMNS = """lpad(cast(user_id as varchar), greatest(6, length(cast(user_id as varchar)))::int, '0') as symbol, date_trunc('minute', ts) as dt,
+         cast(floor(value * 100) as bigint) as price, event_id % 1000 as volume"""
+TICKS = f"ticks as (select {TICK_COLUMNS} from events)"
 US = """us as (
   select concat('T', l_partkey) as symbol, l_shipdate + to_minutes(570 + 5 * l_linenumber) as dt,
          l_extendedprice as price, cast(round_even(l_quantity / 2, 0) as bigint) as volume
