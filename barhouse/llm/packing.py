@@ -9,11 +9,14 @@ segment tree over remaining capacities finds the tightest one that is open.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -24,47 +27,105 @@ from barhouse.llm.common import chunks, ranked, settled
 
 WINDOW = 4096
 END_ID = 2
-# Words whose ids a task remembers before it starts afresh, and bytes of text encoded at a time.
-CACHE_WORDS = 1 << 19
+# Marks that the tokenizer parts from a letter before them.
+MARKS = (b",", b".")
+# Words whose ids a worker remembers before it starts afresh, and bytes of text encoded at a time.
+CACHE_WORDS = 3 << 18
 CHUNK_BYTES = 4 << 20
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def tokenizers_of(file: str) -> tuple:
+    """The tokenizer, and one without normalisation that gives the same ids for lower-case letters; None if the file isn't of that kind.
+
+    The second one is for a file that cuts at everything but letters and then only maps bytes.
+    """
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    whole = Tokenizer.from_file(file)
+    with open(file, encoding="utf-8") as f:
+        data = json.load(f)
+    steps = (data["pre_tokenizer"] or {}).get("pretokenizers", [])
+    kinds = [step["type"] for step in steps]
+    if kinds != ["Split", "ByteLevel"] or "[\\p{L}]+" not in steps[0]["pattern"].get("Regex", "") or steps[1]["use_regex"]:
+        return whole, None
+    return whole, Tokenizer.from_str(json.dumps({**data, "normalizer": None, "pre_tokenizer": steps[1]}))
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after another."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Stretches:
+    """Numbered runs of ids, end to end."""
+
+    def __init__(self, first: list[int]):
+        self.flat, self.starts, self.lengths = np.array(first, "<u4"), np.array([0], np.int64), np.array([len(first)], np.int64)
+
+    def append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return _gathered(self.flat, self.starts[numbers], self.lengths[numbers])
+
+
 class WordIds(dict):
     """Word (bytes) to its number; the ids of all numbered words lie end to end.
 
     The tokenizer never joins characters across white space, so a text's ids
-    are those of its words. Number 0 stands for the end of a document.
+    are those of its words. Number 0 stands for the end of a document. It also
+    folds case and parts a comma or full stop from a letter before it, so a word
+    with such a mark is put together from the ids of its bare form and of the mark.
     """
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self._tokenizer = Tokenizer.from_file(tokenizer_file)
+        self._whole, self._letters = tokenizers_of(tokenizer_file)
         self._forget()
 
     def _forget(self) -> None:
         self.clear()
         self._new: list[bytes] = []
-        self._flat = np.array([END_ID], "<u4")
-        self._starts = np.array([0], np.int64)
-        self._lengths = np.array([1], np.int64)
+        self._words = Stretches([END_ID])
+        # Bare forms and marks; number 0 is the absent mark.
+        self._bare: dict[bytes, int] = {b"": 0}
+        self._forms = Stretches([])
 
     def __missing__(self, word: bytes) -> int:
         self._new.append(word)
         number = self[word] = len(self) + 1
         return number
 
+    def _encode(self, forms: list[bytes]) -> None:
+        texts = [w.decode() for w in forms]
+        plain = [self._letters is not None and w.isalpha() and (w.islower() if w.isascii() else w == w.lower() and is_normalized("NFC", w)) for w in texts]
+        found: list = [None] * len(texts)
+        for kind, tokenizer in ((True, self._letters), (False, self._whole)):
+            which = [i for i, p in enumerate(plain) if p is kind]
+            done = tokenizer.encode_batch_fast([texts[i] for i in which], add_special_tokens=False) if which else []
+            for i, e in zip(which, done, strict=True):
+                found[i] = e.ids
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._forms.append(np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum())), lengths)
+
     def _learn(self) -> None:
-        found = self._tokenizer.encode_batch([w.decode() for w in self._new], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), "<u4", int(lengths.sum()))
-        self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(lengths) - lengths])
-        self._lengths = np.concatenate([self._lengths, lengths])
-        self._flat = np.concatenate([self._flat, flat])
+        bare, unknown = self._bare, []
+        pairs = np.zeros((len(self._new), 2), np.int64)
+        for k, word in enumerate(self._new):
+            marked = word[-1:] in MARKS and word[-2:-1].isalpha()
+            for place, form in enumerate((word[:-1], word[-1:]) if marked else (word,)):
+                number = bare.get(form)
+                if number is None:
+                    number = bare[form] = len(bare)
+                    unknown.append(form)
+                pairs[k, place] = number
+        self._encode(unknown)
+        self._words.append(self._forms.of(pairs.ravel()), self._forms.lengths[pairs].sum(axis=1))
         self._new = []
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,17 +136,27 @@ class WordIds(dict):
         counts = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             before = len(numbers)
-            numbers.extend(map(self.__getitem__, text.split()))
+            # Folding is left to the tokenizer where the text may name one of its special tokens.
+            numbers.extend(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
             numbers.append(0)
             counts[k] = len(numbers) - before
         if self._new:
             self._learn()
         words = np.array(numbers, np.int64)
-        lengths = self._lengths[words]
-        ends = np.cumsum(lengths)
-        places = np.repeat(self._starts[words] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        lengths = self._words.lengths[words]
         totals = np.add.reduceat(lengths, np.cumsum(counts) - counts) if len(counts) else counts
-        return self._flat[places], totals
+        return self._words.of(words), totals
+
+
+_KNOWN: dict[str, WordIds] = {}
+
+
+def known_words(tokenizer_file: str) -> WordIds:
+    """What this worker process knows of a tokenizer; its next task goes on from there."""
+    if tokenizer_file not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[tokenizer_file] = WordIds(tokenizer_file)
+    return _KNOWN[tokenizer_file]
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW) -> DataFrame:
@@ -95,7 +166,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW) ->
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer_file)
+        known = known_words(tokenizer_file)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             sizes = [x.as_py() or 0 for x in pa.compute.binary_length(texts)]

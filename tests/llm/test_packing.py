@@ -17,6 +17,9 @@ FILE = public_tokenizers.path("word_bpe_49k.json")
 WHOLE = Tokenizer.from_file(FILE)
 
 
+KNOWN = packing.WordIds(FILE)
+
+
 def whole_ids(text):
     return np.array([*WHOLE.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4")
 
@@ -34,10 +37,19 @@ def test_words_give_the_ids_of_the_text(texts):
 def test_special_strings_and_a_full_cache(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
     known = packing.WordIds(FILE)
-    for text in ["a b c d e f", "x <|endoftext|> y<|startoftext|>z", "don't stop 123 a b", "é́ ½ \x1f \x85 \xa0!"]:
+    for text in ["a b c d e f", "A, b. É, é. é, it's. 'tis, ., a.. a,. 3, ß. ſ, İ. Σ, ΑΣ. x<|endoftext|>, <|ENDOFTEXT|>. Ⅷ, ª. K, ½.", "<|endoftext|> The, the. THE", "x <|endoftext|> y<|startoftext|>z", "don't stop 123 a b", "é́ ½ \x1f \x85 \xa0!"]:
         assert known.encode([text.encode()])[0].tolist() == whole_ids(text).tolist()
 
 
+marked = st.builds(lambda w, m: w + m, st.text(st.characters(categories=["L", "N", "M", "P"]), min_size=1, max_size=6), st.sampled_from(["", ",", ".", ",.", ". "]))
+
+
+@given(st.lists(marked, max_size=12).map(" ".join))
+@settings(max_examples=300, deadline=None)
+def test_marks_and_letters(text):
+    assert KNOWN.encode([text.encode()])[0].tolist() == whole_ids(text).tolist()
+
+
 def plain_best_fit(lengths, window):
     """Best-fit decreasing, one piece after the other; how full each window is."""
     full = []
