@@ -20,14 +20,14 @@ def digest(ds: Dataset, *extra: str) -> list[Column]:
     ]
 
 
-def fingerprint(df: DataFrame, which: str | Dataset, by: str | None = None) -> DataFrame:
-    """(rows, digest) of a table, or of each of its groups.
+def fingerprint(df: DataFrame, which: str | Dataset, by: str | None = None, below: list[str] | None = None) -> DataFrame:
+    """(rows, digest) of a table, or of each of its groups; with ``below``, of the groups inside other ones.
 
     Columns are cast to the stored types first: the hash of an INT differs
     from that of the same BIGINT, and FLOAT from DOUBLE. A group's name is
     part of its digest, so the digests of all groups add up to one that also
-    tells where each row belongs.
+    tells where each row belongs. Names of the groups in ``below`` aren't.
     """
-    ds = dataset(which)
+    ds, outer = dataset(which), below or []
     extra = [by] if by else []
-    return ds.canonical(df, *extra).groupBy(*extra).agg(*digest(ds, *extra))
+    return ds.canonical(df, *outer, *extra).groupBy(*outer, *extra).agg(*digest(ds, *extra))

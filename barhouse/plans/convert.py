@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from barhouse.datasets import NAME_LENGTH, Dataset, dataset
 from barhouse.files import Files
@@ -14,7 +14,8 @@ from barhouse.functions.routing import TimeBounds, time_bounds
 from barhouse.operators.dedup import drop_copies
 from barhouse.operators.reconcile import conversion_check
 from barhouse.plans.compact import Target, recover, store_periods
-from barhouse.plans.writers import with_period, write_days
+from barhouse.plans.digests import ACCEPTED, TEXT, Catalogue, text_stamps
+from barhouse.plans.writers import with_period, write_rows
 from barhouse.sources.periods import list_periods, manifest_of, read_periods, resolve_tiers
 from barhouse.sources.text_days import read_text, text_days
 
@@ -22,30 +23,36 @@ _PENDING = "day string, reason string"
 
 
 def pending_days(
-    spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False
+    spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False, remember: bool = False
 ) -> DataFrame:
     """(day, reason) of text days to convert: ``new`` ones, and ``stale`` ones
     whose stored rows aren't the distinct rows of the text.
 
     Days without stored rows are told from the file names alone; only the
-    others are read and compared, all in one job.
+    others are read and compared, all in one job. With ``remember``, digests of
+    both sides are kept beside the lake, and only days whose text files or stored
+    period changed since are read (:mod:`barhouse.plans.digests`).
     """
-    new, stale = _pending(spark, text_root, dataset(which), root, int_tolerance)
+    new, stale = _pending(spark, text_root, dataset(which), root, int_tolerance, remember)
     fresh = spark.createDataFrame([(day, "new") for day in new], _PENDING)
     return fresh if stale is None else fresh.unionByName(stale)
 
 
 def convert_text(
-    spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False
+    spark: SparkSession, text_root: str, which: str | Dataset, root: str, int_tolerance: bool = False, remember: bool = False
 ) -> DataFrame:
     """Convert every pending day in one job; returns (day, reason).
 
     Copies of a row are dropped, days already converted are left alone, and
     running it again does nothing. A stale day inside a stored month or year is
     replaced there: the period is staged anew, read back and put in place.
+
+    With ``remember``, the days are read back and held against what was written, and their
+    digests kept: the next run opens no file of a day that hasn't changed.
     """
     ds = dataset(which)
-    new, stale = _pending(spark, text_root, ds, root, int_tolerance)
+    stamps = text_stamps(spark, text_root) if remember else {}
+    new, stale = _pending(spark, text_root, ds, root, int_tolerance, remember)
     pending = [(day, "new") for day in new]
     if stale is not None:
         pending += [tuple(r) for r in stale.collect()]
@@ -54,12 +61,36 @@ def convert_text(
     apart = [day for day, _ in pending if day not in inside]
     rows = lambda days: drop_copies(read_text(spark, ds, text_root, days=days))
     if apart:
-        write_days(rows(apart), ds, root)
+        handed = Observation()
+        write_rows(with_period(rows(apart), ds, "day"), ds, root, observation=handed if remember else None)
+        if remember:
+            _remember(spark, ds, root, apart, stamps, handed)
     if inside:
         _replace(spark, ds, root, rows(inside), inside, stored)
     return spark.createDataFrame(sorted(pending), _PENDING)
 
 
+class ConversionError(RuntimeError):
+    """Stored days didn't read back as written."""
+
+
+def _remember(spark: SparkSession, ds: Dataset, root: str, days: list[str], stamps: dict[str, str], handed: Observation) -> None:
+    """Read stored days back and keep their digests for both sides.
+
+    A day's name is part of its rows' hashes in either sum, so totals over all days suffice.
+    A day that held no row has no folder, and its text is read again.
+    """
+    paths = [path for found in _stored(spark, root, days).values() for path in found if path.rsplit("=", 1)[-1] in days]
+    catalogue = Catalogue(spark, ds, root)
+    saved = catalogue.stored_days(root, paths)
+    total = [sum(column) for column in zip(*saved.values(), strict=True)] or [0, 0]
+    if total != [handed.get["rows"], int(handed.get["digest"])]:
+        raise ConversionError("stored days aren't as written")
+    for day, mark in saved.items():
+        catalogue.add(TEXT, day, stamps[day], {day: mark})
+    catalogue.save()
+
+
 def _stored(spark: SparkSession, root: str, days: list[str]) -> dict[str, list[str]]:
     """Paths of everything stored under the name of one of the days, its month or its year."""
     names = {part for d in days for part in (d, d[:7], d[:4])}
@@ -95,16 +126,52 @@ def _replace(
 
 
 def _pending(
-    spark: SparkSession, text_root: str, ds: Dataset, root: str, int_tolerance: bool
+    spark: SparkSession, text_root: str, ds: Dataset, root: str, int_tolerance: bool, remember: bool
 ) -> tuple[list[str], DataFrame | None]:
     """New days, and a table of the stale ones among the others, if any."""
     new, compared = _split_days(spark, text_days(spark, text_root), root)
     if not compared.days:
         return new, None
+    if remember:
+        stale = _changed(spark, text_root, ds, root, int_tolerance, compared)
+        return new, spark.createDataFrame([(day, "stale") for day in stale], _PENDING)
+    checked = _checked(spark, text_root, ds, root, int_tolerance, compared)
+    return new, checked.where("not converted").select("day", F.lit("stale").alias("reason"))
+
+
+def _checked(
+    spark: SparkSession, text_root: str, ds: Dataset, root: str, int_tolerance: bool, compared: _Compared
+) -> DataFrame:
+    """Row by row, both sides of some days."""
     held = read_periods(spark, ds, root, compared.stored, compared.bounds)
     known = held.where(F.col(ds.time).cast("date").isin([date.fromisoformat(d) for d in compared.days]))
-    checked = conversion_check(read_text(spark, ds, text_root, days=compared.days), known, ds, int_tolerance)
-    return new, checked.where("not converted").select("day", F.lit("stale").alias("reason"))
+    return conversion_check(read_text(spark, ds, text_root, days=compared.days), known, ds, int_tolerance)
+
+
+def _changed(
+    spark: SparkSession, text_root: str, ds: Dataset, root: str, int_tolerance: bool, compared: _Compared
+) -> list[str]:
+    """The stale days, by digests; only days of unequal digests are compared row by row, once.
+
+    A pair of digests whose rows agree within tolerance is remembered as accepted.
+    """
+    catalogue = Catalogue(spark, ds, root)
+    stamps = text_stamps(spark, text_root)
+    text = catalogue.text_days(text_root, {day: stamps[day] for day in compared.days})
+    stored = catalogue.stored_days(root, compared.stored)
+    none = (0, 0)
+    pairs = {day: (text.get(day, none), stored.get(day, none)) for day in compared.days}
+    marks = {day: f"{a[0]}:{a[1]}/{b[0]}:{b[1]}/{int_tolerance}" for day, (a, b) in pairs.items() if a != b}
+    doubtful = [day for day, mark in marks.items() if not catalogue.knows(ACCEPTED, day, mark)]
+    stale = doubtful
+    if doubtful:
+        checked = _checked(spark, text_root, ds, root, int_tolerance, _Compared(doubtful, compared.stored))
+        accepted = {r["day"] for r in checked.where("converted").select("day").collect()}
+        for day in accepted:
+            catalogue.add(ACCEPTED, day, marks[day], {})
+        stale = [day for day in doubtful if day not in accepted]
+    catalogue.save()
+    return stale
 
 
 @dataclass(frozen=True)

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barhouse import convert_text, load_ticker_csv, pending_days, read_range, write_days, write_symbols, write_text
+from barhouse import convert_text, dataset, load_ticker_csv, pending_days, read_range, write_days, write_symbols, write_text, write_text_days
 from barhouse.functions.exchange import exchange_hours
 from barhouse.operators.dedup import drop_copies, first_per_key
 from barhouse.operators.reconcile import conversion_check
+from barhouse.plans.digests import Catalogue, digest_tree, text_stamps
 from barhouse.session import scratch_dir
 from barhouse.sources.listing import read_symbols
+from barhouse.sources.periods import list_periods
 from barhouse.sources.text_days import read_text
 from barhouse.sources.ticker_csv import FIELDS, parse_ticker_fields, read_ticker_fields
-from barhouse.streaming.landing import stream_text
 from barhouse.streaming.arrivals import with_arrival
+from barhouse.streaming.landing import stream_text
 from barhouse.streaming.ticks import first_arrivals, land_first
 from workload import lakes, views as v
 from workload.extracts import ALL_TICKS
@@ -71,6 +73,30 @@ def converted_into_year(spark: SparkSession, sf: str) -> DataFrame:
     return _converted_inside(spark, sf, "year")
 
 
+def _changed_after(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Text converted with digests kept, and after that more text of the 3rd, 13th and 23rd."""
+    root = scratch_dir(spark, "convert-changed")
+    ticks = v.ticks(spark, sf)
+    write_text_days(ticks, "KR-1m", f"{root}/text/first")
+    convert_text(spark, f"{root}/text", "KR-1m", f"{root}/lake", remember=True)
+    more = ticks.where(F.dayofmonth("dt") % 10 == 3).withColumn("price", F.col("price") + 1)
+    write_text_days(more, "KR-1m", f"{root}/text/more")
+    return f"{root}/text", f"{root}/lake"
+
+
+def convert_changed(spark: SparkSession, sf: str) -> DataFrame:
+    text, lake = _changed_after(spark, sf)
+    return pending_days(spark, text, "KR-1m", lake, remember=True)
+
+
+def digest_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Days, months, years and all of both sides, after some text has changed."""
+    text, lake = _changed_after(spark, sf)
+    known = Catalogue(spark, dataset("KR-1m"), lake)
+    stored = known.stored_days(lake, [path for path, _, _ in list_periods(spark, lake)])
+    return digest_tree(spark, text=known.text_days(text, text_stamps(spark, text)), stored=stored)
+
+
 def checked(spark: SparkSession, sf: str) -> DataFrame:
     held = read_range(spark, "KR-1m", _half_converted(spark, sf), *ALL_TICKS)
     return conversion_check(read_text(spark, "KR-1m", lakes.tick_text(spark, sf)), held, "KR-1m")
@@ -192,6 +218,8 @@ def streamed_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "convert_changed": convert_changed,
+    "digest_nodes": digest_nodes,
     "stream_order": streamed_order,
     "stream_state": streamed_state,
     "convert_into_month": converted_into_month,
@@ -235,6 +263,13 @@ ORACLES = {
     "stream_late": f"""with {v.TICKS}, r as (
           select *, row_number() over (partition by symbol, dt order by price, volume) as n from ticks)
         select symbol, dt, price, volume from r where n = 1""",
+    "convert_changed": f"with {v.TICKS} select distinct strftime(dt, '%Y-%m-%d') as day, 'stale' as reason from ticks where day(dt) % 10 = 3",
+    "digest_nodes": f"""with {v.TICKS}, s as (select distinct * from ticks),
+        t as (select * from s union select symbol, dt, price + 1, volume from s where day(dt) % 10 = 3),
+        b as (select dt, 1 as n_text, 0 as n_stored from t union all select dt, 0, 1 from s),
+        n as (select strftime(dt, '%Y') as y, strftime(dt, '%Y-%m') as m, strftime(dt, '%Y-%m-%d') as d, * from b)
+        select coalesce(d, m, y, 'all') as node, cast(sum(n_text) as bigint) as rows_text, cast(sum(n_stored) as bigint) as rows_stored,
+          count(*) filter (day(dt) % 10 = 3) = 0 as same from n group by rollup (y, m, d)""",
     "stream_order": _ARRIVALS,
     "stream_state": _ARRIVALS,
     "conversion_check": f"""with {v.TICKS}, t as (select distinct * from ticks),
