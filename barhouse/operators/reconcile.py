@@ -8,9 +8,9 @@ into pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barhouse.datasets import NAME_LENGTH, Dataset, dataset
+from barhouse.datasets import GRAINS, NAME_LENGTH, Dataset, dataset
 
 # Tolerances within which two floats count as equal.
 RELATIVE, ABSOLUTE = 1e-5, 1e-8
@@ -122,6 +122,33 @@ def reconcile_columns(aligned: DataFrame, which: str | Dataset, grain: str) -> D
     return per_period.select("period", F.inline(F.array(*lines)))
 
 
+def reconcile_rollup(aligned: DataFrame, which: str | Dataset) -> DataFrame:
+    """The summary of every day, month and year and of all (``all``), from one pass: (grain, period, counts..., ok)."""
+    days = reconcile_summary(aligned, which, "day")
+    counts = [c for c in days.columns if c not in ("period", "ok")]
+    # Only the calendar is rolled up, not the keys.
+    parts = [F.substring("period", 1, NAME_LENGTH[g]).alias(g) for g in GRAINS]
+    rolled = days.select(*parts, *counts).rollup(*GRAINS).agg(*[F.sum(c).alias(c) for c in counts])
+    grain = F.when(F.col("day").isNotNull(), "day").when(F.col("month").isNotNull(), "month").when(F.col("year").isNotNull(), "year")
+    failures = F.col("missing_in_parquet") + F.col("duplicate_keys") + F.col("mismatches")
+    period = F.coalesce("day", "month", "year", F.lit("all"))
+    return rolled.select(F.coalesce(grain, F.lit("all")).alias("grain"), period.alias("period"), *counts, (failures == 0).alias("ok"))
+
+
+def mismatch_samples(aligned: DataFrame, which: str | Dataset, grain: str, n: int) -> DataFrame:
+    """The first ``n`` mismatches by key of each period and column: (period, column, place, key, txt, pq).
+
+    Each task keeps only the first ``n`` of a period and column before the shuffle, so what
+    is ranked at last is bounded by tasks, whatever the number of mismatches.
+    """
+    ds = dataset(which)
+    period = period_of(ds, grain).alias("period")
+    found = mismatching_rows(aligned, ds).select(period, "column", *ds.key, "txt", "pq")
+    first = Window.partitionBy("period", "column").orderBy(*ds.key)
+    ranked = found.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n)
+    return ranked.select("period", "column", "place", *ds.key, "txt", "pq")
+
+
 def mismatching_rows(aligned: DataFrame, which: str | Dataset) -> DataFrame:
     """Every differing value: key, column, both values as text."""
     ds = dataset(which)

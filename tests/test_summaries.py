@@ -1,0 +1,105 @@
+"""Fingerprints with order, samples, rollups and sketches."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from barhouse.operators import reconcile as rec
+from barhouse.operators.fingerprint import BASES, PRIMES, ordered_fingerprint
+from barhouse.operators.reports import day_sketches, merged_summary
+from tests.helpers import frame, rows_of
+
+
+def digest_of(df, *order, row=None):
+    return tuple(ordered_fingerprint(df, list(order), row).first())
+
+
+def numbers(spark, values, parts=4):
+    return spark.createDataFrame(list(enumerate(values)), "at bigint, value bigint").repartition(parts)
+
+
+def test_ordered_digest_is_the_polynomial_of_the_hashes(spark):
+    rng = random.Random(1)
+    values = [rng.randint(-(2**63), 2**63 - 1) for _ in range(2000)]
+    want = [sum(v % p * pow(b, i, p) for i, v in enumerate(values)) % p for p, b in zip(PRIMES, BASES)]
+    for parts in (1, 3, 8):
+        assert digest_of(numbers(spark, values, parts), "at", row=F.col("value")) == (2000, (want[0] << 31) + want[1])
+
+
+def test_ordered_digest_tells_one_swap_and_one_change(spark):
+    values = [random.Random(2).randint(0, 99) for _ in range(500)]
+    plain = digest_of(numbers(spark, values), "at")
+    assert plain == digest_of(numbers(spark, values, 7), "at")
+    for i, j in ((0, 499), (10, 11)):
+        other = list(values)
+        other[i], other[j] = other[j], other[i]
+        assert (digest_of(numbers(spark, other), "at") == plain) == (other == values)
+    assert digest_of(numbers(spark, [*values[:-1], values[-1] + 1]), "at") != plain
+    assert digest_of(numbers(spark, values[:-1]), "at") != plain
+
+
+def test_ordered_digest_of_copies_ties_and_nothing(spark):
+    copies = numbers(spark, [7] * 3000).select("value")
+    assert digest_of(copies, "value") == digest_of(copies.repartition(2), "value")
+    ties = spark.createDataFrame([(1, v) for v in range(50)] + [(None, 3)], "at bigint, value bigint")
+    assert digest_of(ties, "at") == digest_of(ties.orderBy(F.desc("value")), "at")
+    assert digest_of(ties.limit(0), "at") == (0, 0)
+
+
+def sides(spark, days=4, symbols=30):
+    start = datetime(2023, 12, 30)
+    rows = [(f"S{s:03d}", start + timedelta(days=d), 10, 11, 9, 10 + s, 5) for d in range(days) for s in range(symbols)]
+    other = [(s, d, o, h, low, c + (c % 3 == 0), v + (c % 5 == 0)) for s, d, o, h, low, c, v in rows if c % 7]
+    return rec.align(frame(spark, "KR-1d", rows), frame(spark, "KR-1d", other), "KR-1d"), rows, other
+
+
+def test_samples_are_the_first_by_key(spark):
+    aligned, rows, other = sides(spark)
+    held = {r[:2]: r for r in other}
+    want = []
+    for year in ("2023", "2024"):
+        for k, column in ((5, "close"), (6, "volume")):
+            bad = sorted((r[0], r[1], str(r[k]), str(held[r[:2]][k])) for r in rows if r[:2] in held and r[k] != held[r[:2]][k] and str(r[1].year) == year)
+            want += [(year, column, i + 1, *b) for i, b in enumerate(bad[:3])]
+    assert rows_of(rec.mismatch_samples(aligned, "KR-1d", "year", 3)) == sorted(want)
+    assert rec.mismatch_samples(aligned, "KR-1d", "year", 0).count() == 0
+
+
+def test_samples_are_cut_before_the_shuffle(spark):
+    plan = rec.mismatch_samples(sides(spark)[0], "KR-1d", "year", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_rollup_adds_up_to_the_summaries(spark):
+    aligned, _, _ = sides(spark)
+    rolled = rec.reconcile_rollup(aligned, "KR-1d")
+    for grain in ("day", "month", "year"):
+        summary = rec.reconcile_summary(aligned, "KR-1d", grain)
+        assert rows_of(rolled.where(F.col("grain") == grain).select(*summary.columns)) == rows_of(summary)
+    (total,) = rolled.where("grain = 'all'").collect()
+    assert (total["period"], total["text_keys"], total["ok"]) == ("all", 120, False)
+
+
+def test_rollup_scans_each_side_once(spark, tmp_path):
+    _, rows, other = sides(spark)
+    for name, part in (("a", rows), ("b", other)):
+        frame(spark, "KR-1d", part).write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{n}") for n in "ab")
+    plan = rec.reconcile_rollup(rec.align(a, b, "KR-1d"), "KR-1d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("symbols", [1, 300, 40_000])
+def test_sketches_add_up_over_any_days(spark, symbols):
+    day = F.timestamp_add("DAY", F.col("id") % 5, F.lit("2024-01-30").cast("timestamp_ntz")).alias("dt")
+    ticks = spark.range(4 * symbols).select(F.concat(F.lit("S"), F.col("id") % symbols).alias("symbol"), day)
+    sketches = day_sketches({"KR-1m": ticks})
+    assert sketches.count() == min(5, 4 * symbols)
+    (all_days,) = merged_summary(sketches).collect()
+    assert all_days["rows"] == 4 * symbols and abs(all_days["symbols"] - symbols) <= max(1, 0.02 * symbols)
+    months = merged_summary(sketches, F.month("date").alias("month")).collect()
+    assert sum(r["rows"] for r in months) == 4 * symbols and all(r["symbols"] <= 1.02 * symbols + 1 for r in months)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barhouse import write_days
 from barhouse.operators import reconcile as rec
 from barhouse.operators.dedup import copy_counts, drop_copies, first_per_key
-from barhouse.operators.fingerprint import fingerprint
-from barhouse.operators.reports import load_summary, narrow_profile
+from barhouse.operators.fingerprint import BASES, PRIMES, fingerprint, ordered_fingerprint
+from barhouse.operators.reports import SKETCH_ERROR, day_sketches, load_summary, merged_summary, narrow_profile
 from barhouse.plans.audit import reconcile_months, reconcile_years
 from barhouse.sources.text_days import read_text
 from workload import lakes, views as v
@@ -111,6 +111,39 @@ def fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return one.join(two, "period").select("period", "rows", (F.col("digest") == F.col("other")).alias("same"))
 
 
+def ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the ticks in the order of their events: as they lie, dealt out anew, and with the first and the last one swapped."""
+    number = F.col("event_id")
+    ticks = v.ticks(spark, sf, "event_id")
+    text = F.concat_ws("|", "symbol", F.date_format("dt", "yyyy-MM-dd HH:mm:ss"), "price", "volume")
+    row = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    least, most = v.table(spark, sf, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    swapped = ticks.withColumn("event_id", F.when(number == least, most).when(number == most, least).otherwise(number))
+    parts = {"as it lies": ticks, "dealt out anew": ticks.repartition(5, "symbol"), "two swapped": swapped}
+    out = [ordered_fingerprint(df, ["event_id"], row).withColumn("variant", F.lit(name)) for name, df in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def samples(spark: SparkSession, sf: str) -> DataFrame:
+    return rec.mismatch_samples(_aligned(spark, sf), "KR-1d", "year", 3)
+
+
+def rolled_up(spark: SparkSession, sf: str) -> DataFrame:
+    return rec.reconcile_rollup(_aligned(spark, sf), "KR-1d")
+
+
+def sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Months from sketches of days, beside the exact counts."""
+    ticks, bars = v.ticks(spark, sf), v.bars(spark, sf)
+    tables = {"KR-1d": bars, "KR-1m": ticks}
+    month = F.date_format("date", "yyyy-MM").alias("month")
+    merged = merged_summary(day_sketches(tables), month).withColumnRenamed("symbols", "estimate")
+    days = [df.select(F.lit(n).alias("dataset"), F.date_format(rec.dataset(n).time, "yyyy-MM").alias("month"), "symbol") for n, df in tables.items()]
+    exact = days[0].unionByName(days[1]).groupBy("dataset", "month").agg(F.countDistinct("symbol").alias("symbols"))
+    near = F.abs(F.col("estimate") - F.col("symbols")) <= F.greatest(F.col("symbols") * 3 * SKETCH_ERROR, F.lit(1))
+    return merged.join(exact, ["dataset", "month"]).select("dataset", "month", "rows", "symbols", near.alias("near"))
+
+
 def summary(spark: SparkSession, sf: str) -> DataFrame:
     tables = {"KR-1d": v.bars(spark, sf), "KR-1m": v.ticks(spark, sf), "US-5m": v.us_ticks(spark, sf)}
     return load_summary(tables)
@@ -138,6 +171,10 @@ QUERIES = {
     "reconcile_months": months,
     "reconcile_years": years,
     "fingerprint": fingerprints,
+    "ordered_fingerprint": ordered,
+    "mismatch_samples": samples,
+    "reconcile_rollup": rolled_up,
+    "sketched_summary": sketched,
     "load_summary": summary,
     "narrow_profile": profile_bars,
     "narrow_profile_us": profile_us,
@@ -233,3 +270,30 @@ ORACLES["narrow_profile"] = f"with {v.BARS}, r as ({_RANGES}) select *, {_KIND}
 ORACLES["narrow_profile_us"] = f"""with {v.US}, r as (select 'volume' as "column", cast(min(volume) as double) as least, cast(max(volume) as double) as largest from us)
     select *, {_KIND} as narrow_type from r
     union all select 'price', min(price), max(price), case when bool_and(cast(cast(price as float) as double) = price) then 'float' else 'double' end from us"""
+
+_POLYNOMIAL = " + ".join(
+    f"list_reduce(list(h % {p} order by event_id desc), lambda a, x: (a * {b} + x) % {p}) {'* 2147483648' if k == 0 else ''}"
+    for k, (p, b) in enumerate(zip(PRIMES, BASES))
+)
+ORACLES["ordered_fingerprint"] = f"""with t as (select event_id, {v.TICK_COLUMNS} from events),
+      h as (select event_id, ('0x' || substr(md5(concat_ws('|', symbol, strftime(dt, '%Y-%m-%d %H:%M:%S'), price, volume)), 1, 15))::bigint as h from t),
+      e as (select min(event_id) as a, max(event_id) as b from h),
+      s as (select case when event_id = a then b when event_id = b then a else event_id end as event_id, h from h, e),
+      d as (select 'as it lies' as variant, * from h union all select 'dealt out anew', * from h union all select 'two swapped', * from s)
+    select variant, count(*) as rows, cast({_POLYNOMIAL} as bigint) as digest from d group by 1"""
+ORACLES["mismatch_samples"] = f"""with {_SIDES}, c as ({_CELLS}),
+      r as (select strftime(date, '%Y') as period, *, cast(row_number() over (partition by year(date), "column" order by symbol, date) as integer) as place from c where txt <> pq)
+    select period, "column", place, symbol, date, cast(txt as varchar) as txt, cast(pq as varchar) as pq from r where place <= 3"""
+ORACLES["reconcile_rollup"] = f"""with {_SIDES}, c as ({_CELLS}),
+      w as (select symbol, date, count(*) filter (txt <> pq) as bad from c group by 1, 2),
+      k as (select strftime(date, '%Y') as y, strftime(date, '%Y-%m') as m, strftime(date, '%Y-%m-%d') as d, n_t, n_p, coalesce(bad, 0) as bad
+        from keys left join w using (symbol, date)),
+      g as (select case when d is not null then 'day' when m is not null then 'month' when y is not null then 'year' else 'all' end as grain, coalesce(d, m, y, 'all') as period,
+          count(*) filter (n_t > 0) as text_keys, count(*) filter (n_p > 0) as parquet_keys,
+          count(*) filter (n_t > 0 and n_p is null) as missing_in_parquet, count(*) filter (n_p > 0 and n_t is null) as missing_in_text,
+          count(*) filter (n_t > 0 and n_p > 0 and (n_t > 1 or n_p > 1)) as duplicate_keys, count(*) filter (n_t = 1 and n_p = 1) as matched,
+          cast(sum(bad) as bigint) as mismatches from k group by rollup (y, m, d))
+    select *, missing_in_parquet + duplicate_keys + mismatches = 0 as ok from g"""
+ORACLES["sketched_summary"] = f"""with {v.BARS}, {v.TICKS},
+      a as (select 'KR-1d' as dataset, strftime(date, '%Y-%m') as month, symbol from bars union all select 'KR-1m', strftime(dt, '%Y-%m'), symbol from ticks)
+    select dataset, month, count(*) as rows, count(distinct symbol) as symbols, true as near from a group by 1, 2"""

@@ -41,25 +41,48 @@ def _page(*rows: Column) -> Column:
 
 def day_page_table(spark: SparkSession, sf: str) -> DataFrame:
     """One page per order: the bar of the day before, then the day's own."""
+    return _day_pages(spark, sf, lambda cells: _row(*cells))
+
+
+def _day_pages(spark: SparkSession, sf: str, own_row) -> DataFrame:
     key = v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     close = F.floor("o_totalprice").cast("bigint")
     number = F.col("o_orderkey")
     opened = F.when(number % 11 == 0, F.lit(0)).otherwise(close - number % 100).cast("bigint")
     dotted = lambda d: F.replace(d.cast("date").cast("string"), F.lit("-"), F.lit("."))
 
-    def bar(day: Column, shift: int) -> Column:
+    def bar(day: Column, shift: int) -> list[Column]:
         values = [close + shift, F.lit(1), opened + shift, close + 100 + number % 50, close - 200, number % 100000]
-        return _row(_span(dotted(day)), *[_commas(x) for x in values])
+        return [_span(dotted(day)), *[_commas(x) for x in values]]
 
     day = F.col("o_orderdate")
     return key.select(
         v.padded(F.col("o_custkey").cast("string")).alias("symbol"),
         day.cast("date").alias("date"),
         number.alias("page"),
-        _page(bar(F.date_sub(day.cast("date"), 1), 1), bar(day, 0)).alias("content"),
+        _page(_row(*bar(F.date_sub(day.cast("date"), 1), 1)), own_row(bar(day, 0))).alias("content"),
     )
 
 
+def uneven_page_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages, the day's own bar with a table in its third cell, a comment full of tags, cells that don't close, or as it was."""
+
+    def own_row(cells: list[Column]) -> Column:
+        inner = F.lit("<table><tr><td>up</td><td>12</td></tr></table>")
+        comment = F.lit("<!-- <td>9</td></tr></table> -->")
+        nested = _row(*cells[:2], F.concat(inner, cells[2]), *cells[3:])
+        hidden = _row(*cells[:3], F.concat(comment, cells[3]), *cells[4:])
+        unclosed = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c) for c in cells], F.lit("</tr>\n"))
+        kind = F.col("o_orderkey") % 4
+        return F.when(kind == 1, nested).when(kind == 2, hidden).when(kind == 3, unclosed).otherwise(_row(*cells))
+
+    return _day_pages(spark, sf, own_row)
+
+
+def uneven_page_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_day_pages(decode_pages(_landed(spark, sf, "uneven-pages", uneven_page_table)))
+
+
 def landed_day_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _landed(spark, sf, "landed-day-pages", day_page_table)
 
@@ -178,6 +201,7 @@ QUERIES = {
     "day_pages": day_pages,
     "day_page_load": day_page_load,
     "day_page_rows": day_page_rows,
+    "uneven_page_rows": uneven_page_rows,
     "minute_pages_first": minute_pages_first,
     "page_gaps": gaps,
     "decode_pages": decoded,
@@ -223,4 +247,5 @@ ORACLES = {
 
 ORACLES["day_page_load"] = f"""select 'KR-1d' as dataset, cast(date as date) as date, count(*) as rows,
     count(distinct symbol) as symbols, cast(0 as bigint) as rejected from ({ORACLES["day_pages"]}) group by 1, 2"""
+ORACLES["uneven_page_rows"] = f"""select * from ({ORACLES["day_page_rows"]}) where not ("row" = 2 and page % 4 = 3)"""
 ORACLES["listing_files"] = ORACLES["listing_symbols"]
