@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -106,14 +107,11 @@ def grow(points: np.ndarray, leaf: int = LEAF_SAMPLE, branch: int = BRANCH, seed
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, vector) of rows that take part.
 
-    Left out are null ids and vectors, vectors with a null or non-finite component, zero vectors,
-    and vectors of another length than most have (of equally frequent lengths, the shorter).
+    Left out are null ids and vectors, vectors with a null or non-finite component, and zero vectors.
     """
     v = F.col("embedding").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("bigint"), v.alias("vector")).where(fine & F.col("vec_id").isNotNull())
-    common = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("vector") == (common["n"] if common else 0))
+    return vectors.select(F.col("vec_id").cast("bigint"), v.alias("vector")).where(fine & F.col("vec_id").isNotNull())
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -127,6 +125,14 @@ def _products(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.cumsum(rows * query, axis=1)[:, -1]
 
 
+def _nth(*columns: np.ndarray) -> np.ndarray:
+    """Each row's number in its run of equal rows."""
+    n = len(columns[0])
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+
+
 def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query place, row place, score) of each query's ``k`` best rows; ties go to smaller ids; rows with the query's own id are passed over.
 
@@ -134,11 +140,12 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids:
     """
     order = np.argsort(row_ids, kind="stable")
     _, copy = np.unique(rows[order], axis=0, return_inverse=True)
-    # Of equal vectors only the k + 1 smallest ids can be among the best.
-    by = np.argsort(copy.ravel(), kind="stable")
-    runs = np.bincount(copy.ravel())
-    nth = np.arange(len(by)) - np.repeat(np.cumsum(runs) - runs, runs)
-    order = order[np.sort(by[nth <= k])]
+    copy, ids = copy.ravel(), row_ids[order]
+    # Of equal vectors with one id, k can be among the best; of equal ones, then, the first 2 k, as k at most have the query's id.
+    kept = np.lexsort((ids, copy))
+    kept = kept[_nth(copy[kept], ids[kept]) < k]
+    kept = kept[_nth(copy[kept]) < 2 * k]
+    order = order[np.sort(kept)]
     rows, ids = rows[order], row_ids[order]
     rough = queries @ rows.T
     room = 1e-12 * (np.abs(queries) @ np.abs(rows).T).max(initial=0.0)
@@ -184,14 +191,27 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RE
     """The ``k`` nearest rows by inner product of each row of (vec_id, embedding) that ``is_query`` picks.
 
     Returns query_id, rank (from 1), vec_id, score. Rows repeating an id are candidates of their
-    own, but never of a query with their id; queries repeating an id are one, the smallest vector. An
-    empty table, or one without usable vectors, gives no rows.
+    own, but never of a query with their id; queries repeating an id are one, the smallest of the
+    shortest vectors. Vectors meet those of their own length only, and each length has a tree
+    of its own. An empty table, or one without usable vectors, gives no rows.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors)
-    total = rows.count()
-    if not total:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    length = F.size("vector")
+    counts = rows.groupBy(length.alias("n")).count().orderBy("n").collect()
+    found = [_search(rows.where(length == r["n"]) if len(counts) > 1 else rows, r["count"], is_query, k, recall) for r in counts]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    if len(found) == 1:
+        return found[0]
+    # An id with queries of several lengths is answered by the first.
+    parts = [part.withColumn("n", F.lit(r["n"])) for part, r in zip(found, counts, strict=True)]
+    every = reduce(DataFrame.unionByName, parts)
+    least = F.min("n").over(Window.partitionBy("query_id"))
+    return every.withColumn("least", least).where("n = least").drop("n", "least")
+
+
+def _search(rows: DataFrame, total: int, is_query: Column, k: int, recall: float) -> DataFrame:
+    """The same for vectors of one length, of which there are ``total``."""
     draw = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(1 << 30)) / (1 << 30)
     sample = rows.where(draw < SAMPLE_ROWS / total).orderBy("vec_id", "vector").toPandas()["vector"]
     if not len(sample):
@@ -203,20 +223,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RE
             leaf = pa.array(tree.file(_matrix(batch.column(1))), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, leaf], ["vec_id", "vector", "leaf"])
 
-    index = settled(rows.mapInArrow(file, "vec_id bigint, vector array<double>, leaf bigint"), "leaves")
+    filed = rows.mapInArrow(file, "vec_id bigint, vector array<double>, leaf bigint")
+    # Rows are dealt into blocks by a number of their own, not by an id that many may share.
+    index = settled(filed.withColumn("place", F.monotonically_increasing_id()), "leaves")
     sizes = np.zeros(tree.leaves, np.int64)
     for r in index.groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
-    queries = settled(index.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
+    asked = index.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"), F.count("*").alias("own"))
+    queries = settled(asked, "queries")
     visits = _calibrate(tree, sizes, index, queries, k, recall)
     return _visit(tree, sizes, index, queries, visits, k)
 
 
-def _visited(tree: Tree, sizes: np.ndarray, query: np.ndarray, visits: int, k: int) -> list[int]:
-    """The first ``visits`` leaves of a walk, and more while they hold too few rows for ``k`` answers."""
+def _visited(tree: Tree, sizes: np.ndarray, query: np.ndarray, own: int, visits: int, k: int) -> list[int]:
+    """The first ``visits`` leaves of a walk, and more while they may hold too few rows, without the query's ``own``, for ``k`` answers."""
     out, held = [], 0
     for leaf in tree.walk(query):
-        if len(out) >= visits and held > k:
+        if len(out) >= visits and held >= k + own:
             break
         out.append(leaf)
         held += int(sizes[leaf])
@@ -250,7 +273,8 @@ def _visit(tree: Tree, sizes: np.ndarray, index: DataFrame, queries: DataFrame,
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_visited(tree, sizes, q, visits, k) for q in _matrix(batch.column(1))]
+            asking = zip(_matrix(batch.column(1)), batch.column(2).to_pylist(), strict=True)
+            found = [_visited(tree, sizes, q, own, visits, k) for q, own in asking]
             at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
             leaf = pa.array(np.concatenate([np.array(x, np.int64) for x in found]) if found else [], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), leaf], ["query_id", "leaf"])
@@ -262,7 +286,7 @@ def _visit(tree: Tree, sizes: np.ndarray, index: DataFrame, queries: DataFrame,
     cut = [[int(x) for x in -(-n // most)] for n, most in ((np.maximum(sizes, 1), BLOCK_ROWS), (np.maximum(askers, 1), BLOCK_QUERIES))]
     blocks, slices = (F.element_at(F.lit(np.array(x)), (F.col("leaf") + 1).cast("int")).cast("bigint") for x in cut)
     counted = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-    left = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks)).withColumn("slice", counted(slices))
+    left = index.withColumn("block", F.pmod(F.xxhash64("place"), blocks)).withColumn("slice", counted(slices))
     right = visited.withColumn("slice", F.pmod(F.xxhash64("query_id"), slices)).withColumn("block", counted(blocks))
     right = right.join(queries.select(F.col("vec_id").alias("query_id"), "vector"), "query_id")
 

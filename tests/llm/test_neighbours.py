@@ -64,7 +64,7 @@ def test_exact_scan(spark):
 
 
 def test_vectors_that_take_no_part(spark):
-    bad = [(20, None), (40, [0.0, 0.0]), (60, [1.0, None]), (80, [1.0, float("nan")]), (100, [float("inf"), 1.0]), (None, [1.0, 1.0]), (120, [1.0, 2.0, 3.0]), (140, [])]
+    bad = [(20, None), (40, [0.0, 0.0]), (60, [1.0, None]), (80, [1.0, float("nan")]), (100, [float("inf"), 1.0]), (None, [1.0, 1.0]), (140, [])]
     good = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0]), (160, [0.0, 1.0])]
     got = neighbours.search(frame(spark, bad + good), F.col("vec_id") % 20 == 0)
     assert sorted(map(tuple, got.collect())) == sorted(brute(good, [0, 160], 20))
@@ -76,6 +76,35 @@ def test_repeated_ids(spark):
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 3.0)] * 2
 
 
+def test_an_id_stored_more_often_than_there_are_answers(spark):
+    """Rows with the query's own id don't crowd out equal vectors of others."""
+    rows = [(0, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(100, 130)] + [(i, [0.5, 0.0]) for i in range(200, 230)]
+    rows += [(1, [1.0, 0.0])] * 45 + [(40, [0.0, 2.0])] * 70 + [(41, [0.0, 1.0])]
+    docs = frame(spark, rows).repartition(3)
+    got = neighbours.search(docs, F.col("vec_id") % 20 == 0, recall=2.0)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, [0, 40, 100, 120, 200, 220], 20))
+
+
+def test_every_length_is_searched(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(100)]
+    more = [(i, [float(i % 5), 1.0, float(i % 3)]) for i in range(100, 160)]
+    got = neighbours.search(frame(spark, rows + more), F.col("vec_id") % 20 == 0, recall=2.0)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, range(0, 100, 20), 20) + brute(more, range(100, 160, 20), 20))
+
+
+def test_an_id_of_two_lengths_is_one_query(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (0, [1.0, 1.0, 1.0]), (2, [1.0, 0.0, 0.0])]
+    got = neighbours.search(frame(spark, rows), F.col("vec_id") % 20 == 0).collect()
+    assert [tuple(r) for r in got] == [(0, 1, 1, 1.0)]
+
+
+def test_a_repeated_id_is_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
+    rows = [(7, [1.0, float(i)]) for i in range(500)] + [(20, [1.0, 1.0])]
+    got = neighbours.search(frame(spark, rows), F.col("vec_id") % 20 == 0, recall=2.0).collect()
+    assert [r["score"] for r in got] == [500.0 - i for i in range(20)]
+
+
 @pytest.mark.parametrize("rows", [[], [(0, None)], [(1, [1.0, 2.0])], [(0, [1.0, 2.0])]])
 def test_tables_with_no_answers(spark, rows):
     assert neighbours.search(frame(spark, rows), F.col("vec_id") % 20 == 0).count() == 0
