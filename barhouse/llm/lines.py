@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barhouse.llm.common import WORD, settled
 
-# Shorter lines are left alone, and lines below the second length must match exactly.
-MIN_WORDS = 4
+# Every line with a word can be a duplicate. Below the second length it must match exactly: of seven
+# words, one that differs often is all that a list's or a form's lines say.
+MIN_WORDS = 1
 MIN_EDIT_WORDS = 8
+# Classes with more than this share of all lines can't be more than so many, and are met without a shuffle.
+HOT_CLASSES = 4096
 # Bits of a word's term in a variant's hash: sums of 2^23 words fit a bigint. Two such sums make a hash.
 TERM_BITS = 40
 
@@ -144,8 +147,14 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     classes = settled(classes.select(*CLASS, F.col("f.at").alias("first"), F.col("f.text_id").alias("text_id"), "lines", "n", "keys"), "classes")
     near = settled(near_classes(docs, classes).withColumn("near", F.lit(True)), "near")
-    marked = classes.join(near, CLASS, "left").where("lines > 1 or near").select(*CLASS, "first", "near")
-    gone = found.select("at", "text_id", *CLASS).join(marked, CLASS).where((F.col("at") > F.col("first")) | F.col("near"))
+    marked = classes.join(near, CLASS, "left").where("lines > 1 or near").select(*CLASS, "first", "near", "lines")
+    total = classes.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
+    is_hot = F.col("lines") > total // HOT_CLASSES
+    hot, rows = F.broadcast(marked.where(is_hot)), found.select("at", "text_id", *CLASS)
+    # The occurrences of a very common line stay where they are; the others meet their class.
+    others = rows.join(F.broadcast(marked.where(is_hot).select(*CLASS)), CLASS, "left_anti")
+    met = rows.join(hot, CLASS).unionByName(others.join(marked.where(~is_hot), CLASS))
+    gone = met.where((F.col("at") > F.col("first")) | F.col("near"))
     # Repeated rows give a place more than once.
     return gone.groupBy(F.col("at.doc_id").alias("doc_id"), "text_id").agg(F.sort_array(F.collect_set("at.line_no")).alias("removed"))
 
@@ -183,7 +192,7 @@ lines as (
     select k, doc_id, line_no - 1 as line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as w
     from docs, unnest(string_split(text, chr(10))) with ordinality as t(line, line_no)
 ), found as (
-    select *, {'a': doc_id is null, 'b': coalesce(doc_id, 0), 'c': line_no} as place from lines where len(w) >= 4
+    select *, {'a': doc_id is null, 'b': coalesce(doc_id, 0), 'c': line_no} as place from lines where len(w) >= 1
 ), classes as (
     select w, len(w) as n, min(place) as first, row_number() over () as c from found group by w
 ), variants as (

@@ -88,14 +88,31 @@ def test_awkward_documents(spark):
     assert ids(report) == ALL_IDS
     got = {r["doc_id"]: r for r in report.collect()}
     assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 1 and got[3]["removed_lines"] == "0"
-    assert got[11]["removed_lines"] == "0,1,2" and got[5]["n_lines"] == 0 and got[6]["n_lines"] == 1
+    assert got[11]["removed_lines"] == "0,1,2,4" and got[5]["n_lines"] == 0 and got[6]["n_lines"] == 1
     kept = lines.drop_duplicate_lines(clashing(spark))
     texts = {r["doc_id"]: r["text"] for r in kept.collect()}
-    assert texts[11] == "short line\nshort line" and texts[6] == "" and texts[5] is None and 3 not in texts
+    assert texts[11] == "short line" and texts[6] == "" and texts[5] is None and 3 not in texts
     assert kept.columns == clashing(spark).columns
     assert lines.line_report(empty(spark)).count() == 0 and lines.drop_duplicate_lines(empty(spark)).count() == 0
 
 
+def test_short_lines(spark):
+    """Lines of one to three words go as others do; a line without a word stays."""
+    rows = [(1, "Share this page\n\nx\n ---"), (2, "Share  this page\n\nx y\n---\nx"), (3, "one two three four five six seven"), (4, "one two three four five six other")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], no) for r in lines.duplicate_lines(docs).collect() for no in r["removed"]}
+    assert got == removed(rows) == {(2, 0), (2, 3), (2, 4)}
+
+
+@pytest.mark.parametrize("hot", [1, 3, 10_000])
+def test_common_lines_are_met_apart_with_the_same_result(spark, monkeypatch, hot):
+    monkeypatch.setattr(lines, "HOT_CLASSES", hot)
+    rows = made_up(5) + [(k, "one very common line of a good many words here\nyes") for k in range(100, 300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {(r["doc_id"], no) for r in lines.duplicate_lines(docs).collect() for no in r["removed"]}
+    assert got == removed(rows)
+
+
 def test_no_python_in_the_plan(spark):
     plan = lines.line_report(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
