@@ -10,7 +10,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Folder operations under way at one time.
@@ -75,31 +74,6 @@ class Files:
                 raise ValueError(f"refusing to delete {path}, which holds {kept}")
         self.each(self.delete, doomed)
 
-    def time_units(self, paths: list[str], column: str) -> list[str]:
-        """The unit in which each Parquet file, or folder of such files, stores a time column, from its footer.
-
-        A column that is a plain integer counts as microseconds.
-        """
-        with ThreadPoolExecutor(_AT_ONCE) as pool:
-            return list(pool.map(lambda path: self._time_unit(path, column), paths))
-
-    def _time_unit(self, path: str, column: str) -> str:
-        if self._fs.getFileStatus(self._path(path)).isDirectory():
-            parts = self.glob(f"{path}/[!_.]*")
-            return self._time_unit(parts[0].path, column) if parts else "MICROS"
-        parquet = self._jvm.org.apache.parquet.hadoop
-        source = parquet.util.HadoopInputFile.fromPath(self._path(path), self._conf)
-        try:
-            reader = parquet.ParquetFileReader.open(source)
-        except Py4JJavaError:  # not a Parquet file: reading its rows says so, or passes over it
-            return "MICROS"
-        try:
-            schema = reader.getFileMetaData().getSchema()
-            kind = str(schema.getType(column).getLogicalTypeAnnotation()) if schema.containsField(column) else ""
-        finally:
-            reader.close()
-        return next((unit for unit in ("NANOS", "MILLIS") if unit in kind), "MICROS")
-
     def each(self, step: Callable[..., None], *arguments: Iterable[str]) -> None:
         """Run a step for many paths, several at a time."""
         with ThreadPoolExecutor(_AT_ONCE) as pool:

@@ -12,10 +12,14 @@ from barhouse.operators.fingerprint import digest
 from barhouse.operators.reconcile import period_of
 
 # Stored files: zstd, with the delta encodings of version-2 pages, which suit
-# sorted times and whole numbers. Only the partitions written are replaced.
+# sorted times and whole numbers. A row group whose symbols fit a dictionary is
+# passed over by that if the one wanted isn't in it; where they don't, a Bloom
+# filter, sized by the symbols there are, does so. Only the partitions written are replaced.
 WRITE_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
+    "parquet.bloom.filter.enabled#symbol": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
     "partitionOverwriteMode": "dynamic",
 }
 PERIOD_COLUMNS = ["year", "period"]

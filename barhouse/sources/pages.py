@@ -67,7 +67,12 @@ def parse_day_pages(pages: DataFrame) -> DataFrame:
 
 def day_bars(pages: DataFrame) -> DataFrame:
     """The KR-1d row of each (symbol, date): first row of that date that traded."""
-    wanted = parse_day_pages(pages).where(
+    return bars_of(parse_day_pages(pages))
+
+
+def bars_of(rows: DataFrame) -> DataFrame:
+    """The same from rows that are parsed already."""
+    wanted = rows.where(
         (F.col("row_date") == F.col("date").cast("date")) & (F.col("open") != "0")
     )
     first = first_per_key(wanted, ["symbol", "date"], ["page", "row"])
@@ -88,7 +93,12 @@ def parse_minute_pages(pages: DataFrame) -> DataFrame:
 
 def minute_ticks(pages: DataFrame) -> DataFrame:
     """KR-1m rows: of rows with one clock time, the first in page order."""
-    first = first_per_key(parse_minute_pages(pages), ["symbol", "date", "time"], ["page", "row"])
+    return ticks_of(parse_minute_pages(pages))
+
+
+def ticks_of(rows: DataFrame) -> DataFrame:
+    """The same from rows that are parsed already."""
+    first = first_per_key(rows, ["symbol", "date", "time"], ["page", "row"])
     typed = first.select(
         "symbol",
         try_day_time(F.col("date").cast("date"), F.col("time")).alias("dt"),
@@ -99,9 +109,9 @@ def minute_ticks(pages: DataFrame) -> DataFrame:
 
 
 def page_rejects(rows: DataFrame) -> DataFrame:
-    """Parsed page rows, of either kind, with a value that is no whole number."""
+    """Parsed page rows, of either kind, with a value that is no whole number, or of a page without a date."""
     values = [c for c in rows.columns if c in {*DAY_CELLS, *MINUTE_CELLS}]
-    bad = [F.col(c).try_cast("bigint").isNull() for c in values]
+    bad = [F.col("date").isNull(), *[F.col(c).try_cast("bigint").isNull() for c in values]]
     return rows.where(reduce(Column.__or__, bad))
 
 

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barhouse.datasets import Dataset, dataset
@@ -24,8 +27,10 @@ from barhouse.functions.routing import TimeBounds
 PERIOD_NAME = r"^\d{4}(?:-\d{2}){0,2}$"
 YEAR, MONTH, DAY = 0, 1, 2
 
-# Raw units of stored times in a microsecond.
-_PER_MICRO = {"MILLIS": 1000, "MICROS": 1, "NANOS": 1000}
+# How a single file stores its times: as Spark reads them, naive or as instants, or as whole micro- or nanoseconds.
+_NAIVE, _INSTANT, _MICROS, _NANOS = "timestamp_ntz", "timestamp", "micros", "nanos"
+# Files whose schema is asked for at one time.
+_AT_ONCE = 16
 
 _MANIFEST = pa.schema([("path", pa.string()), ("period", pa.string()), ("layout", pa.int32())])
 _FOLDER, _TOP_FILE, _YEAR_FILE = 0, 1, 2
@@ -119,41 +124,63 @@ def read_periods(
         else:
             rows = spark.createDataFrame([], schema)
         parts.append(rows.where(bounds.holds(F.col(ds.time))) if bounds else rows)
-    units = Files(spark, root).time_units(single, ds.time)
-    for unit in sorted(set(units)):
-        parts.append(_single_files(ds, reader, [p for p, u in zip(single, units, strict=True) if u == unit], unit, bounds))
+    files = _parts_of(Files(spark, root), single)
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        kinds = list(pool.map(lambda path: _time_kind(spark, path, ds.time), files))
+    for kind in sorted(set(kinds)):
+        parts.append(_single_files(ds, reader, [p for p, k in zip(files, kinds, strict=True) if k == kind], kind, bounds))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _single_files(ds: Dataset, reader, paths: list[str], unit: str, bounds: TimeBounds | None) -> DataFrame:
-    """Rows of single files whose footers state the same unit of time.
+def _parts_of(files: Files, paths: list[str]) -> list[str]:
+    """The files that folders named like single files hold, and single files themselves."""
+    held = [[e.path for e in files.glob(f"{path}/[!_.]*")] for path in paths]
+    return [part for path, parts in zip(paths, held, strict=True) for part in parts or [path]]
 
-    Spark won't read nanoseconds as a timestamp, so the raw integer is read.
+
+def _time_kind(spark: SparkSession, path: str, column: str) -> str:
+    """How a file stores its times, from the schema that Spark finds in it; every file of a folder is asked on its own.
+
+    Spark knows milli- and microseconds itself. Nanoseconds it refuses, which tells them from whole numbers.
     """
-    raw_ddl = re.sub(rf"\b{ds.time} timestamp_ntz", f"{ds.time} bigint", ds.ddl)
-    raw = reader.schema(raw_ddl).parquet(*paths)
+    try:
+        schema = spark.read.parquet(path).schema
+    except (PySparkException, Py4JJavaError) as e:
+        # Anything else wrong with the file is said, or passed over, where its rows are read.
+        return _NANOS if "NANOS" in str(e) else _NAIVE
+    kind = schema[column].dataType.simpleString() if column in schema.names else _NAIVE
+    return _MICROS if kind in ("bigint", "int") else kind
+
+
+def _single_files(ds: Dataset, reader, paths: list[str], kind: str, bounds: TimeBounds | None) -> DataFrame:
+    """Rows of single files that store their times alike."""
+    stored = "bigint" if kind in (_MICROS, _NANOS) else kind
+    raw = reader.schema(re.sub(rf"\b{ds.time} timestamp_ntz", f"{ds.time} {stored}", ds.ddl)).parquet(*paths)
     value = F.col(ds.time)
-    if bounds:
-        low, high = _micros(bounds.start), _micros(bounds.end)
-        if unit == "NANOS":
-            low, high = low * 1000, high * 1000 + 999
-        elif unit == "MILLIS":
-            low, high = low // 1000, high // 1000
-        raw = raw.where(value.between(low, high))
+    if bounds and stored == "bigint":
+        per = 1000 if kind == _NANOS else 1
+        raw = raw.where(value.between(_micros(bounds.start) * per, _micros(bounds.end) * per + per - 1))
+    elif bounds and kind == _NAIVE:
+        raw = raw.where(bounds.holds(value))
     path_period = F.regexp_extract("_metadata.file_path", r"/(\d{4}(?:-\d{2}){0,2})\.parquet(?:/|$)", 1)
     rows = raw.select(
-        *[_naive(value, unit).alias(c) if c == ds.time else F.col(c) for c in ds.columns],
+        *[_naive(value, kind).alias(c) if c == ds.time else F.col(c) for c in ds.columns],
         path_period.alias("period"),
     )
     rows = rows.select(*ds.columns, F.substring("period", 1, 4).cast("int").alias("year"), "period")
     return rows.where(bounds.holds(F.col(ds.time))) if bounds else rows
 
 
-def _naive(raw: Column, unit: str) -> Column:
-    size = F.lit(_PER_MICRO[unit])
-    micros = raw * size if unit != "NANOS" else F.call_function("div", raw - F.pmod(raw, size), size)
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", micros, epoch)
+def _naive(stored: Column, kind: str) -> Column:
+    if kind == _NAIVE:
+        return stored
+    thousand = F.lit(1000)
+    micros = {
+        _INSTANT: F.unix_micros(stored) if kind == _INSTANT else None,
+        _MICROS: stored,
+        _NANOS: F.call_function("div", stored - F.pmod(stored, thousand), thousand) if kind == _NANOS else None,
+    }[kind]
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def _micros(moment) -> int:
