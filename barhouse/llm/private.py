@@ -12,9 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-KEY = "set a key of your own"
 ROUNDS = 8
 
+# English names of months, and how secret keys of common services begin.
+MONTHS = "January February March April May June July August September October November December".split()
+KEY_STARTS = r"(?:AKIA|ASIA)(?=[0-9A-Z]{16}(?![0-9A-Za-z]))|gh[opsur]_(?=[0-9A-Za-z]{36}(?![0-9A-Za-z]))"
+
 # How long the IBANs of a country are.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
@@ -45,17 +48,26 @@ _PLUS = (
 )
 _AMERICAN = r"(?<![\d+.-])(?:1[ .-])?(?:\([2-9]\d{2}\)[ .-]?[2-9]\d{2}[ .-]|[2-9]\d{2}-[2-9]\d{2}-|[2-9]\d{2}\.[2-9]\d{2}\.|[2-9]\d{2} [2-9]\d{2}[ -])\d{4}(?!\d|[.-]\d)"
 # With the trunk prefix 0 and nine to twelve digits: 020 7946 0958, (030) 1234567, 01 23 45 67 89.
-_TRUNK = r"(?<![\d+.,/-])(?=(?:[ ()./-]{0,2}\d){9,12}(?![ ./-]?\d))(?:\(0[1-9]\d{0,3}\) ?\d{2,8}|0[1-9]\d{0,3}[ ./-]\d{2,8})(?:[ ./-]\d{2,8}){0,4}(?!\d)"
+_TRUNK = (
+    r"(?<![\d+.,/-])(?:0[1-9]\d{8}(?![\d]|[.,/-]\d)"
+    r"|(?=(?:[ ()./-]{0,2}\d){9,12}(?![ ./-]?\d))(?:\(0[1-9]\d{0,3}\) ?\d{2,8}|0[1-9]\d{0,3}[ ./-]\d{2,8})(?:[ ./-]\d{2,8}){0,4}(?!\d))"
+)
+# Dialled with 00 for the plus, code apart: 00 44 20 7946 0958, 0044 20 7946 0958.
+_DIALLED = rf"(?<![\d+.,/-])00 ?(?=[2-9]\d{{0,2}}[ .-]|1 )(?:{_PLUS})(?!\d)"
+_NAMED = "|".join(MONTHS)
 
 # What is looked at, leftmost first and in this order; whether it is private is decided by validation.
 PATTERNS = {
     "mail": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    "token": r"(?<=(?:token|key|secret|password)[ ]{0,2}[=:][ ]{0,2}\"{0,1})[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "token": r"(?<=(?:token|key|secret|password)[ ]{0,2}[=:][ ]{0,2}\"{0,1})[0-9A-Fa-f]{32,}(?![0-9A-Za-z])",
+    "service": rf"(?<![0-9A-Za-z_])(?:(?:{KEY_STARTS})[0-9A-Za-z]{{16,36}})",
     "iban": _iban_forms(),
     "phone": rf"(?<![\d+])\+(?:{_PLUS})(?!\d)",
     "address": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "date": r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?!\d)",
+    "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?<!\d|\d[ .,-])\d{3} \d{2} \d{4}(?!\d|[ .,-]\d)",
+    "date": r"(?<!\d)(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?!\d)",
+    "named": rf"(?<![\d.,])(?:\d{{1,2}} (?:{_NAMED}) \d{{4}}(?!\d)|(?<![\p{{L}}])(?:{_NAMED}) \d{{1,2}}, \d{{4}}(?!\d))",
+    "dialled": _DIALLED,
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}(?: \d{6} |-\d{6}-)\d{5})(?!\d)",
     "american": _AMERICAN,
     "trunk": _TRUNK,
@@ -210,7 +222,7 @@ def _iban(m: Column, key: str, undo: bool) -> Column:
 
 
 def _phone(m: Column, key: str, undo: bool) -> Column:
-    code = F.regexp_extract(m, rf"^\+(?:[2-9]\d{{0,2}}(?!\d)|{_CODES})", 0)
+    code = F.regexp_extract(m, rf"^(?:\+|00 ?)(?:[2-9]\d{{0,2}}(?!\d)|{_CODES})", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m) - F.length(code))
     return F.concat(code, _fill(rest, _digits(_only_digits(rest), key, "phone", undo)))
 
@@ -243,8 +255,8 @@ def _address(m: Column, key: str, undo: bool) -> Column:
 
 
 def _social(m: Column, key: str, undo: bool) -> Column:
-    """Areas 001 to 899 but 666, groups from 01, serials from 0001."""
-    area, group, serial = (_long(F.split_part(m, F.lit("-"), F.lit(k))) for k in (1, 2, 3))
+    """Areas 001 to 899 but 666, groups from 01, serials from 0001; parted by hyphens or spaces."""
+    area, group, serial = (_long(F.split_part(F.translate(m, " ", "-"), F.lit("-"), F.lit(k))) for k in (1, 2, 3))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - 1 - F.when(area > 666, 1).otherwise(0)
     out = feistel(place * 99 + group - 1, serial - 1, _AREAS, 9999, key, "social", undo)
@@ -252,7 +264,8 @@ def _social(m: Column, key: str, undo: bool) -> Column:
     def text(o: Column) -> Column:
         new = F.floor(o["a"] / 99) + 1
         new = new + F.when(new >= 666, 1).otherwise(0)
-        return F.format_string("%03d-%02d-%04d", _long(new), _long(o["a"] % 99 + 1), _long(o["b"] + 1))
+        written = F.format_string("%03d-%02d-%04d", _long(new), _long(o["a"] % 99 + 1), _long(o["b"] + 1))
+        return F.when(m.contains(" "), F.translate(written, "-", " ")).otherwise(written)
 
     return F.when(valid, _let(out, text)).otherwise(m)
 
@@ -265,52 +278,94 @@ def _date(m: Column, key: str, undo: bool) -> Column:
     month, day = F.when(iso | dots, b).otherwise(a), F.when(iso, c).when(dots, a).otherwise(b)
     date = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
     size_a, size_b = _DAYS
-    padded = (F.length(a) >= 2) & (F.length(b) >= 2)
+    padded = (F.length(a) >= 2) & (F.length(b) >= 2) & (F.length(c) >= 2)
 
     def text(new: Column) -> Column:
         d, mo = (F.when(padded, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string")) for x in (F.dayofmonth(new), F.month(new)))
         y = F.lpad(F.year(new).cast("string"), 4, "0")
         return F.when(iso, F.concat_ws("-", y, mo, d)).when(dots, F.concat_ws(".", d, mo, y)).otherwise(F.concat_ws("/", mo, d, y))
 
+    # Dots and slashes in one match, or one part short and one long, aren't a date format.
+    regular = iso | (F.regexp_count(m, F.lit(r"\.")) == 2) | (F.regexp_count(m, F.lit("/")) == 2)
+    return _moved_day(F.when(regular, date), text, m, key, undo)
+
+
+def _moved_day(date: Column, text: Callable[[Column], Column], m: Column, key: str, undo: bool) -> Column:
+    """What a date is moved to, written by ``text``; ``m`` if it is null or out of range."""
+    size_a, size_b = _DAYS
+
     def moved(number: Column) -> Column:
         out = feistel(F.floor(number / size_b), number % size_b, size_a, size_b, key, "date", undo)
         new = _let(out, lambda o: F.date_add(F.lit(_FIRST_DAY).cast("date"), (o["a"] * size_b + o["b"]).cast("int")))
-        return F.when(regular & number.between(0, size_a * size_b - 1), _let(new, text)).otherwise(m)
+        return F.when(number.between(0, size_a * size_b - 1), _let(new, text)).otherwise(m)
 
-    # Dots and slashes in one match, or one part short and one long, aren't a date format.
-    regular = iso | (F.regexp_count(m, F.lit(r"\.")) == 2) | (F.regexp_count(m, F.lit("/")) == 2)
     return _let(_long(F.datediff(date, F.lit(_FIRST_DAY).cast("date"))), moved)
 
 
+def _named_date(m: Column, key: str, undo: bool) -> Column:
+    """12 March 1985 and March 12, 1985."""
+    american = m.rlike(r"^\p{L}")
+    words = F.split(F.replace(m, F.lit(","), F.lit("")), " ")
+    name, day = F.when(american, words[0]).otherwise(words[1]), F.when(american, words[1]).otherwise(words[0])
+    names = F.array(*(F.lit(x) for x in MONTHS))
+    month = F.array_position(names, name).cast("string")
+    date = F.concat_ws("-", words[2], F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
+
+    def text(new: Column) -> Column:
+        d, y = F.dayofmonth(new).cast("string"), F.lpad(F.year(new).cast("string"), 4, "0")
+        written = F.element_at(names, F.month(new))
+        return F.when(american, F.concat(written, F.lit(" "), d, F.lit(", "), y)).otherwise(F.concat_ws(" ", d, written, y))
+
+    return _moved_day(date, text, m, key, undo)
+
+
 def _keyed(m: Column, key: str, tweak: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), m), 256)
 
 
-def pseudonym(match: Column, key: str = KEY, undo: bool = False) -> Column:
+def _mail(m: Column, key: str) -> Column:
+    """Name and host by digests of their own, so that hosts stay linked; the last label of the host stays."""
+    host = F.substring_index(m, "@", -1)
+    hidden = F.substring(_keyed(F.lower(host), key, "host"), 1, 12)
+    return F.concat(F.substring(_keyed(m, key, "mail"), 1, 12), F.lit("@"), hidden, F.lit("."), F.substring_index(host, ".", -1))
+
+
+def _token(m: Column, key: str) -> Column:
+    """A digest of the same length, behind the start that tells whose key it is."""
+    start = F.regexp_extract(m, rf"^(?:{KEY_STARTS})", 0)
+    digest, n = _keyed(m, key, "token"), F.length(m) - F.length(start)
+    written = F.rpad(digest, n, digest)
+    return F.concat(start, F.when(start.rlike("^A"), F.upper(written)).otherwise(written))
+
+
+def pseudonym(match: Column, key: str, undo: bool = False) -> Column:
     """What stands for a match of ``PATTERN``; itself if it isn't valid. Digests can't be undone and stay."""
-    host = F.substring_index(match, "@", -1)
-    mail = F.concat(F.substring(_keyed(match, key, "mail"), 1, 12), F.lit("@"), host)
-    token = F.substring(_keyed(match, key, "token"), F.lit(1), F.length(match))
+    mail, token = _mail(match, key), _token(match, key)
     return (
         F.when(match.contains("@"), match if undo else mail)
+        .when(match.rlike(r"^[0-9A-Fa-f]{32,}$"), match if undo else token)
         .when(match.rlike(r"^[A-Z]{2}\d"), _iban(match, key, undo))
-        .when(match.startswith("+"), _phone(match, key, undo))
+        .when(match.rlike(r"^\+|^00 ?(?:[2-9]\d{0,2}[ .-]|1 )"), _phone(match, key, undo))
         .when(match.rlike(rf"^(?:{_AMERICAN})$"), _american(match, key, undo))
         .when(match.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"), _address(match, key, undo))
-        .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), _social(match, key, undo))
+        .when(match.rlike(r"^\d{3}([ -])\d{2}\1\d{4}$"), _social(match, key, undo))
         .when(match.rlike(r"^\d+[./-]\d+[./-]\d+$") & (F.length(match) <= 10) & match.rlike(rf"^(?:{PATTERNS['date']})$"), _date(match, key, undo))
+        .when(match.rlike(rf"^(?:\d{{1,2}} )?(?:{_NAMED}) "), _named_date(match, key, undo))
         .when(match.rlike(rf"^(?:{_TRUNK})$"), _trunk(match, key, undo))
         .when(match.rlike(r"^[0-9 -]{13,23}$"), _card(match, key, undo))
         .otherwise(match if undo else token)
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, undo: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, undo: bool = False) -> DataFrame:
     """Documents with private values in ``text`` replaced, and how many there were as ``n_private``; all other columns stay.
 
-    Null texts stay null and empty ones empty, with none found. A column that is already called
+    Whoever has the ``key`` can undo the pseudonyms of numbers and dates, so there is none by
+    default, and an empty one is refused. Texts of any length are looked at whole. Null texts stay null and empty ones empty, with none found. A column that is already called
     ``n_private`` is replaced.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col("text")
     found = docs.withColumn("__found", F.when(text.rlike(_MAYBE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
     found = found.withColumn("__new", F.transform("__found", lambda m: pseudonym(m, key, undo)))
