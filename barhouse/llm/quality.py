@@ -45,7 +45,14 @@ class Texts:
         self.texts = list(texts)
 
     def of(self, rows: np.ndarray) -> Texts:
-        return Texts([self.texts[i] for i in rows])
+        """Some of the texts, with what is known of them."""
+        out = Texts([self.texts[i] for i in rows])
+        for name, known in self.__dict__.items():
+            if name == "_words":
+                out.__dict__[name] = [known[i] for i in rows]
+            elif name not in ("texts", "_raw"):
+                out.__dict__[name] = known[rows]
+        return out
 
     def _sum(self, kind: np.ndarray) -> np.ndarray:
         ends = np.cumsum([len(t) for t in self.texts])
