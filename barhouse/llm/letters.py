@@ -57,14 +57,11 @@ class Words:
         return np.add.reduceat(per_letter, np.cumsum(self.lengths) - self.lengths, axis=0)
 
     def grams(self, buckets: int, size: int = 3) -> np.ndarray:
-        """A bucket per letter: of the ``size`` characters from the one before it."""
-        at = self._places()
+        """A bucket per letter: of the ``size`` characters from the one before it, with spaces for those past the word."""
+        at, ends = self._places(), np.repeat(self.starts + self.lengths, self.lengths)
         x = np.zeros(len(at), np.uint64)
         for k in range(size):
-            place = at - 1 + k
-            if k > 2:
-                place = np.minimum(place, len(self.codes) - 1)
-            x = (x ^ self.codes[place].astype(np.uint64)) * _MIX
+            x = (x ^ self.codes[np.minimum(at - 1 + k, ends)].astype(np.uint64)) * _MIX
             x ^= x >> np.uint64(31)
         return ((x * _STEP) >> np.uint64(40)).astype(np.int64) % buckets
 

@@ -19,7 +19,7 @@ from barhouse.llm.common import chunks
 from barhouse.llm.letters import Words, words_of
 
 # The network is trained on about so many documents of each label, picked by a hash of the id;
-# longer ones are passed over.
+# a longer text teaches in pieces.
 ROWS_PER_LABEL = 2000
 TRAIN_CHARS = 100_000
 WINDOW, STRIDE = 32, 24
@@ -301,20 +301,25 @@ def _shift(logit: np.ndarray, label: np.ndarray, apart: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL, epochs: int = EPOCHS) -> Network:
     """Train on documents (doc_id, text) that ``labels`` (doc_id, toxic) marks, about ``rows`` of each label.
 
-    Nulls are left out. Labels are sampled first: what is sent to every task, and then to
-    the driver, are no more than the sample's ids and texts.
+    Nulls are left out; copies of a labelled text teach once. Texts of over ``TRAIN_CHARS`` characters
+    teach in pieces of that length, each with the document's label. Labels are sampled first: what is
+    sent to every task, and then to the driver, are no more than the sample's ids and texts.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", "toxic").distinct()
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, rows / sizes.get(1, 1))).otherwise(min(1.0, rows / sizes.get(0, 1)))
     draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20)) / (1 << 20)
-    sample = docs.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(known.where(draw < share)), "doc_id")
-    got = sample.select("doc_id", "text", "toxic").toPandas().sort_values(["doc_id", "text"])
+    sample = docs.where("text is not null").join(F.broadcast(known.where(draw < share)), "doc_id").select("doc_id", "text", "toxic")
+    pieces = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("text") / TRAIN_CHARS).cast("int") - 1, F.lit(0)))
+    cut = sample.select("doc_id", "toxic", "text", F.explode(pieces).alias("piece"))
+    text = F.substring("text", F.col("piece") * TRAIN_CHARS + 1, F.lit(TRAIN_CHARS)).alias("text")
+    alone = cut.select("doc_id", "toxic", "piece", text).groupBy("text", "toxic").agg(F.min(F.struct("doc_id", "piece")).alias("at"))
+    got = alone.select("at.doc_id", "at.piece", "text", "toxic").toPandas().sort_values(["doc_id", "piece", "text"])
     return train(list(got["text"]), list(got["toxic"]), epochs)
 
 
 def score(net: Network, text: Column | str = "text") -> Column:
-    """The score of each whole text, from 0 to 1: that of its highest window. Texts without a letter score 0."""
+    """The score of each whole text, from 0 to 1: that of its highest window, however long the text. Null texts and those without a letter score 0."""
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

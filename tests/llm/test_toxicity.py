@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -70,6 +71,79 @@ def test_learns_unseen_forms():
     assert np.mean((toxicity.sigmoid(logit) >= toxicity.THRESHOLD) == np.array(want)) > 0.95
 
 
+M64 = 2**64 - 1
+MIX, STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+
+def plain_word(word):
+    """(word bucket, n-gram buckets) of a word, number by number."""
+    total = 0
+    for depth, c in enumerate(word):
+        x = ((ord(c) + 1) * MIX + depth * STEP) & M64
+        x = (x ^ (x >> 29)) * STEP & M64
+        total = (total + (x ^ (x >> 32))) & M64
+    grams = []
+    padded = f" {word}" + " " * 5
+    for i in range(len(word)):
+        for size in (3, 4, 5):
+            x = 0
+            for c in padded[i : i + size]:
+                x = (x ^ ord(c)) * MIX & M64
+                x ^= x >> 31
+            grams.append(((x * STEP & M64) >> 40) % toxicity.GRAM_BUCKETS)
+    return total % toxicity.WORD_BUCKETS, grams
+
+
+def plain_score(net, text):
+    """The same network word by word, window by window."""
+    w, h = {k: v.astype(float) for k, v in net.w.items()}, toxicity.HIDDEN
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    vectors = []
+    for word in words:
+        bucket, grams = plain_word(word)
+        vectors.append(np.concatenate([w["word"][bucket], np.tanh(sum(w["gram"][g] for g in grams))]))
+    best = None
+    last = max(len(words) - toxicity.WINDOW, 0)
+    for start in sorted({min(k, last) for k in range(0, last + toxicity.STRIDE, toxicity.STRIDE)}) if words else []:
+        window = vectors[start : start + toxicity.WINDOW]
+        states = []
+        for side, order in ((0, window), (1, window[::-1])):
+            state, out = np.zeros(h), []
+            for x in order:
+                given, u = x @ w["in"][side] + w["bias"][side][0], state @ w["back"][side]
+                r, z = toxicity.sigmoid(given[:h] + u[:h]), toxicity.sigmoid(given[h : 2 * h] + u[h : 2 * h])
+                state = (1 - z) * np.tanh(given[2 * h :] + r * u[2 * h :]) + z * state
+                out.append(state)
+            states.append(out if side == 0 else out[::-1])
+        look = np.array([states[0][t] @ w["look"][0] + states[1][t] @ w["look"][1] for t in range(len(window))])
+        weight = np.exp(look - look.max())
+        value = np.array([states[0][t] @ w["out"][0] + states[1][t] @ w["out"][1] for t in range(len(window))])
+        logit = (weight * value).sum() / weight.sum() + w["out0"][0]
+        best = logit if best is None else max(best, logit)
+    return 0.0 if best is None else float(toxicity.sigmoid(best + net.shift))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_scores_word_by_word(spark, parts):
+    """Whatever texts lie in a batch beside it, a text scores what it scores alone."""
+    texts, labels = small(docs=60)
+    net = toxicity.train(texts, labels, epochs=2)
+    texts += [None, "", "12 !", "a", "Ünï çödé", "x" * 40, " ".join(f"badly {k} no" for k in range(100))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(parts)
+    got = {r["i"]: r["s"] for r in docs.select("i", toxicity.score(net).alias("s")).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx([plain_score(net, t) for t in texts], abs=1e-4)
+
+
+def test_long_labelled_texts_teach(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 50)
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, epochs: seen.update(zip(texts, labels, strict=True)))
+    long = "".join(chr(97 + i % 26) for i in range(120))
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, "short"), (4, None), (5, "")], "doc_id bigint, text string")
+    toxicity.fit(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1), (5, 0)], "doc_id bigint, toxic int"))
+    assert seen == {long[:50]: 1, long[50:100]: 1, long[100:]: 1, "short": 0, "": 0}
+
+
 def test_one_kind_of_label_or_none():
     for labels, side in (([0, 0], 0), ([1, 1], 1), ([], 0)):
         net = toxicity.train(["a b", "c"][: len(labels)], labels)
