@@ -23,8 +23,8 @@ from barhouse.llm.common import WORD, settled
 # words, one that differs often is all that a list's or a form's lines say.
 MIN_WORDS = 1
 MIN_EDIT_WORDS = 8
-# Classes with more than this share of all lines can't be more than so many, and are met without a shuffle.
-HOT_CLASSES = 4096
+# Classes with more than this share of all lines can't be more than so many; their lines are dealt out in parts.
+HOT_CLASSES, SALTS = 4096, 64
 # Bits of a word's term in a variant's hash: sums of 2^23 words fit a bigint. Two such sums make a hash.
 TERM_BITS = 40
 
@@ -150,10 +150,12 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     marked = classes.join(near, CLASS, "left").where("lines > 1 or near").select(*CLASS, "first", "near", "lines")
     total = classes.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
     is_hot = F.col("lines") > total // HOT_CLASSES
-    hot, rows = F.broadcast(marked.where(is_hot)), found.select("at", "text_id", *CLASS)
-    # The occurrences of a very common line stay where they are; the others meet their class.
-    others = rows.join(F.broadcast(marked.where(is_hot).select(*CLASS)), CLASS, "left_anti")
-    met = rows.join(hot, CLASS).unionByName(others.join(marked.where(~is_hot), CLASS))
+    hot = F.broadcast(classes.where(is_hot).select(*CLASS, F.lit(True).alias("hot")))
+    # The occurrences of a very common line are dealt out, and its class goes with each part.
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("at"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")
+    rows = found.select("at", "text_id", *CLASS).join(hot, CLASS, "left").select("at", "text_id", *CLASS, salt)
+    salts = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+    met = rows.join(marked.select(*CLASS, "first", "near", salts), [*CLASS, "salt"])
     gone = met.where((F.col("at") > F.col("first")) | F.col("near"))
     # Repeated rows give a place more than once.
     return gone.groupBy(F.col("at.doc_id").alias("doc_id"), "text_id").agg(F.sort_array(F.collect_set("at.line_no")).alias("removed"))
