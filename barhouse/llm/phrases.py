@@ -33,9 +33,11 @@ ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 # One word in so many starts a chunk.
 TRIGGER = 16
 # Chunks that a task remembers, n-grams that it sorts at a time, and bytes of text taken from a batch at a time.
-HELD_CHUNKS, HELD_GRAMS, CHUNK_BYTES = 1 << 18, 1 << 21, 4 << 20
+HELD_CHUNKS, HELD_GRAMS, CHUNK_BYTES = 1 << 18, 1 << 21, 3 << 20
 # Bits of the bitmap that tasks get, and of the parts in which it is put together.
 MARK_BITS, PART_BITS = 26, 15
+# Parts in which a language's phrases are ranked before all of them are.
+RANK_PARTS = 16
 
 CHUNK = "lang string, tail int, chunk string, own int, count bigint"
 
@@ -55,46 +57,46 @@ class Triggers(dict):
         return starts
 
 
-def parsed(text: bytes, triggers: Triggers, longest: int) -> Iterator[tuple[int, int, bytes]]:
-    """(words that belong to the next chunk, own words, chunk) of a text."""
+def parsed(text: bytes, triggers: Triggers, longest: int) -> Iterator[tuple[int, bytes]]:
+    """(words that belong to the next chunk, chunk) of a text."""
     for piece in text.translate(_FOLD).split(b"\n"):
         words = piece.split()
         if not words:
             continue
-        starts = [0, *(i for i, word in enumerate(words) if i and triggers[word]), len(words)]
-        for a, b in zip(starts, starts[1:], strict=False):
+        starts = [i for i, word in enumerate(words) if triggers[word]]
+        if not starts or starts == [0]:
+            yield 0, b" ".join(words)
+            continue
+        ends = [*starts[starts[0] == 0 :], len(words)]
+        a = 0
+        for b in ends:
             end = min(b + longest - 1, len(words))
-            yield end - b, b - a, b" ".join(words[a:end])
+            yield end - b, b" ".join(words[a:end])
+            a = b
 
 
 def dictionary(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     """(lang, tail, chunk, own, count): the different chunks, and how often the texts hold each."""
 
-    def rows(held: dict[tuple[str, int, int], Counter]) -> Iterator[pa.RecordBatch]:
-        for (lang, tail, own), counts in held.items():
+    def rows(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
             n = len(counts)
-            columns = [
-                pa.array([lang] * n, pa.string()),
-                pa.array(np.full(n, tail, np.int32)),
-                pa.array(list(counts), pa.binary()).cast(pa.string()),
-                pa.array(np.full(n, own, np.int32)),
-                pa.array(list(counts.values()), pa.int64()),
-            ]
+            chunk = pa.array([c for _, c in counts], pa.binary())
+            tail = np.array([t for t, _ in counts], np.int32)
+            words = np.array([c.count(b" ") + 1 for _, c in counts], np.int32)
+            columns = [pa.array([lang] * n, pa.string()), pa.array(tail), chunk.cast(pa.string()), pa.array(words - tail), pa.array(list(counts.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "tail", "chunk", "own", "count"])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        triggers, held, size = Triggers(), defaultdict(Counter), 0
+        triggers, held = Triggers(), defaultdict(Counter)
         for batch in batches:
             texts, langs = batch.column(0), batch.column(1).to_pylist()
             for a, b in chunks([x.as_py() or 0 for x in pa.compute.binary_length(texts)], CHUNK_BYTES):
                 for text, lang in zip(texts.slice(a, b - a).to_pylist(), langs[a:b], strict=True):
-                    found = Counter(parsed(text or b"", triggers, longest))
-                    for (tail, own, chunk), count in found.items():
-                        held[lang, tail, own][chunk] += count
-                    size += len(found)
-                if size > HELD_CHUNKS:
+                    held[lang].update(parsed(text or b"", triggers, longest))
+                if sum(map(len, held.values())) > HELD_CHUNKS:
                     yield from rows(held)
-                    held, size = defaultdict(Counter), 0
+                    held = defaultdict(Counter)
         yield from rows(held)
 
     texts = docs.select(F.col("text").cast("binary"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
@@ -137,8 +139,8 @@ class Grams:
         salts = np.array([crc32(x.encode()) << 20 for x in self.langs], np.uint64)
         self._salt = _mixed(salts)[self.lang]
         if len(Grams._up[0]) <= len(data):
-            Grams._up = [_powers(b, 2 * len(data)) for b in _BASES]
-            Grams._down = [_powers(pow(b, -1, 2**64), 2 * len(data)) for b in _BASES]
+            Grams._up = [_powers(b, len(data) + CHUNK_BYTES // 4) for b in _BASES]
+            Grams._down = [_powers(pow(b, -1, 2**64), len(data) + CHUNK_BYTES // 4) for b in _BASES]
         self._data, self._sums = data, {}
 
     def prints(self, at: np.ndarray, words: int, which: int = 0) -> np.ndarray:
@@ -150,9 +152,17 @@ class Grams:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
+    """Chunks of about ``CHUNK_BYTES`` at a time, however the rows come."""
+    held, size = [], 0
     for batch in batches:
         for a, b in chunks([x.as_py() for x in pa.compute.binary_length(batch.column("chunk"))], CHUNK_BYTES):
-            yield Grams(batch.slice(a, b - a))
+            held.append(batch.slice(a, b - a))
+            size += pa.compute.sum(pa.compute.binary_length(held[-1].column("chunk"))).as_py() or 0
+            if size >= CHUNK_BYTES:
+                yield Grams(pa.concat_batches(held))
+                held, size = [], 0
+    if held and sum(map(len, held)):
+        yield Grams(pa.concat_batches(held))
 
 
 def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,9 +201,22 @@ def frequent_marks(chunk_counts: DataFrame, least: int) -> np.ndarray:
         bits[table.column("bit").to_numpy() & (1 << PART_BITS) - 1] = True
         return pa.table({"part": table.column("part")[:1], "bits": [np.packbits(bits).tobytes()]})
 
-    counted = chunk_counts.mapInArrow(count, "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
-    bit = F.pmod("key", F.lit(1 << MARK_BITS)).alias("bit")
-    bits = counted.where(F.col("count") >= least).select(bit).distinct().withColumn("part", F.shiftright("bit", PART_BITS))
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bits of keys whose counts add up to enough; rows of a key lie together, and only its last row is carried on."""
+        last = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            keys, counts = (np.append(x, y.to_numpy()) for x, y in zip(last, batch.columns, strict=True))
+            first, sums = _summed([keys], counts)
+            yield _bits(keys[first][:-1][sums[:-1] >= least])
+            last = keys[first][-1:], sums[-1:]
+        yield _bits(last[0][last[1] >= least])
+
+    def _bits(keys: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys & (1 << MARK_BITS) - 1)], ["bit"])
+
+    # Nearly all keys are rare and alike in number: adding them up before the shuffle would only cost.
+    dealt = chunk_counts.mapInArrow(count, "key bigint, count bigint").repartition("key").sortWithinPartitions("key")
+    bits = dealt.mapInArrow(often, "bit bigint").distinct().withColumn("part", F.shiftright("bit", PART_BITS))
     marks = np.zeros((1 << MARK_BITS - PART_BITS, 1 << PART_BITS - 3), np.uint8)
     for row in bits.groupBy("part").applyInArrow(join, "part bigint, bits binary").collect():
         marks[row["part"]] = np.frombuffer(row["bits"], np.uint8)
@@ -266,8 +289,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     score = F.expr("(1000 * cast(a as decimal(38, 0)) * n) div (cast(l as decimal(38, 0)) * r)")
     scored = cuts.join(heads, ["lang", "head"]).join(rests, ["lang", "rest"]).join(words, "lang").withColumn("score", score)
     least_tied = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("cut")).select("lang", "phrase", "cut.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = least_tied.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # First in parts, so that however many tasks there are, a language's last ranking sees a bounded number.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    parted = least_tied.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    best = parted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
 
 
