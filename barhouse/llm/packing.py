@@ -28,7 +28,9 @@ from barhouse.llm.common import chunks, ranked, settled
 WINDOW = 4096
 END_ID = 2
 # Marks that the tokenizer parts from a letter before them.
-MARKS = (b",", b".")
+MARKS = b",."
+# Words encoded as one text.
+TOGETHER = 200
 # Words whose ids a task remembers before it starts afresh, and bytes of text encoded at a time.
 CACHE_WORDS = 1 << 19
 CHUNK_BYTES = 4 << 20
@@ -37,9 +39,10 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 def tokenizers_of(file: str) -> tuple:
-    """The tokenizer, and one without normalisation that gives the same ids for lower-case letters; None if the file isn't of that kind.
+    """The tokenizer; one without normalisation that gives the same ids for lower-case letters; and which ids end a word of it.
 
-    The second one is for a file that cuts at everything but letters and then only maps bytes.
+    The last two are None unless the file cuts at everything but letters, then only maps
+    bytes, and marks the ends of words.
     """
     from tokenizers import Tokenizer
 
@@ -49,9 +52,14 @@ def tokenizers_of(file: str) -> tuple:
         data = json.load(f)
     steps = (data["pre_tokenizer"] or {}).get("pretokenizers", [])
     kinds = [step["type"] for step in steps]
-    if kinds != ["Split", "ByteLevel"] or "[\\p{L}]+" not in steps[0]["pattern"].get("Regex", "") or steps[1]["use_regex"]:
-        return whole, None
-    return whole, Tokenizer.from_str(json.dumps({**data, "normalizer": None, "pre_tokenizer": steps[1]}))
+    suffix = data["model"].get("end_of_word_suffix")
+    if not suffix or kinds != ["Split", "ByteLevel"] or "[\\p{L}]+" not in steps[0]["pattern"].get("Regex", "") or steps[1]["use_regex"]:
+        return whole, None, None
+    apart = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, steps[1]]}
+    vocab = data["model"]["vocab"]
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[number for token, number in vocab.items() if token.endswith(suffix)]] = True
+    return whole, Tokenizer.from_str(json.dumps({**data, "normalizer": None, "pre_tokenizer": apart})), ends
 
 
 def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -66,8 +74,12 @@ class Stretches:
     def __init__(self, first: list[int]):
         self.flat, self.starts, self.lengths = np.array(first, "<u4"), np.array([0], np.int64), np.array([len(first)], np.int64)
 
-    def append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+    def append(self, flat: np.ndarray, lengths: np.ndarray, order: np.ndarray | None = None) -> None:
+        """More runs, to be numbered as they lie or in the given order."""
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        if order is not None:
+            starts, lengths = starts[order], lengths[order]
+        self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat])
 
@@ -75,8 +87,22 @@ class Stretches:
         return _gathered(self.flat, self.starts[numbers], self.lengths[numbers])
 
 
-class WordIds(dict):
-    """Word (bytes) to its number; the ids of all numbered words lie end to end.
+class Numbers(dict):
+    """Bytes to a number; those that are new are listed."""
+
+    def __init__(self, first: bytes | None = None):
+        super().__init__({} if first is None else {first: 0})
+        self._first = 1 - len(self)
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        self.new.append(key)
+        number = self[key] = len(self) + self._first
+        return number
+
+
+class WordIds:
+    """The ids of words, of which each is encoded once.
 
     The tokenizer never joins characters across white space, so a text's ids
     are those of its words. Number 0 stands for the end of a document. It also
@@ -85,62 +111,63 @@ class WordIds(dict):
     """
 
     def __init__(self, tokenizer_file: str):
-        self._whole, self._letters = tokenizers_of(tokenizer_file)
+        self._whole, self._letters, self._ends = tokenizers_of(tokenizer_file)
         self._forget()
 
     def _forget(self) -> None:
-        self.clear()
-        self._new: list[bytes] = []
-        self._words = Stretches([END_ID])
+        self._numbers, self._words = Numbers(), Stretches([END_ID])
         # Bare forms and marks; number 0 is the absent mark.
-        self._bare: dict[bytes, int] = {b"": 0}
-        self._forms = Stretches([])
-
-    def __missing__(self, word: bytes) -> int:
-        self._new.append(word)
-        number = self[word] = len(self) + 1
-        return number
+        self._bare, self._forms = Numbers(b""), Stretches([])
 
     def _encode(self, forms: list[bytes]) -> None:
-        texts = [w.decode() for w in forms]
-        plain = [self._letters is not None and w.isalpha() and (w.islower() if w.isascii() else w == w.lower() and is_normalized("NFC", w)) for w in texts]
-        found: list = [None] * len(texts)
-        for kind, tokenizer in ((True, self._letters), (False, self._whole)):
-            which = [i for i, p in enumerate(plain) if p is kind]
-            done = tokenizer.encode_batch_fast([texts[i] for i in which], add_special_tokens=False) if which else []
-            for i, e in zip(which, done, strict=True):
-                found[i] = e.ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._forms.append(np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum())), lengths)
+        words = b"\n".join(forms).decode().split("\n")
+        light = []
+        if self._letters is not None:
+            light = [i for i, w in enumerate(words) if w.isalpha() and (w.islower() if w.isascii() else w == w.lower() and is_normalized("NFC", w))]
+        rest = np.ones(len(words), bool)
+        rest[light] = False
+        rest = np.flatnonzero(rest).tolist()
+        flat, lengths = self._light([words[i] for i in light])
+        found = [e.ids for e in self._whole.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        others = np.fromiter(chain.from_iterable(found), "<u4", int(counts.sum()))
+        self._forms.append(np.concatenate([flat, others]), np.concatenate([lengths, counts]), np.argsort(np.array(light + rest)))
+
+    def _light(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of lower-case letters end to end, and how many each has: many are encoded as one text, each up to the id that ends it."""
+        texts = [" ".join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        found = [np.array(e.ids, "<u4") for e in self._letters.encode_batch_fast(texts, add_special_tokens=False)] if words else []
+        flat = np.concatenate([np.empty(0, "<u4"), *found])
+        return flat, np.diff(np.flatnonzero(self._ends[flat]), prepend=-1) if words else np.empty(0, np.int64)
 
     def _learn(self) -> None:
-        bare, unknown = self._bare, []
-        pairs = np.zeros((len(self._new), 2), np.int64)
-        for k, word in enumerate(self._new):
-            marked = word[-1:] in MARKS and word[-2:-1].isalpha()
-            for place, form in enumerate((word[:-1], word[-1:]) if marked else (word,)):
-                number = bare.get(form)
-                if number is None:
-                    number = bare[form] = len(bare)
-                    unknown.append(form)
-                pairs[k, place] = number
-        self._encode(unknown)
+        new, self._numbers.new = self._numbers.new, []
+        # The last two bytes of each word; words of one byte are no bare form with a mark.
+        data = np.frombuffer(b"\n\n" + b"\n".join(new), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) + 1) + 1
+        last, before = data[ends - 1], data[ends - 2] | 32
+        marks = np.where((before >= 97) & (before <= 122), np.select([last == MARKS[0], last == MARKS[1]], [1, 2]), 0)
+        forms = [w[:-1] if m else w for w, m in zip(new, marks.tolist(), strict=True)]
+        pairs = np.array([*map(self._bare.__getitem__, forms)], np.int64), np.array([0, *(self._bare[bytes([m])] for m in MARKS)])[marks]
+        unknown, self._bare.new = self._bare.new, []
+        if unknown:
+            self._encode(unknown)
+        pairs = np.column_stack(pairs)
         self._words.append(self._forms.of(pairs.ravel()), self._forms.lengths[pairs].sum(axis=1))
-        self._new = []
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by the end id, and how many each has."""
-        if len(self) > CACHE_WORDS:
+        if len(self._numbers) > CACHE_WORDS:
             self._forget()
         numbers: list[int] = []
         counts = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             before = len(numbers)
             # Folding is left to the tokenizer where the text may name one of its special tokens.
-            numbers.extend(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+            numbers.extend(map(self._numbers.__getitem__, (text if b"<|" in text else text.lower()).split()))
             numbers.append(0)
             counts[k] = len(numbers) - before
-        if self._new:
+        if self._numbers.new:
             self._learn()
         words = np.array(numbers, np.int64)
         lengths = self._words.lengths[words]
