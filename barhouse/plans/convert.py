@@ -62,7 +62,7 @@ def convert_text(
     rows = lambda days: drop_copies(read_text(spark, ds, text_root, days=days))
     if apart:
         handed = Observation()
-        write_rows(with_period(rows(apart), ds, "day"), ds, root, observation=handed if remember else None)
+        write_rows(with_period(rows(apart), ds, "day"), ds, root, layout="rebalance", observation=handed if remember else None)
         if remember:
             _remember(spark, ds, root, apart, stamps, handed)
     if inside:

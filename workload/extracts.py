@@ -8,6 +8,7 @@ from barhouse import compact_months, compact_years, extract_day, extract_minute,
 from barhouse.datasets import GRAINS
 from barhouse.operators.reports import month_groups
 from barhouse.plans.compact import due_months
+from barhouse.plans.narrow import write_narrow
 from barhouse.session import scratch_dir
 from barhouse.sources.periods import period_manifest, resolve_tiers
 from workload import lakes, views as v
@@ -138,7 +139,19 @@ def compacted_year(spark: SparkSession, sf: str) -> DataFrame:
     return read_range(spark, "KR-1d", root, *ALL_BARS)
 
 
+def narrow_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars to 1998 in months as narrow as they allow, those after in wide ones."""
+
+    def build(root: str) -> None:
+        bars, early = v.bars(spark, sf), F.year("date") <= 1998
+        write_narrow(bars.where(early), "KR-1d", root)
+        write_days(bars.where(~early), "KR-1d", root, grain="month")
+
+    return read_range(spark, "KR-1d", lakes.shared(spark, sf, "narrow-bars", build), *ALL_BARS)
+
+
 QUERIES = {
+    "extract_narrow": narrow_rows,
     "extract_minute": minute_rows,
     "extract_symbol": one_symbol,
     "extract_day": day_rows,
@@ -163,6 +176,7 @@ _CUSTOMERS = "(select lpad(cast(c_custkey as varchar), greatest(6, length(cast(c
 _UNFINISHED = "select * from bars where year(date) >= 2001"
 
 ORACLES = {
+    "extract_narrow": f"with {v.BARS} select * from bars",
     "extract_minute": f"""with {v.TICKS} select * from ticks where symbol in {_CUSTOMERS}
         and dt between timestamp '2024-01-05 06:30:00' and timestamp '2024-01-20 23:59:59'""",
     "extract_symbol": f"with {v.TICKS} select * from ticks where symbol = '000008'",
