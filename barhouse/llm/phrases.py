@@ -231,28 +231,48 @@ def counted_phrases(chunk_counts: DataFrame, least: int, longest: int) -> DataFr
         bit = (prints & np.uint64((1 << MARK_BITS) - 1)).astype(np.int64)
         return (shared.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1).astype(bool)
 
+    def found_in(grams: Grams) -> Iterator[tuple]:
+        """(two fingerprints, language, words, count, text) of the different n-grams that may be frequent."""
+        pair = np.zeros(len(grams.starts), bool)
+        at = np.flatnonzero(grams.left >= 2)
+        pair[at] = marked(grams.prints(at, 2))
+        at = np.arange(len(grams.starts))
+        for words in range(1, longest + 1):
+            # Starts of runs of so many words that hold marked pairs only.
+            at = at[grams.left[at] >= words]
+            at = at[marked(grams.prints(at, 1))] if words == 1 else at[pair[at + words - 2]]
+            own = at[grams.own[at]]
+            prints = [grams.prints(own, words), grams.prints(own, words, 1)]
+            first, sums = _summed([*prints, grams.lang[own]], grams.count[own])
+            rows = own[first]
+            spans = zip(grams.starts[rows].tolist(), grams.ends[rows + words - 1].tolist(), strict=True)
+            text = pa.array([grams.text[a:b] for a, b in spans], pa.binary())
+            yield *(x[first] for x in prints), grams.lang[rows], np.full(len(rows), words, np.int32), sums, text
+
+    def joined(held: list[tuple]) -> tuple:
+        keys = [np.concatenate(x) for x in list(zip(*held, strict=True))[:4]]
+        first, sums = _summed(keys[:3], np.concatenate([x[4] for x in held]))
+        return *(k[first] for k in keys), sums, pa.concat_arrays([x[5] for x in held]).take(pa.array(first))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(found: tuple) -> pa.RecordBatch:
+            _, _, lang, words, sums, text = found
+            named = pa.array(list(langs), pa.string()).take(pa.array(lang))
+            return pa.RecordBatch.from_arrays([named, text.cast(pa.string()), pa.array(words), pa.array(sums)], ["lang", "phrase", "words", "f"])
+
+        langs: dict[str, int] = {}
+        held, size = [], 0
         for grams in _batches(batches):
-            n = len(grams.starts)
-            pair = np.zeros(n, bool)
-            at = np.flatnonzero(grams.left >= 2)
-            pair[at] = marked(grams.prints(at, 2))
-            at = np.arange(n)
-            for words in range(1, longest + 1):
-                # Starts of runs of so many words that hold marked pairs only.
-                at = at[grams.left[at] >= words]
-                at = at[marked(grams.prints(at, 1))] if words == 1 else at[pair[at + words - 2]]
-                own = at[grams.own[at]]
-                first, sums = _summed([grams.prints(own, words), grams.prints(own, words, 1), grams.lang[own]], grams.count[own])
-                rows = own[first]
-                spans = zip(grams.starts[rows].tolist(), grams.ends[rows + words - 1].tolist(), strict=True)
-                columns = [
-                    pa.array([grams.langs[k] for k in grams.lang[rows].tolist()], pa.string()),
-                    pa.array([grams.text[a:b] for a, b in spans], pa.binary()).cast(pa.string()),
-                    pa.array(np.full(len(rows), words, np.int32)),
-                    pa.array(sums),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "f"])
+            grams.lang = np.array([langs.setdefault(x, len(langs)) for x in grams.langs], np.int64)[grams.lang]
+            held += found_in(grams)
+            size = sum(len(x[4]) for x in held)
+            if size > HELD_GRAMS:
+                held = [joined(held)]
+                if len(held[0][4]) > HELD_GRAMS // 2:
+                    yield rows(held[0])
+                    held = []
+        if held:
+            yield rows(joined(held))
 
     found = chunk_counts.mapInArrow(count, "lang string, phrase string, words int, f bigint")
     return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
