@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import json
 import os
+import threading
+import time
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain
 from unicodedata import is_normalized
@@ -31,8 +34,9 @@ END_ID = 2
 MARKS = b",."
 # Words encoded as one text.
 TOGETHER = 200
-# Words whose ids a task remembers before it starts afresh, and bytes of text encoded at a time.
-CACHE_WORDS = 1 << 19
+# Words whose ids a worker remembers before it starts afresh, seconds without a task after which it forgets them, and bytes of text encoded at a time.
+CACHE_WORDS = 3 << 18
+IDLE_SECONDS = 4
 CHUNK_BYTES = 4 << 20
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -64,23 +68,23 @@ def tokenizers_of(file: str) -> tuple:
 
 def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` one after another."""
-    ends = np.cumsum(lengths)
-    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+    ends = np.cumsum(lengths, dtype=np.int32)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
 
 
 class Stretches:
-    """Numbered runs of ids, end to end."""
+    """Numbered runs of ids, end to end; 32 bits hold any place in what is remembered."""
 
     def __init__(self, first: list[int]):
-        self.flat, self.starts, self.lengths = np.array(first, "<u4"), np.array([0], np.int64), np.array([len(first)], np.int64)
+        self.flat, self.starts, self.lengths = np.array(first, "<u4"), np.array([0], np.int32), np.array([len(first)], np.int32)
 
     def append(self, flat: np.ndarray, lengths: np.ndarray, order: np.ndarray | None = None) -> None:
         """More runs, to be numbered as they lie or in the given order."""
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         if order is not None:
             starts, lengths = starts[order], lengths[order]
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
         self.flat = np.concatenate([self.flat, flat])
 
     def of(self, numbers: np.ndarray) -> np.ndarray:
@@ -169,12 +173,34 @@ class WordIds:
             counts[k] = len(numbers) - before
         if self._numbers.new:
             self._learn()
-        words = np.array(numbers, np.int64)
-        lengths = self._words.lengths[words]
+        words = np.array(numbers, np.int32)
+        lengths = self._words.lengths[words].astype(np.int64)
         totals = np.add.reduceat(lengths, np.cumsum(counts) - counts) if len(counts) else counts
         return self._words.of(words), totals
 
 
+_SHELF: dict[str, tuple[float, WordIds]] = {}
+
+
+@contextmanager
+def known_words(tokenizer_file: str) -> Iterator[WordIds]:
+    """What this worker process knows of a tokenizer: its next task goes on from there, unless that is long in coming."""
+    _, known = _SHELF.pop(tokenizer_file, (0, None))
+    known = known or WordIds(tokenizer_file)
+    yield known
+    _SHELF[tokenizer_file] = time.monotonic(), known
+    timer = threading.Timer(IDLE_SECONDS + 1, _clear_shelf)
+    timer.daemon = True
+    timer.start()
+
+
+def _clear_shelf() -> None:
+    """Other jobs on the worker get the memory back."""
+    for file, (since, _) in list(_SHELF.items()):
+        if time.monotonic() - since > IDLE_SECONDS:
+            _SHELF.pop(file, None)
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW) -> DataFrame:
     """Tokenize whole texts and cut each into full windows and a rest.
 
@@ -182,23 +208,23 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, window: int = WINDOW) ->
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer_file)
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            sizes = [x.as_py() or 0 for x in pa.compute.binary_length(texts)]
-            for a, b in chunks(sizes, CHUNK_BYTES):
-                ids, totals = known.encode([x or b"" for x in texts.slice(a, b - a).to_pylist()])
-                rows = -(-totals // window)
-                doc = np.repeat(np.arange(b - a), rows)
-                start = (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows)) * window
-                length = np.minimum(window, totals[doc] - start)
-                at = (np.cumsum(totals) - totals)[doc] + start
-                crc = [zlib.crc32(ids[x : x + n]) for x, n in zip(at.tolist(), length.tolist(), strict=True)]
-                columns = [
-                    batch.column(0).slice(a, b - a).take(pa.array(doc)),
-                    *(pa.array(x, pa.int64()) for x in (start, length, crc, totals[doc])),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, PIECES.replace(" bigint", "").split(", "))
+        with known_words(tokenizer_file) as known:
+            for batch in batches:
+                texts = batch.column(1).cast(pa.binary())
+                sizes = [x.as_py() or 0 for x in pa.compute.binary_length(texts)]
+                for a, b in chunks(sizes, CHUNK_BYTES):
+                    ids, totals = known.encode([x or b"" for x in texts.slice(a, b - a).to_pylist()])
+                    rows = -(-totals // window)
+                    doc = np.repeat(np.arange(b - a), rows)
+                    start = (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows)) * window
+                    length = np.minimum(window, totals[doc] - start)
+                    at = (np.cumsum(totals) - totals)[doc] + start
+                    crc = [zlib.crc32(ids[x : x + n]) for x, n in zip(at.tolist(), length.tolist(), strict=True)]
+                    columns = [
+                        batch.column(0).slice(a, b - a).take(pa.array(doc)),
+                        *(pa.array(x, pa.int64()) for x in (start, length, crc, totals[doc])),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, PIECES.replace(" bigint", "").split(", "))
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(encode, PIECES)
 

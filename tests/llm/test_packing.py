@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -50,6 +51,19 @@ def test_marks_and_letters(text):
     assert KNOWN.encode([text.encode()])[0].tolist() == whole_ids(text).tolist()
 
 
+def test_words_are_known_to_the_next_task_and_forgotten_when_idle(monkeypatch):
+    monkeypatch.setattr(packing, "IDLE_SECONDS", 0.3)
+    with packing.known_words(FILE) as known:
+        known.encode([b"some words"])
+    with packing.known_words(FILE) as again:
+        assert again is known
+    time.sleep(2)
+    assert not packing._SHELF
+    with pytest.raises(OSError), packing.known_words(FILE):
+        raise OSError
+    assert not packing._SHELF  # what a task that failed has left may be half learned
+
+
 def plain_best_fit(lengths, window):
     """Best-fit decreasing, one piece after the other; how full each window is."""
     full = []
