@@ -407,7 +407,8 @@ def drop_repeats(docs: DataFrame, span: int = SPAN, batches: int = BATCHES, pref
 
     Earlier is in a document of smaller doc_id, or in the same one at an earlier place.
     Strings are judged on the input; overlaps count. Returns all columns, and kept (binary,
-    what is left; a character may lose some of its bytes), n_bytes, n_removed, n_spans.
+    what is left; a character may lose some of its bytes), n_bytes, n_removed, n_spans, in
+    the place of columns that are already called so.
 
     A null text is empty. Documents without an id come after all others and count as one,
     as do rows that share a doc_id: equal rows all lose what the first of them loses, and of
@@ -436,7 +437,7 @@ def drop_repeats(docs: DataFrame, span: int = SPAN, batches: int = BATCHES, pref
         return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *map(pa.array, counts)], extra)
 
     done = joined.withColumn("__cut", cut("text", "spans"))
-    return done.select("__row.*", *(F.col(f"__cut.{c}").alias(c) for c in extra))
+    return done.select(*(F.col(f"__row.{c}").alias(c) for c in docs.columns if c not in extra), *(F.col(f"__cut.{c}").alias(c) for c in extra))
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:

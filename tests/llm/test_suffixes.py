@@ -130,6 +130,11 @@ def test_awkward_documents(spark):
     assert suffixes.repeat_report(empty(spark)).count() == 0
 
 
+def test_columns_called_like_the_results_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "x", "k", "s", 5)], "doc_id bigint, text string, kept string, spans string, mark int")
+    assert suffixes.drop_repeats(docs).collect() == [(1, "x", "s", 5, bytearray(b"x"), 1, 0, 0)]
+
+
 def test_ids_all_missing(spark):
     docs = awkward(spark).withColumn("doc_id", F.lit(None).cast("bigint"))
     assert suffixes.repeat_report(docs).count() == len(ROWS)
