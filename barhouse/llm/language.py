@@ -131,7 +131,8 @@ def infer(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray
 def predict(model: Model, text: Column | str = "text") -> Column:
     """Struct (lang_pred, score): the language with the largest proportion and that proportion.
 
-    ``und`` with score 0 if the text is null or has no letter, or nothing was learned.
+    All words of a text count, however long it is. ``und`` with score 0 if the text is null or
+    has no letter, or nothing was learned.
     Ties go to the language that sorts first.
     """
     names = np.array([*model.languages, UNKNOWN], object)

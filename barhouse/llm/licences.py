@@ -171,7 +171,8 @@ def recognise(text: Column | str = "text") -> Column:
     A known sentence is found whole, however it is broken into lines, comment signs before them or not.
     ``sentence_ids`` are the identifiers in order, each in angle brackets, ``<?>`` for any other piece of a line
     that speaks of licences. ``licences`` are those whose rules matched, in the order
-    of the rules; ``unmatched`` counts identifiers that no rule used. Null and empty texts have none.
+    of the rules; ``unmatched`` counts identifiers that no rule used. Null and empty texts have none; long
+    ones are looked at whole.
     """
     text = F.col(text) if isinstance(text, str) else text
 

@@ -232,7 +232,7 @@ def passes(rules: Sequence[Rule], text: Column | str = "text") -> Column:
 def measured(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """doc_id, the base measures, base_failed and kept, for documents (doc_id, text).
 
-    A null text has no words. Base measures are made for all; the other rules see a document
+    A null text has no words; long texts are measured whole. Base measures are made for all; the other rules see a document
     only if the base rules and all rules before passed it. Repeated rows give repeated rows.
     """
     further = [r for r in rules if not r.base]
