@@ -145,8 +145,10 @@ def _dies(monkeypatch, method, after):
     monkeypatch.setattr(Files, method, step)
 
 
-@pytest.mark.parametrize("method, after", [("touch", 0), ("rename", 0), ("rename", 2), ("rename", 4), ("rename", 5), ("delete", 2)])
-@pytest.mark.parametrize("compacted", [False, True])
+@pytest.mark.parametrize(
+    "method, after, compacted",
+    [("touch", 0, False), ("rename", 0, False), ("rename", 2, False), ("rename", 2, True), ("rename", 5, False), ("rename", 5, True), ("delete", 2, True)],
+)
 def test_a_crash_between_write_and_commit_loses_and_copies_nothing(spark, tmp_path, monkeypatch, method, after, compacted):
     rows = [at(9, m, 100 + m, day=d) for d in range(2, 7) for m in range(3)]
     land(spark, tmp_path, rows[:3], "a")
