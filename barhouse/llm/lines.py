@@ -36,8 +36,11 @@ def _lines(text: Column) -> Column:
 
 
 def _words(line: Column) -> Column:
-    """Runs of characters other than the six ASCII spaces; cutting at one kind of space takes no regular expression."""
-    return F.array_remove(F.split(F.translate(line, "\t\n\x0b\x0c\r", " " * 5), " "), "")
+    """Runs of characters other than the six ASCII spaces; a line with blanks only takes no regular expression."""
+    other = F.lit(False)
+    for space in "\t\x0b\x0c\r":
+        other = other | F.contains(line, F.lit(space))
+    return F.when(other, F.regexp_extract_all(line, F.lit(WORD), F.lit(0))).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -45,8 +48,8 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(_lines(F.col("text"))).alias("line_no", "line"))
     rows = rows.select("doc_id", "text_id", "line_no", _words(F.col("line")).alias("w")).withColumn("n", F.size("w")).where(F.col("n") >= min_words)
     less, more = F.floor(F.col("n") / 2).cast("int"), F.ceil(F.col("n") / 2).cast("int")
-    halves = [F.xxhash64(F.lit(side), F.slice("w", start, size)) for size in (less, more) for side, start in ((0, F.lit(1)), (1, F.col("n") - size + 1))]
-    keys = F.when(F.col("n") >= MIN_EDIT_WORDS, F.array_distinct(F.array(*halves)))
+    shorter, longer = ([F.xxhash64(F.lit(side), F.slice("w", start, size)) for side, start in ((0, F.lit(1)), (1, F.col("n") - size + 1))] for size in (less, more))
+    keys = F.when(F.col("n") >= MIN_EDIT_WORDS, F.when(less == more, F.array(*shorter)).otherwise(F.array(*shorter, *longer)))
     return rows.select(
         F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no").alias("at"),
         "text_id", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), keys.alias("keys"),
