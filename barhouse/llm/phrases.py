@@ -33,7 +33,7 @@ ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 # One word in so many starts a chunk.
 TRIGGER = 16
 # Chunks that a task remembers, n-grams that it sorts at a time, and bytes of text taken from a batch at a time.
-HELD_CHUNKS, HELD_GRAMS, CHUNK_BYTES = 1 << 18, 1 << 21, 3 << 20
+HELD_CHUNKS, HELD_GRAMS, CHUNK_BYTES = 1 << 18, 1 << 20, 1 << 20
 # Bits of the bitmap that tasks get, and of the parts in which it is put together.
 MARK_BITS, PART_BITS = 26, 15
 # Parts in which a language's phrases are ranked before all of them are.
@@ -51,7 +51,7 @@ class Triggers(dict):
     """Word (bytes) to whether it starts a chunk."""
 
     def __missing__(self, word: bytes) -> bool:
-        if len(self) >= HELD_CHUNKS:
+        if len(self) >= HELD_CHUNKS // 2:
             self.clear()
         starts = self[word] = crc32(word) % TRIGGER == 0
         return starts
