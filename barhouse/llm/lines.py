@@ -45,8 +45,11 @@ def _words(line: Column) -> Column:
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Each line of at least ``min_words`` words: its document, place, class, and keys of its halves."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(_lines(F.col("text"))).alias("line_no", "line"))
-    rows = rows.select("doc_id", "text_id", "line_no", _words(F.col("line")).alias("w")).withColumn("n", F.size("w")).where(F.col("n") >= min_words)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), _lines(F.col("text")).alias("lines"))
+    # A line without a word is told by its first characters; a count of words here would cut every line twice.
+    rows = texts.select("doc_id", "text_id", F.posexplode("lines").alias("line_no", "line")).where(F.col("line").rlike(WORD))
+    rows = rows.select("doc_id", "text_id", "line_no", _words(F.col("line")).alias("w")).withColumn("n", F.size("w"))
+    rows = rows.where(F.col("n") >= min_words) if min_words > 1 else rows
     less, more = F.floor(F.col("n") / 2).cast("int"), F.ceil(F.col("n") / 2).cast("int")
     shorter, longer = ([F.xxhash64(F.lit(side), F.slice("w", start, size)) for side, start in ((0, F.lit(1)), (1, F.col("n") - size + 1))] for size in (less, more))
     keys = F.when(F.col("n") >= MIN_EDIT_WORDS, F.when(less == more, F.array(*shorter)).otherwise(F.array(*shorter, *longer)))
