@@ -35,7 +35,7 @@ MARKS = b",."
 # Words encoded as one text.
 TOGETHER = 200
 # Words whose ids a worker remembers before it starts afresh, seconds without a task after which it forgets them, and bytes of text encoded at a time.
-CACHE_WORDS = 3 << 18
+CACHE_WORDS = 1 << 18
 IDLE_SECONDS = 4
 CHUNK_BYTES = 4 << 20
 
