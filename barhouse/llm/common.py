@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -30,6 +31,18 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffle files of a finished write at once: what is read later is read from the written files."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; none for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

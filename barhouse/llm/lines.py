@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barhouse.llm.common import WORD, settled
+from barhouse.llm.common import WORD, settled, shuffles_freed
 
 # Every line with a word can be a duplicate. Below the second length it must match exactly: of seven
 # words, one that differs often is all that a list's or a form's lines say.
@@ -124,8 +124,9 @@ def _without(words: str, place: Column) -> Column:
 
 def near_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(h1, h2) of classes within one edit of a class that begins earlier."""
-    lines = settled(_with_words(docs, classes.join(_candidates(classes), CLASS, "left_semi")), "line-words")
-    pairs = _pairs(settled(_variants(lines), "variants"))
+    with shuffles_freed(docs.sparkSession):
+        lines = settled(_with_words(docs, classes.join(_candidates(classes), CLASS, "left_semi")), "line-words")
+        pairs = _pairs(settled(_variants(lines), "variants"))
     early = lines.select(F.col("h1").alias("early"), F.col("w").alias("we"))
     late = lines.select(F.col("h1").alias("late"), *CLASS, F.col("w").alias("wl"))
     # Words to compare go with each pair, so a line meets the others one pair at a time.
@@ -153,7 +154,9 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.min(F.struct("at", "text_id")).alias("f"), F.count("*").alias("lines"), F.min("n").alias("n"), F.min("keys").alias("keys")
     )
     classes = settled(classes.select(*CLASS, F.col("f.at").alias("first"), F.col("f.text_id").alias("text_id"), "lines", "n", "keys"), "classes")
-    near = settled(near_classes(docs, classes).withColumn("near", F.lit(True)), "near")
+    close = near_classes(docs, classes).withColumn("near", F.lit(True))
+    with shuffles_freed(docs.sparkSession):
+        near = settled(close, "near")
     marked = classes.join(near, CLASS, "left").where("lines > 1 or near").select(*CLASS, "first", "near", "lines")
     total = classes.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
     is_hot = F.col("lines") > total // HOT_CLASSES

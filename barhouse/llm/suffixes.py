@@ -20,15 +20,13 @@ window by window. Fingerprints of 128 bits decide, in both steps.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from barhouse.files import Files
-from barhouse.llm.common import chunks, settled
+from barhouse.llm.common import chunks, settled, shuffles_freed
 
 SPAN = 100
 BATCHES = 4
@@ -253,18 +251,6 @@ def merge_scan(rows: DataFrame, span: int) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h", "c", "doc", "at").mapInArrow(scan, ROW)
 
 
-@contextmanager
-def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Spark drops the shuffle files of a finished write at once: what is read later is read from the written files."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 @dataclass
 class Family:
     """Sorted arrays by size, largest first; a size is a number of batches."""
@@ -287,7 +273,7 @@ class Family:
         for array, kind in [*((x, MERGED) for x in merged), *((x, STAYS) for _, x in self.arrays)]:
             rows = rows.unionByName(array.withColumn("kind", F.lit(kind).cast("tinyint")))
         scanned = merge_scan(rows, self.span)
-        with _shuffles_freed(docs.sparkSession):
+        with shuffles_freed(docs.sparkSession):
             out = settled(scanned.where(F.col("kind") != NEW) if last else scanned, "suffixes")
         if not last:
             self.arrays.append((size, out.where(F.col("kind") == NEW)))
@@ -395,7 +381,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, batches: int = BATCHES, pr
     for more in found[1:]:
         rows = rows.unionByName(more)
     blocks = block_rows(rows.where(F.col("kind") == SHARED), texts, span, prefix)
-    with _shuffles_freed(docs.sparkSession):
+    with shuffles_freed(docs.sparkSession):
         windows = settled(merge_scan(window_rows(blocks, span), span).where(F.col("kind") == GONE), "windows")
     gone = rows.where(F.col("kind") == GONE).unionByName(windows)
     mark = F.col("at").bitwiseAND(F.lit((1 << MARK_BITS) - 1))
