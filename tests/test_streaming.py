@@ -132,6 +132,16 @@ def test_state_is_cleared_behind_the_watermark_and_drops_are_counted(spark, tmp_
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1
 
 
+def test_state_is_kept_by_day_and_bucket_not_by_key(spark, tmp_path):
+    rows = [at(9 + m // 60, m % 60, m, symbol=f"S{k}", day=day) for k in range(3) for m in range(200) for day in (2, 3)]
+    query = land(spark, tmp_path, rows, "a", first_arrivals, delay="40 days")
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
+    land(spark, tmp_path, [at(9, 0, 7, symbol="S0"), at(8, 0, 7, symbol="S0")], "b", first_arrivals, delay="40 days")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert rows_of(out.where("not late").drop("late")) == sorted([*rows, at(8, 0, 7, symbol="S0")])
+    assert rows_of(out.where("late").drop("late")) == [at(9, 0, 7, symbol="S0")]
+
+
 def _dies(monkeypatch, method, after):
     """The ``after``-th call of a folder operation from now on fails."""
     calls, real = [], getattr(Files, method)
