@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -142,6 +143,20 @@ def test_state_is_kept_by_day_and_bucket_not_by_key(spark, tmp_path):
     assert rows_of(out.where("late").drop("late")) == [at(9, 0, 7, symbol="S0")]
 
 
+def test_late_rows_are_told_with_few_calls_whatever_parts_a_batch_comes_in(spark, tmp_path):
+    again = [at(9, m, 1000 * n + m, symbol=s) for n in range(4) for m in range(50) for s in ("A", None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        land(spark, tmp_path, again, "a", first_arrivals)
+        query = land(spark, tmp_path, again[:100], "b", first_arrivals)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert Counter(map(tuple, out.where("not late").drop("late").collect())) == Counter(again[:100])
+    assert Counter(map(tuple, out.where("late").drop("late").collect())) == Counter([*again[100:], *again[:100]])
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+
+
 def _dies(monkeypatch, method, after):
     """The ``after``-th call of a folder operation from now on fails."""
     calls, real = [], getattr(Files, method)
