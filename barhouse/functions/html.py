@@ -32,12 +32,17 @@ def _with_class(tag: str, name: str) -> str:
     return rf"<{tag}\b[^>]*?\sclass\s*=\s*(?:{quoted}|{name}(?=[\s>]))[^>]*>"
 
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[!?][^>]*>"
+def _up_to(closing: str) -> str:
+    """A group of everything before a closing tag, or the end; it goes from tag to tag, and not by single characters."""
+    return rf"((?:[^<]++|<(?!/{closing}\s*>))*+)"
+
+
+_HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|[!?][^>]*>)"
 _FROM_TABLE = rf"(?is){_with_class('table', QUOTE_TABLE)}.*\z"
-_INSIDE = r"(?is)\A<[^>]*>(.*?)(?:</table\s*>|\z)"
-_ROW = r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|\z)"
-_CELL = r"(?is)<td\b[^>]*>(.*?)(?:</td\s*>|\z)"
-_SPAN = r"(?is)<span\b[^>]*>(.*?)(?:</span\s*>|\z)"
+_INSIDE = rf"(?is)\A<[^>]*>{_up_to('table')}"
+_ROW = rf"(?is)<tr\b[^>]*>{_up_to('tr')}"
+_CELL = rf"(?is)<td\b[^>]*>{_up_to('td')}"
+_SPAN = rf"(?is)<span\b[^>]*>{_up_to('span')}"
 _NBSP = r"(?i)&(?:nbsp|#160|#xa0);"
 _TAG = r"(?s)<[^>]*>"
 _LAST_CELL = rf"(?is){_with_class('td', LAST_PAGE_CELL)}(.*?)(?:</td\s*>|\z)"
@@ -63,17 +68,16 @@ def quote_rows(html: Column) -> Column:
     )))
 
 
-# The skeleton of a table: its tags of rows and cells by name, any other tag bare, each closed by a semicolon.
-_SKELETON = r"(?i)[^<]*(?:<(/?)(table|tr|td|th)\b[^>]*>|<|\z)"
-_WHOLE_CELL, _WHOLE_ROW = r"(?<!/)t[dh];+/t[dh];", r"(?<!/)tr;/tr;"
+# Text and tags that are none of rows and cells; a cell of nothing else, and a row of nothing but cells and text.
+_OTHER = r"[^<]++|<(?!/?(?:table|tr|td|th)\b[^>]*>)"
+_WHOLE_CELL = rf"<t[dh]\b[^>]*>(?:{_OTHER})*+</t[dh]\b[^>]*>"
+_WHOLE_ROW = rf"<tr\b[^>]*>(?:[^<]++|{_WHOLE_CELL})*+</tr\b[^>]*>"
+_FLAT = rf"(?i)\A(?:{_OTHER}|{_WHOLE_CELL}|{_WHOLE_ROW})*+\z"
 
 
 def _is_flat(table: Column) -> Column:
     """Whether a table is rows of cells, all closed, with no cells or tables inside them."""
-    skeleton = F.lower(F.regexp_replace(table, _SKELETON, "$1$2;"))
-    for whole in (_WHOLE_CELL, _WHOLE_ROW):
-        skeleton = F.regexp_replace(skeleton, whole, "")
-    return F.replace(skeleton, F.lit(";"), F.lit("")) == ""
+    return table.rlike(_FLAT)
 
 
 def _flat_rows(table: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barhouse.functions import html
 from barhouse.sources.pages import parse_day_pages
+from workload import landed
 
 BAR = ["<span>2023.12.20</span>", "41,250", "+1,000", "40,900", "42,050", "40,100", "812,300"]
 
@@ -141,3 +142,19 @@ def test_a_bar_beside_a_nested_table_is_a_bar(spark):
     pages = spark.createDataFrame([("005930", "2023-12-20", 1, PAGES["nested in the third cell"])], "symbol string, date string, page int, html string")
     got = parse_day_pages(pages).select("close", "volume").collect()
     assert [tuple(r) for r in got] == [("41250", "812300")] * 2
+
+
+def test_flat_tables_are_told_by_one_match(spark):
+    told = spark.range(1).select(html._is_flat(F.lit("<tr><td>1</td></tr>")).alias("flat"))
+    plan = told._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") == 1 and "regexp_replace" not in plan
+    many = F.concat(F.lit("<table class=type2>"), F.repeat(F.lit("<tr>" + "<td>1<br>2</td>" * 7 + "</tr>"), 20_000))
+    assert spark.range(1).select(F.size(html.quote_rows(many))).first()[0] == 20_000
+
+
+def test_pages_are_made_after_their_keys_are_spread(spark, tmp_path):
+    orders = spark.range(10).selectExpr("id as o_orderkey", "id as o_custkey", "date'2024-01-02' as o_orderdate", "1e5 + id as o_totalprice", "'x' as o_comment")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    for pages in (landed.day_page_table, landed.uneven_page_table):
+        plan = pages(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert "type2" not in plan[plan.index("Repartition"):]

@@ -45,7 +45,7 @@ def day_page_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _day_pages(spark: SparkSession, sf: str, own_row) -> DataFrame:
-    key = v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    key = _spread(v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
     close = F.floor("o_totalprice").cast("bigint")
     number = F.col("o_orderkey")
     opened = F.when(number % 11 == 0, F.lit(0)).otherwise(close - number % 100).cast("bigint")
@@ -83,6 +83,11 @@ def uneven_page_rows(spark: SparkSession, sf: str) -> DataFrame:
     return parse_day_pages(decode_pages(_landed(spark, sf, "uneven-pages", uneven_page_table)))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows in no order, spread over all cores before pages, which are much larger, are made of them."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def landed_day_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _landed(spark, sf, "landed-day-pages", day_page_table)
 
@@ -93,8 +98,7 @@ def landed_minute_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def _landed(spark: SparkSession, sf: str, name: str, pages_of) -> DataFrame:
     """Pages as a landing zone holds them: many files in no order."""
-    tasks = spark.sparkContext.defaultParallelism
-    build = lambda root: pages_of(spark, sf).repartition(tasks).write.parquet(f"{root}/pages")
+    build = lambda root: pages_of(spark, sf).write.parquet(f"{root}/pages")
     return spark.read.parquet(f"{lakes.shared(spark, sf, name, build)}/pages")
 
 
@@ -120,7 +124,7 @@ def minute_page_table(spark: SparkSession, sf: str) -> DataFrame:
     def tick(shift: int) -> Column:
         return _row(_span(clock), _commas(price + shift), nothing, nothing, nothing, F.lit("99,000"), _commas(volume))
 
-    return v.table(spark, sf, "events").select(
+    return _spread(v.table(spark, sf, "events").select("user_id", "ts", "event_id", "value")).select(
         v.padded(F.col("user_id").cast("string")).alias("symbol"),
         F.col("ts").cast("date").alias("date"),
         F.col("event_id").alias("page"),
