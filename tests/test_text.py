@@ -12,6 +12,7 @@ from barhouse.sources.listing import read_symbols, symbol_list
 from barhouse.sources.text_days import read_text, read_text_rejects, text_days
 from barhouse.sources.ticker_csv import FIELDS, read_ticker_csv
 from tests.helpers import BARS, TICKS, US, frame, put, rows_of
+from workload.texts import dump_lines
 
 DAY = datetime(2024, 1, 2)
 
@@ -193,3 +194,13 @@ def test_days_are_listed_once_however_many_files_they_have(spark, tmp_path):
     assert days == ["2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"]
     assert read_text(spark, "KR-1m", str(tmp_path), days=days[1:3]).count() == 20
     assert read_text(spark, "KR-1m", str(tmp_path), days=[]).count() == 0
+
+
+def test_lines_of_a_dump_are_not_shuffled(spark, tmp_path):
+    row = "1L as l_partkey, int(id % 7 + 1) as l_linenumber, timestamp_ntz'2024-01-02 00:00:00' as l_shipdate, 9.5D as l_extendedprice, 3D as l_quantity"
+    spark.range(14).selectExpr(*row.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines = dump_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan
+    assert lines.count() == 15
+    assert lines.where("value like 'T1.US,5,20240102,01%,1,3,1,9.5,1.5%'").count() == 14
