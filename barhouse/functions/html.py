@@ -108,8 +108,10 @@ def _named(elements: Column, name: str) -> Column:
 def _stacked_row(tokens: Column, elements: Column, cells: Column) -> Column:
     first = F.get(cells, 0)
     spans = F.filter(_named(elements, "span"), lambda e: (e["open"] > first["open"]) & (e["open"] < first["close"]))
-    span = F.when(F.size(spans) > 0, _content(tokens, F.get(spans, 0)))
-    return _quote_row(F.coalesce(span, F.lit("")), F.transform(cells, lambda cell: _content(tokens, cell)))
+    span = bound(F.get(spans, 0), lambda s: F.when(s.isNotNull(), _content(tokens, s)))
+    whole = F.transform(cells, lambda cell: _content(tokens, cell))
+    # Texts are only put together for a row that has enough cells.
+    return F.when(F.size(cells) >= ROW_CELLS, _quote_row(F.coalesce(span, F.lit("")), whole))
 
 
 def _content(tokens: Column, element: Column) -> Column:
@@ -131,7 +133,7 @@ def _elements(tokens: Column) -> Column:
     state = F.aggregate(known, start, lambda state, tag: F.when(tag["slash"] == "", _opened(state, tag)).otherwise(_closed(state, tag)))
     # What nothing closed ends with the page; after the first element has closed, nothing counts.
     end = F.size(tokens)
-    return bound(state, lambda s: F.array_sort(F.concat(s["done"], _ended(s["stack"], end))))
+    return bound(state, lambda s: F.sort_array(F.concat(s["done"], _ended(s["stack"], end))))
 
 
 def _state(stack: Column, done: Column) -> Column:
@@ -152,10 +154,13 @@ def _opened(state: Column, tag: Column) -> Column:
 
 def _closed(state: Column, tag: Column) -> Column:
     stack = state["stack"]
-    from_top = F.array_position(F.transform(F.reverse(stack), lambda e: e["name"]), tag["name"]).cast("int")
-    ended = _ended(F.slice(stack, F.size(stack) - from_top + 1, from_top), tag["at"])
-    left = F.slice(stack, 1, F.size(stack) - from_top)
-    return F.when(from_top > 0, _state(left, F.concat(state["done"], ended))).otherwise(state)
+    from_top = F.array_position(F.reverse(stack["name"]), tag["name"]).cast("int")
+
+    def popped(n: Column) -> Column:
+        ended = _ended(F.slice(stack, F.size(stack) - n + 1, n), tag["at"])
+        return F.when(n > 0, _state(F.slice(stack, 1, F.size(stack) - n), F.concat(state["done"], ended))).otherwise(state)
+
+    return bound(from_top, popped)
 
 
 def _ended(elements: Column, at: Column) -> Column:
