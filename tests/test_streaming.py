@@ -157,6 +157,19 @@ def test_late_rows_are_told_with_few_calls_whatever_parts_a_batch_comes_in(spark
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
 
 
+def test_a_day_of_many_symbols_takes_few_calls(spark, tmp_path):
+    symbols = [f"S{k}" for k in range(150)]
+    rows = [at(9, m, 100 * n + m, symbol=s, day=day) for s in symbols for n in range(2) for m in range(2) for day in (2, 3)]
+    query = land(spark, tmp_path, rows, "a", first_arrivals, delay="40 days")
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2 * 8
+    land(spark, tmp_path, [at(9, 2, 7, symbol=s) for s in symbols] + [at(9, 0, 8, symbol=s) for s in symbols], "b", first_arrivals, delay="40 days")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    first = [r for r in rows if r[2] < 100] + [at(9, 2, 7, symbol=s) for s in symbols]
+    assert Counter(map(tuple, out.where("not late").drop("late").collect())) == Counter(first)
+    late = [r for r in rows if r[2] >= 100] + [at(9, 0, 8, symbol=s) for s in symbols]
+    assert Counter(map(tuple, out.where("late").drop("late").collect())) == Counter(late)
+
+
 def _dies(monkeypatch, method, after):
     """The ``after``-th call of a folder operation from now on fails."""
     calls, real = [], getattr(Files, method)
